@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import sharding, simhash
 
-_MODULES = (simhash,)
+_MODULES = (sharding, simhash)
 
 
 def queries() -> dict:
