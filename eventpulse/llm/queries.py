@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import sharding, simhash
+from . import langid, sharding, simhash
 
-_MODULES = (sharding, simhash)
+_MODULES = (langid, sharding, simhash)
 
 
 def queries() -> dict:
