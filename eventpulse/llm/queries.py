@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import langid, sharding, simhash
+from . import langid, quality, sharding, simhash
 
-_MODULES = (langid, sharding, simhash)
+_MODULES = (quality, sharding, langid, simhash)
 
 
 def queries() -> dict:
