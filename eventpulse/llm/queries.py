@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import langid, quality, sharding, simhash
+from . import langid, lm, quality, sharding, simhash
 
-_MODULES = (quality, sharding, langid, simhash)
+_MODULES = (quality, lm, sharding, langid, simhash)
 
 
 def queries() -> dict:
