@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import langid, lm, quality, sharding, simhash
+from . import langid, lm, pii, quality, sharding, simhash
 
-_MODULES = (quality, lm, sharding, langid, simhash)
+_MODULES = (quality, lm, sharding, pii, langid, simhash)
 
 
 def queries() -> dict:
