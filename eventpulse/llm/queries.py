@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import langid, lm, pii, quality, sharding, simhash
+from . import chat, langid, lm, mixing, pii, quality, sharding, simhash
 
-_MODULES = (quality, lm, sharding, pii, langid, simhash)
+_MODULES = (quality, lm, sharding, chat, pii, langid, simhash, mixing)
 
 
 def queries() -> dict:
