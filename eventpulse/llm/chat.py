@@ -80,8 +80,8 @@ k as (select pair_id, chunk, turn, side, min(struct_pack(a := role, b := txt)) x
 d as (select pair_id, turn, list_sort(list_distinct(list(role || chr(10) || txt) filter (side = 'c'))) c, list_sort(list_distinct(list(role || chr(10) || txt) filter (side = 'r'))) r from t group by all),
 s as (select pair_id, coalesce(min(turn) filter (c is distinct from r), 9223372036854775807) split from d group by pair_id),
 p as (select pair_id, chunk, turn, side, turn < split common, '<|' || x.a || '|>' || chr(10) lead, '<|' || x.a || '|>' || chr(10) || x.b || '{END}' || chr(10) piece, x.a = 'assistant' learn from k join s using (pair_id)),
-o as (select *, coalesce(sum(length(piece)) over (partition by pair_id, chunk, side, common order by turn rows between unbounded preceding and 1 preceding), 0)::bigint at from p),
-z as (select *, (at + length(lead))::varchar || ':' || (at + length(piece) - 1)::varchar span from o)
+o as (select *, coalesce(sum(length(piece)) over (partition by pair_id, chunk, side, common order by turn rows between unbounded preceding and 1 preceding), 0)::bigint off from p),
+z as (select *, (off + length(lead))::varchar || ':' || (off + length(piece) - 1)::varchar span from o)
 select pair_id, chunk, count(*) filter (common and side = 'c') n_prompt_turns, count(*) filter (not common and side = 'c') n_chosen_turns, count(*) filter (not common and side = 'r') n_rejected_turns,
  coalesce(string_agg(piece, '' order by turn) filter (common and side = 'c'), '') prompt,
  coalesce(string_agg(piece, '' order by turn) filter (not common and side = 'c'), '') chosen, coalesce(string_agg(span, ',' order by turn) filter (not common and side = 'c' and learn), '') chosen_spans,
