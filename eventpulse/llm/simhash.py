@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ASCII_LOWER, materialize, table
@@ -61,14 +61,19 @@ def fingerprint_of(text: bytes | None, shingle: int = SHINGLE, seed: int = SEED)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) for every row; fp is a signed 64-bit number."""
+    """(doc_id, fp, text_key) for every row; fp is a signed 64-bit number, text_key a hash of the text."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             texts = part.column(1).cast(pa.large_binary() if pa.types.is_large_string(part.column(1).type) else pa.binary())
-            yield pa.record_batch({"doc_id": part.column(0), "fp": pa.array((fingerprint_of(t.as_py()) for t in texts), pa.int64())})
+            yield pa.record_batch({"doc_id": part.column(0), "fp": pa.array((fingerprint_of(t.as_py()) for t in texts), pa.int64()), "text_key": part.column(2)})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(batches, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), _text_key(text_col).alias("text_key"))
+    return rows.mapInArrow(batches, "doc_id long, fp long, text_key long")
+
+
+def _text_key(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
 def _shared_bytes_differ(x: np.ndarray) -> np.ndarray:
@@ -186,7 +191,7 @@ def index(distinct: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, long_list: int = LONG_LIST) -> DataFrame:
-    """One row (doc_id, fp, component_id) per document; component_id is the smallest doc_id reachable over links."""
+    """One row (doc_id, fp, component_id, text_key) per document; component_id is the smallest doc_id reachable over links."""
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"the index guarantees links of up to {MAX_BITS} bits, not {max_bits}")
     own = materialize(fingerprints(docs, id_col, text_col), "fingerprints")
@@ -197,7 +202,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = found.mapInPandas(lambda parts: _find(parts, max_bits), "u long, v long")
     roots = connected_components(links, "simhash-links")
     of = distinct.join(roots, distinct["first"] == roots["u"], "left").select(distinct["fp"].alias("_fp"), F.coalesce("v", "first").alias("component_id"))
-    return own.join(of, own["fp"] == of["_fp"], "left").select("doc_id", "fp", "component_id")
+    return own.join(of, own["fp"] == of["_fp"], "left").select("doc_id", "fp", "component_id", "text_key")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
+    """One row of ``docs`` for each component, all columns as they are: the one with the smallest doc_id.
+
+    If several rows have that id, the one with the least hash of its text stays, and of wholly repeated rows one. Rows without id stay only
+    where no row with an id is in their group. Only ids and hashes are grouped; rows then meet the kept ones in one join.
+    """
+    if clash := [c for c in docs.columns if c.lower().startswith("_sim_")]:
+        raise ValueError(f"docs has columns of names used here: {clash}")
+    found = near_duplicates(docs, id_col, text_col, **more).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    group = ["doc_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("lone")]
+    times = found.groupBy(*group, "text_key").agg(F.count("*").alias("n"))
+    kept = times.groupBy("doc_id", "lone").agg(F.min(F.struct("text_key", "n")).alias("k")).select(F.col("doc_id").alias("_sim_id"), F.col("k.text_key").alias("_sim_kept"), F.col("k.n").alias("_sim_n"))
+    kept = materialize(kept, "simhash-kept")
+    keyed = docs.withColumn("_sim_key", _text_key(text_col))
+    meets = F.col(id_col).cast("long").eqNullSafe(F.col("_sim_id")) & (F.col("_sim_key") == F.col("_sim_kept"))
+    out = keyed.join(kept.where("_sim_n = 1"), meets, "left_semi")
+    again = kept.where("_sim_n > 1")
+    if not again.isEmpty():
+        out = out.union(keyed.join(again, meets, "left_semi").dropDuplicates([id_col, "_sim_key"]))
+    return out.select(*docs.columns)
 
 
 def _partitions(spark: SparkSession) -> int:
