@@ -158,7 +158,7 @@ _query("repo_daily_floor", lambda t: marts.repo_aggregate(t.lake, FLOOR), f"sele
 _query("type_histogram", lambda t: figures.type_histogram(t.lake), "select type, count(*) n from lake group by type")
 _query("type_histogram_top_pooled", lambda t: figures.top_types(t.lake, 3),
        "select label, sum(n)::bigint n from (select case when r <= 3 then type else (count(*) filter (r > 3) over ()) || ' other types' end as label, n from (select type, count(*) n, row_number() over (order by count(*) desc, type) r from lake group by type)) group by label")
-_query("lake_overview", lambda t: figures.overview(t.lake), "select count(*) events, count(distinct dt) "days", count(distinct (dt, hr)) "hours", count(distinct repo_name) repos, count(distinct actor_login) actors, count(distinct type) types from lake")
+_query("lake_overview", lambda t: figures.overview(t.lake), 'select count(*) events, count(distinct dt) "days", count(distinct (dt, hr)) "hours", count(distinct repo_name) repos, count(distinct actor_login) actors, count(distinct type) types from lake')
 _query("lake_days", lambda t: figures.days(t.lake), 'select distinct dt "day" from lake')
 _query("day_gaps", lambda t: figures.day_gaps(t.lake), 'select "day", ("day" - lag("day") over (order by "day"))::bigint gap from (select distinct dt "day" from lake)')
 _query("per_repo_single_actor", lambda t: figures.per_repo_single_actor(t.lake),
