@@ -22,8 +22,10 @@ STATUSES = (INGESTED, MISSING, FAILED)
 
 def invalid(rows: DataFrame) -> DataFrame:
     """Rows that the ledger refuses: an hour out of range, an unknown status, negative numbers, or an ingested hour without a count."""
-    bad = ~F.col("hour").between(0, 23) | ~F.col("status").isin(*STATUSES) | (F.col("events") < 0) | (F.col("bytes") < 0) | ((F.col("status") == INGESTED) & F.col("events").isNull())
-    return rows.where(F.coalesce(bad, F.lit(True)) | F.col("day").isNull())
+    negative = F.coalesce(F.least("events", "bytes") < 0, F.lit(False))
+    domain = F.coalesce(F.col("hour").between(0, 23) & F.col("status").isin(*STATUSES), F.lit(False))
+    uncounted = (F.col("status") == INGESTED) & F.col("events").isNull()
+    return rows.where(F.col("day").isNull() | ~domain | negative | uncounted)
 
 
 def upsert(ledger: DataFrame, records: DataFrame) -> DataFrame:
