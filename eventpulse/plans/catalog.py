@@ -304,7 +304,7 @@ def _stored_twice(t: Tables) -> DataFrame:
     return store.read().select("event_id", "type", "actor_id", "actor_login", "repo_id", "repo_name", F.col("created_at").cast("timestamp_ntz").alias("created_at"), "payload")
 
 
-_query("stream_store_idempotent", _stored_twice, "select id event_id, type, actor_id, actor_login, repo_id, repo_name, created_at, (select any_value(props) from events e where e.event_id::varchar = id) payload from sent where m not between 1 and 4")
+_query("stream_store_idempotent", _stored_twice, "select id event_id, type, actor_id, actor_login, repo_id, repo_name, created_at, (select any_value(replace(props, ' ', '')) from events e where e.event_id::varchar = id) payload from sent where m not between 1 and 4")
 _query("stream_hourly_buckets", lambda t: wire.store_rows(wire.triage(t.messages).where("reason is null")).groupBy(wire.hour_key(F.col("created_at")).alias("hour_key")).agg(F.count("*").alias("n")), "select strftime(created_at, '%Y-%m-%d-%H') hour_key, count(*) n from sent where m not between 1 and 4 group by 1")
 
 

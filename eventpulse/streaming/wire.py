@@ -51,7 +51,7 @@ def triage(messages: DataFrame) -> DataFrame:
 
 
 def store_rows(valid: DataFrame) -> DataFrame:
-    """Rows of the validated store, with both clocks, from triaged messages without a reason."""
+    """Rows of the validated store, with both clocks, from triaged messages without a reason. The payload keeps its keys' order and its numbers' text, not its blanks."""
     e = F.col("envelope.event")
     return valid.select(
         e["id"].alias("event_id"), e["type"].alias("type"), e["actor"]["id"].alias("actor_id"), e["actor"]["login"].alias("actor_login"), e["repo"]["id"].alias("repo_id"), e["repo"]["name"].alias("repo_name"),
