@@ -36,7 +36,7 @@ _NAME = r"\p{Lu}[\p{L}'’-]+"
 #: Types in order of preference; each is a pattern of Java's regular expressions without capturing groups.
 TYPES = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+",
-    "secret": r"(?<=[\"'])(?<=(?i:token|secret|key|password|passwd)[ \t]{0,3}[=:][ \t]{0,3}[\"'])[^\"'\s]{6,}+(?=[\"'])|(?<![\p{L}\p{N}])(?:AKIA|ASIA)[0-9A-Z]{16}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])(?:gh[pousr]_|sk-)[A-Za-z0-9]{20,}+|(?<![\p{L}\p{N}])[0-9a-f]{32,}+(?![\p{L}\p{N}])",
+    "secret": r"(?<=[\"'])(?<=(?i:token|secret|key|password|passwd)[ \t]{0,3}[=:][ \t]{0,3}[\"'])[^\"'\s]{6,}+(?=[\"'])|(?<![\p{L}\p{N}])(?:AKIA|ASIA)[0-9A-Z]{16}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])(?:gh[pousr]_|sk-)[A-Za-z0-9]{20,}+|(?<![\p{L}\p{N}])(?=[a-f]{0,64}[0-9])[0-9a-f]{32,}+(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "phone": r"(?<![\p{N}+])\+1[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)|(?<![\p{N}+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,3}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d\-])\d{3}-\d{3}-\d{4}(?![\d\-])",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
@@ -44,7 +44,11 @@ TYPES = {
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_EITHER})\.? {_NAME}(?: {_NAME}){{0,2}}",
 }
-PATTERN = "|".join(f"(?:{p})" for p in TYPES.values())
+#: What a mention of a type begins with, looked at first: at most places one character decides.
+_BEGINS = {"secret": r"(?:(?<=[\"'])|(?=[0-9a-gsA]))", "ip": "(?=[0-9])", "phone": r"(?=[0-9+(])", "ssn": "(?=[0-9])", "card": "(?=[0-9])", "iban": "(?=[A-Z])", "name": "(?=[MHFSDPг])"}
+PATTERN = "|".join(f"{_BEGINS.get(t, '')}(?:{p})" for t, p in TYPES.items())
+#: Every mention has a character of the first, or begins as the second says: most texts have neither, and no pattern is run over them.
+_MARKS, _STARTS = r"[0-9@\"'_]", rf"[MHFSDPгAs](?:(?<=[As])(?:(?<=A)(?:KIA|SIA)|(?<=s)k-)|(?<=[MHFSDPг])(?<=(?=(?:{_MALE}|{_FEMALE}|{_EITHER})\.? \p{{Lu}}).))"
 _NUMBERS = ("phone", "ssn", "card")
 _TITLE = rf"^(?:{_MALE}|{_FEMALE}|{_EITHER})\.? "
 #: Syllables and endings of invented names by script; endings by gender (m, f, e for either, s for surnames).
@@ -65,6 +69,10 @@ def mentions(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
 
+def has_mention(text: Column) -> Column:
+    return F.coalesce((text.rlike(_MARKS) | text.rlike(_STARTS)) & text.rlike(PATTERN), F.lit(False))
+
+
 def kind_of(mention: Column) -> Column:
     """The first type whose pattern a mention is; context that the mention lacks is not asked for again."""
     full = lambda p: mention.rlike(f"^(?:{p})$")
@@ -203,8 +211,8 @@ def replace_pii(docs: DataFrame, key: str = KEY, text_col: str = "text", chars_c
     if clash := [c for c in docs.columns if c.lower().startswith("_pii_") or c.lower() == "n_mentions"]:
         raise ValueError(f"docs has columns of names used here: {clash}")
     text, found = F.col(text_col).cast("string"), mentions(F.col(text_col).cast("string"))
-    has = F.coalesce(text.rlike(PATTERN), F.lit(False))
-    seen = docs.select(text.alias("_pii_text")).where(F.col("_pii_text").rlike(PATTERN)).select(F.md5(F.col("_pii_text").cast("binary")).alias("_pii_key"), F.explode(F.array_distinct(mentions(F.col("_pii_text")))).alias("mention"))
+    has = has_mention(text)
+    seen = docs.select(text.alias("_pii_text")).where(has_mention(F.col("_pii_text"))).select(F.md5(F.col("_pii_text").cast("binary")).alias("_pii_key"), F.explode(F.array_distinct(mentions(F.col("_pii_text")))).alias("mention"))
     seen = materialize(seen.distinct(), "pii-seen")
     parts = materialize(entities_of(seen.select("mention").distinct()), "pii-parts")
     surrogates = assign(parts.groupBy("type", "norm").agg(F.max("gender").alias("gender")), key)
