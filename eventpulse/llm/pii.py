@@ -33,6 +33,8 @@ MAX_ATTEMPTS = 64
 _MALE, _FEMALE, _EITHER = "Mr|Herr|Monsieur|Señor|господин", "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|госпожа", "Dr|Prof"
 _MALE, _FEMALE, _EITHER = (f"{t}|{t.upper()}" for t in (_MALE, _FEMALE, _EITHER))
 _NAME = r"\p{Lu}[\p{L}'’-]+"
+#: What titles begin with, in every form listed.
+_INITIALS = "".join(sorted({t[0] for t in f"{_MALE}|{_FEMALE}|{_EITHER}".split("|")}))
 #: Types in order of preference; each is a pattern of Java's regular expressions without capturing groups.
 TYPES = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+",
@@ -45,10 +47,10 @@ TYPES = {
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_EITHER})\.? {_NAME}(?: {_NAME}){{0,2}}",
 }
 #: What a mention of a type begins with, looked at first: at most places one character decides.
-_BEGINS = {"secret": r"(?:(?<=[\"'])|(?=[0-9a-gsA]))", "ip": "(?=[0-9])", "phone": r"(?=[0-9+(])", "ssn": "(?=[0-9])", "card": "(?=[0-9])", "iban": "(?=[A-Z])", "name": "(?=[MHFSDPг])"}
+_BEGINS = {"secret": r"(?:(?<=[\"'])|(?=[0-9a-gsA]))", "ip": "(?=[0-9])", "phone": r"(?=[0-9+(])", "ssn": "(?=[0-9])", "card": "(?=[0-9])", "iban": "(?=[A-Z])", "name": f"(?=[{_INITIALS}])"}
 PATTERN = "|".join(f"{_BEGINS.get(t, '')}(?:{p})" for t, p in TYPES.items())
 #: Every mention has a character of the first, or begins as the second says: most texts have neither, and no pattern is run over them.
-_MARKS, _STARTS = r"[0-9@\"'_]", rf"[MHFSDPгAs](?:(?<=[As])(?:(?<=A)(?:KIA|SIA)|(?<=s)k-)|(?<=[MHFSDPг])(?<=(?=(?:{_MALE}|{_FEMALE}|{_EITHER})\.? \p{{Lu}}).))"
+_MARKS, _STARTS = r"[0-9@\"'_]", rf"[{_INITIALS}As](?:(?<=[As])(?:(?<=A)(?:KIA|SIA)|(?<=s)k-)|(?<=[{_INITIALS}])(?<=(?=(?:{_MALE}|{_FEMALE}|{_EITHER})\.? \p{{Lu}}).))"
 _NUMBERS = ("phone", "ssn", "card")
 _TITLE = rf"^(?:{_MALE}|{_FEMALE}|{_EITHER})\.? "
 #: Syllables and endings of invented names by script; endings by gender (m, f, e for either, s for surnames).

@@ -76,3 +76,12 @@ def test_query_leaves_nothing_and_changes_nothing_else(spark):
         was, now = loose.findall(text), loose.findall(new[d].text)
         assert len(was) == len(now) and not set(was) & set(now) and loose.sub("", text) == loose.sub("", new[d].text)
         assert bool(was) <= bool(new[d].n_mentions)
+
+
+def test_guards_lose_no_title(spark):
+    titles = "Mr Herr Monsieur Señor господин Mrs Ms Miss Frau Madame Mme Mlle Señora Señorita госпожа Dr Prof".split()
+    texts = [f"then {t} {n} came" for t in [*titles, *map(str.upper, titles)] for n in ("Anna Lopez", "ИВАНОВ")]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    bare = "|".join(f"(?:{p})" for p in P.TYPES.values())
+    for r in rows.select(P.has_mention(F.col("text")).alias("has"), P.mentions(F.col("text")).alias("guarded"), F.regexp_extract_all("text", F.lit(bare), F.lit(0)).alias("bare"), "text").collect():
+        assert r.has and r.guarded == r.bare == [r.text[5:-5]]
