@@ -11,7 +11,10 @@ capitals, so coreference holds in and across documents.
 
 Collision checks: a surrogate that two entities drew, that is taken, or that is an entity of the corpus itself, goes to
 nobody, or to the first entity in order where only candidates clash; the others draw again. Hence distinct entities of a type keep distinct surrogates, and
-none coincides with a real one. Drawing ends when no entity is left; more than ``MAX_ATTEMPTS`` draws raise an error.
+none coincides with a real one. Where a form is used up, surrogates grow by a character at each draw, so drawing ends, whatever the entities.
+
+A quoted secret that repeats one sign (``********``) is a mask and no mention. In other secrets every letter, of any script, every digit and every sign
+is replaced; only - _ and . stay beside letters and digits.
 
 Texts without a mention are never shuffled. Mentions are gathered by digest of their text, so a large group of copies is
 resolved once; rows then meet their text's map of mentions in one equi-join.
@@ -23,13 +26,16 @@ starting with ``_pii_`` raise ValueError. An empty table gives no rows. Overlapp
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import let, materialize, table
 
 KEY = "surrogates-1"
-MAX_ATTEMPTS = 64
+#: From this attempt on a surrogate is longer than its entity, by one more character at each.
+WIDER_FROM = 6
 _MALE, _FEMALE, _EITHER = "Mr|Herr|Monsieur|Señor|господин", "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|госпожа", "Dr|Prof"
 _MALE, _FEMALE, _EITHER = (f"{t}|{t.upper()}" for t in (_MALE, _FEMALE, _EITHER))
 _NAME = r"\p{Lu}[\p{L}'’-]+"
@@ -38,7 +44,7 @@ _INITIALS = "".join(sorted({t[0] for t in f"{_MALE}|{_FEMALE}|{_EITHER}".split("
 #: Types in order of preference; each is a pattern of Java's regular expressions without capturing groups.
 TYPES = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+",
-    "secret": r"(?<=[\"'])(?<=(?i:token|secret|key|password|passwd)[ \t]{0,3}[=:][ \t]{0,3}[\"'])[^\"'\s]{6,}+(?=[\"'])|(?<![\p{L}\p{N}])(?:AKIA|ASIA)[0-9A-Z]{16}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])(?:gh[pousr]_|sk-)[A-Za-z0-9]{20,}+|(?<![\p{L}\p{N}])(?=[a-f]{0,64}[0-9])[0-9a-f]{32,}+(?![\p{L}\p{N}])",
+    "secret": r"(?<=[\"'])(?<=(?i:token|secret|key|password|passwd)[ \t]{0,3}[=:][ \t]{0,3}[\"'])(?!(?:\*+|•+|·+|●+|\.+|…+|-+|–+|—+|_+|#+|=+|~+|\?+)[\"'])[^\"'\s]{6,}+(?=[\"'])|(?<![\p{L}\p{N}])(?:AKIA|ASIA)[0-9A-Z]{16}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])(?:gh[pousr]_|sk-)[A-Za-z0-9]{20,}+|(?<![\p{L}\p{N}])(?=[a-f]{0,64}[0-9])[0-9a-f]{32,}+(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "phone": r"(?<![\p{N}+])\+1[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)|(?<![\p{N}+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,3}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d\-])\d{3}-\d{3}-\d{4}(?![\d\-])",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
@@ -56,7 +62,9 @@ _TITLE = rf"^(?:{_MALE}|{_FEMALE}|{_EITHER})\.? "
 #: Syllables and endings of invented names by script; endings by gender (m, f, e for either, s for surnames).
 _SYLLABLES = {"latin": "ba be bi bo bu da de di do du ka ke ki ko ku la le li lo lu ma me mi mo mu na ne ni no nu ra re ri ro ru sa se si so su ta te ti to tu va ve vi vo", "cyrillic": "ба бе би бо бу да де ди до ду ка ке ки ко ку ла ле ли ло лу ма ме ми мо му на не ни но ну ра ре ри ро ру са се си со су та те ти то ту ва ве ви во"}
 _ENDINGS = {"latin": {"m": "n rd ro lf", "f": "na ra lia ssa", "e": "n m ry le", "s": "ll nd rt ng"}, "cyrillic": {"m": "н р й м", "f": "на ра лия са", "e": "н м ри ле", "s": "ленко вич дзе рян"}}
+_DIGITS, _ALNUM = "0123456789", "abcdefghijklmnopqrstuvwxyz0123456789"
 _ACCENTED = "àâäçèéêëîïñôöùûü"
+_SIGNS = "!#$%&()*+,/:;<=>?@[]^{|}~"
 
 
 def _array(words: str) -> Column:
@@ -78,7 +86,7 @@ def has_mention(text: Column) -> Column:
 def kind_of(mention: Column) -> Column:
     """The first type whose pattern a mention is; context that the mention lacks is not asked for again."""
     full = lambda p: mention.rlike(f"^(?:{p})$")
-    return (F.when(mention.rlike(r"^[^\s@]+@[^\s@]+$"), "email").when(full(TYPES["ip"]), "ip").when(full(TYPES["phone"]), "phone").when(full(TYPES["ssn"]), "ssn")
+    return (F.when(full(TYPES["email"]), "email").when(full(TYPES["ip"]), "ip").when(full(TYPES["phone"]), "phone").when(full(TYPES["ssn"]), "ssn")
             .when(full(TYPES["card"]), "card").when(full(TYPES["iban"]), "iban").when(full(TYPES["name"]), "name").otherwise("secret"))
 
 
@@ -112,8 +120,8 @@ def _pick(alphabet: Column | str, draw: Column) -> Column:
     return F.substring(F.lit(alphabet) if isinstance(alphabet, str) else alphabet, draw + 1, F.lit(1))
 
 
-def _like(c: Column, stream: Column, i: Column, hexadecimal: Column) -> Column:
-    """A character of the same class and script as ``c``; other characters stay."""
+def _like(c: Column, stream: Column, i: Column, hexadecimal: Column, stays: Column) -> Column:
+    """A character of the same class and script as ``c``, a Latin letter for scripts without an alphabet here, and a sign for signs that don't stay."""
     code = F.ascii(c)
     between = lambda a, b: code.between(a, b)
     d = lambda n: _draw(stream, i, n)
@@ -122,14 +130,15 @@ def _like(c: Column, stream: Column, i: Column, hexadecimal: Column) -> Column:
         .when(between(97, 122), _pick(_letters(97, 26), d(26))).when(between(65, 90), _pick(_letters(65, 26), d(26)))
         .when(between(0xC0, 0x24F), F.when(c == F.lower(c), _pick(_ACCENTED, d(16))).otherwise(_pick(_ACCENTED.upper(), d(16))))
         .when(between(0x3B1, 0x3C9), _pick(_letters(0x3B1, 17), d(17))).when(between(0x430, 0x44F), _pick(_letters(0x430, 32), d(32))).when(between(0x410, 0x42F), _pick(_letters(0x410, 32), d(32)))
-        .when(between(0x4E00, 0x9FFF), F.chr(F.lit(97) + d(26))).otherwise(c)
+        .when(c.rlike(r"\p{L}"), F.chr(F.lit(97) + d(26))).when(c.rlike(r"\p{N}"), _pick("0123456789", d(10))).when(stays, c).otherwise(_pick(_SIGNS, d(len(_SIGNS))))
     )
 
 
-def _replaced(norm: Column, stream: Column, keep_first: Column) -> Column:
-    """Every character after the first ``keep_first`` replaced by one of its kind."""
+def _replaced(norm: Column, stream: Column, keep_first: Column, signs: bool = False) -> Column:
+    """Every character after the first ``keep_first`` replaced by one of its kind; with ``signs``, signs too."""
     hexadecimal = norm.rlike("^(?=.*[a-f])[0-9a-f]{16,}$")
-    return F.array_join(F.transform(F.split(norm, ""), lambda c, i: F.when(i < keep_first, c).otherwise(_like(c, stream, i, hexadecimal))), "")
+    stays = lambda c: c.rlike(r"[\-_.]") & norm.rlike(r"[\p{L}\p{N}]") if signs else F.lit(True)
+    return F.array_join(F.transform(F.split(norm, ""), lambda c, i: F.when(i < keep_first, c).otherwise(_like(c, stream, i, hexadecimal, stays(c)))), "")
 
 
 def _luhn(digits: Column) -> Column:
@@ -143,7 +152,10 @@ def surrogate(kind: Column, norm: Column, gender: Column, attempt: int, key: str
     """The normal form of the surrogate that an entity draws at an attempt."""
     seed = F.concat_ws("|", F.lit(key), kind, norm, F.lit(str(attempt)))
     stream = lambda s, n: _draws(s, n)
-    size = F.length(norm)
+    size, more = F.length(norm), max(0, attempt - WIDER_FROM + 1)
+
+    def wider(s: Column, made: Column, alphabet: str) -> Column:
+        return F.concat(made, *(_pick(alphabet, _draw(s, size + j, len(alphabet))) for j in range(more))) if more else made
 
     def octet(stream: Column, part: Column, i: Column) -> Column:
         n = F.length(part) if attempt < 8 else F.lit(0)  # if a form is used up, octets of any length
@@ -157,7 +169,7 @@ def surrogate(kind: Column, norm: Column, gender: Column, attempt: int, key: str
         local, domain = F.split_part(norm, F.lit("@"), F.lit(1)), F.split_part(norm, F.lit("@"), F.lit(2))
         inner = F.substring(domain, F.lit(1), F.length(domain) - F.length(F.substring_index(domain, ".", -1)))
         by_domain = let(stream(F.concat_ws("|", F.lit(key), F.lit("domain"), domain), F.length(domain)), lambda t: _replaced(inner, t, F.lit(0)))
-        return F.concat(_replaced(local, s, F.lit(0)), F.lit("@"), by_domain, F.substring_index(domain, ".", -1))
+        return F.concat(wider(s, _replaced(local, s, F.lit(0)), _ALNUM), F.lit("@"), by_domain, F.substring_index(domain, ".", -1))
 
     def name(s: Column) -> Column:
         def of(script: str) -> Column:
@@ -170,17 +182,18 @@ def surrogate(kind: Column, norm: Column, gender: Column, attempt: int, key: str
 
     made = lambda s: (
         F.when(kind.isin("surname", "given"), name(s)).when(kind == "ip", F.array_join(F.transform(F.split(norm, r"\."), lambda p, i: octet(s, p, i)), "."))
-        .when(kind == "card", let(_replaced(norm, s, F.lit(1)), card)).when(kind == "email", address(s)).when(kind == "phone", _replaced(norm, s, F.greatest(size - 10, F.lit(0))))
-        .when(kind == "iban", _replaced(norm, s, F.lit(2))).otherwise(_replaced(norm, s, F.when(norm.rlike("^(AKIA|ASIA|gh[pousr]_|sk-)"), F.lit(4)).otherwise(F.lit(0))))
+        .when(kind == "card", let(wider(s, _replaced(norm, s, F.lit(1)), _DIGITS), card)).when(kind == "email", address(s)).when(kind == "phone", wider(s, _replaced(norm, s, F.greatest(size - 10, F.lit(0))), _DIGITS))
+        .when(kind == "ssn", wider(s, _replaced(norm, s, F.lit(0)), _DIGITS)).when(kind == "iban", wider(s, _replaced(norm, s, F.lit(2)), _DIGITS))
+        .otherwise(wider(s, _replaced(norm, s, F.when(norm.rlike("^(AKIA|ASIA|gh[pousr]_|sk-)"), F.lit(4)).otherwise(F.lit(0)), signs=True), _ALNUM))
     )
-    return let(stream(seed, F.greatest(size, F.lit(64))), made)
+    return let(stream(seed, F.greatest(size + more, F.lit(64))), made)
 
 
 def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     """(type, norm, surrogate) of distinct (type, norm, gender): distinct within a type, and never an entity of the table."""
     pending, done = entities, None
     taken = entities.select(F.col("type").alias("_t"), F.col("norm").alias("_s"))
-    for attempt in range(MAX_ATTEMPTS):
+    for attempt in count():
         drawn = pending.select("type", "norm", "gender", surrogate(F.col("type"), F.col("norm"), F.col("gender"), attempt, key).alias("surrogate"))
         drawn = materialize(drawn, "pii-drawn")
         first = drawn.groupBy("type", "surrogate").agg(F.min("norm").alias("norm"))
@@ -191,7 +204,6 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
         pending = drawn.join(won.select("type", "norm"), ["type", "norm"], "left_anti")
         if pending.isEmpty():
             return done
-    raise RuntimeError(f"after {MAX_ATTEMPTS} attempts some entities have no surrogate of their own")
 
 
 def _rendered(kind: Column, form: Column, made: Column) -> Column:
@@ -203,7 +215,8 @@ def _rendered(kind: Column, form: Column, made: Column) -> Column:
         out = F.when(copied(c), c).when((kind == "email") & (c != F.lower(c)), F.upper(own)).otherwise(own)
         return F.struct(F.concat(acc["t"], out).alias("t"), (acc["k"] + F.when(copied(c), 0).otherwise(1)).alias("k"))
 
-    walked = F.aggregate(F.split(form, ""), F.struct(F.lit("").alias("t"), F.lit(0).alias("k")), step, lambda acc: acc["t"])
+    rest = lambda acc: F.substring(made, acc["k"] + 1, F.length(made))  # noqa: E731  (what is longer than the form)
+    walked = F.aggregate(F.split(form, ""), F.struct(F.lit("").alias("t"), F.lit(0).alias("k")), step, lambda acc: F.concat(acc["t"], rest(acc)))
     styled = F.when((F.length(form) > 1) & (form == F.upper(form)), F.upper(made)).otherwise(F.initcap(made))
     return F.when(kind.isin("surname", "given"), styled).when(kind.isin("ip", "secret"), made).otherwise(walked)
 

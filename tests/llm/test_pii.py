@@ -85,3 +85,17 @@ def test_guards_lose_no_title(spark):
     bare = "|".join(f"(?:{p})" for p in P.TYPES.values())
     for r in rows.select(P.has_mention(F.col("text")).alias("has"), P.mentions(F.col("text")).alias("guarded"), F.regexp_extract_all("text", F.lit(bare), F.lit(0)).alias("bare"), "text").collect():
         assert r.has and r.guarded == r.bare == [r.text[5:-5]]
+
+
+def test_masks_stay_and_other_scripts_and_signs_go(spark):
+    texts = ['password = "********"', "key: '------'", 'secret="ひみつのことば"', 'token = "!@$%^&*("', 'key = "비밀번호-كلمة!9"']
+    got = run(spark, texts)
+    assert [got[k] for k in (0, 1)] == [(texts[0], 0), (texts[1], 0)]
+    assert re.fullmatch('secret="[a-z]{7}"', got[2][0]) and re.fullmatch(r'token = "[^\w\s"]{8}"', got[3][0]) and got[3][0] != texts[3]
+    assert re.fullmatch(r'key = "[a-z]{4}-[a-z]{4}[^\w\s"]\d"', got[4][0]) and all(got[k][1] == 1 for k in (2, 3, 4))
+
+
+def test_a_form_that_is_used_up_grows(spark):
+    texts = [f"to {chr(97 + i)}@x.com now" for i in range(26)]
+    new = {t for t, n in run(spark, texts).values() if n == 1}
+    assert len(new) == 26 and not new & set(texts) and all(re.fullmatch(r"to [a-z0-9]+@[a-z]\.com now", t) for t in new)
