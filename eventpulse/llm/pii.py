@@ -1,7 +1,8 @@
 r"""Personal data and secrets replaced by keyed surrogates, in DataFrame functions alone.
 
 One pattern finds e-mail addresses, IPv4 addresses, phone numbers, card numbers, social security numbers, IBANs,
-secrets, and names after a title. Mentions are cut into entities (a name's words one by one) with a
+secrets, and names after a title, of any number of words. In a text, the words of its detected names are replaced wherever else they stand with a
+capital, by the same surrogates; they aren't counted as mentions. Mentions are cut into entities (a name's words one by one) with a
 normal form: lower case, and for numbers digits only. Each distinct entity gets one surrogate from SHA-256
 of the key, its type and normal form, and of an attempt number. The surrogate has the entity's form: letters stay letters of
 their script and digits digits, an octet keeps its number of digits, a card keeps its first digit
@@ -38,7 +39,9 @@ KEY = "surrogates-1"
 WIDER_FROM = 6
 _MALE, _FEMALE, _EITHER = "Mr|Herr|Monsieur|Señor|господин", "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|госпожа", "Dr|Prof"
 _MALE, _FEMALE, _EITHER = (f"{t}|{t.upper()}" for t in (_MALE, _FEMALE, _EITHER))
-_NAME = r"\p{Lu}[\p{L}'’-]+"
+#: A name ends with a letter, and before a possessive 's.
+_NAME = r"\p{Lu}(?:['’-]*(?!(?<=['’])s(?!\p{L}))\p{L})+"
+_WORD = rf"(?<![\p{{L}}\p{{N}}]){_NAME}"
 #: What titles begin with, in every form listed.
 _INITIALS = "".join(sorted({t[0] for t in f"{_MALE}|{_FEMALE}|{_EITHER}".split("|")}))
 #: Types in order of preference; each is a pattern of Java's regular expressions without capturing groups.
@@ -50,7 +53,7 @@ TYPES = {
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": r"(?<!\d)(?:\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}|\d{13,19})(?!\d)",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_EITHER})\.? {_NAME}(?: {_NAME}){{0,2}}",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_EITHER})\.? {_NAME}(?: (?!(?:{_MALE}|{_FEMALE}|{_EITHER})\.? ){_NAME})*",
 }
 #: What a mention of a type begins with, looked at first: at most places one character decides.
 _BEGINS = {"secret": r"(?:(?<=[\"'])|(?=[0-9a-gsA]))", "ip": "(?=[0-9])", "phone": r"(?=[0-9+(])", "ssn": "(?=[0-9])", "card": "(?=[0-9])", "iban": "(?=[A-Z])", "name": f"(?=[{_INITIALS}])"}
@@ -217,8 +220,18 @@ def _rendered(kind: Column, form: Column, made: Column) -> Column:
 
     rest = lambda acc: F.substring(made, acc["k"] + 1, F.length(made))  # noqa: E731  (what is longer than the form)
     walked = F.aggregate(F.split(form, ""), F.struct(F.lit("").alias("t"), F.lit(0).alias("k")), step, lambda acc: F.concat(acc["t"], rest(acc)))
-    styled = F.when((F.length(form) > 1) & (form == F.upper(form)), F.upper(made)).otherwise(F.initcap(made))
-    return F.when(kind.isin("surname", "given"), styled).when(kind.isin("ip", "secret"), made).otherwise(walked)
+    return F.when(kind.isin("surname", "given"), _styled(form, made)).when(kind.isin("ip", "secret"), made).otherwise(walked)
+
+
+def _styled(form: Column, made: Column) -> Column:
+    return F.when((F.length(form) > 1) & (form == F.upper(form)), F.upper(made)).otherwise(F.initcap(made))
+
+
+def _known(between: Column) -> Column:
+    """Text between mentions, with the words of names that its text is known to hold replaced."""
+    one = lambda w: F.coalesce(_styled(w, F.element_at(F.col("_pii_words"), F.lower(w))), w, F.lit(""))
+    walked = F.array_join(F.transform(F.arrays_zip(F.split(between, _WORD, -1).alias("a"), F.regexp_extract_all(between, F.lit(_WORD), F.lit(0)).alias("b")), lambda x: F.concat(x["a"], one(x["b"]))), "")
+    return F.when(F.col("_pii_words").isNull(), between).otherwise(walked)
 
 
 def replace_pii(docs: DataFrame, key: str = KEY, text_col: str = "text", chars_col: str | None = None) -> DataFrame:
@@ -234,9 +247,12 @@ def replace_pii(docs: DataFrame, key: str = KEY, text_col: str = "text", chars_c
     piece = F.concat("before", _rendered(F.col("type"), F.col("form"), F.col("surrogate")))
     made = parts.join(surrogates, ["type", "norm"]).groupBy("mention").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", piece.alias("piece")))), lambda x: x["piece"]), "").alias("made"))
     maps = seen.join(made, "mention").groupBy("_pii_key").agg(F.map_from_entries(F.collect_list(F.struct("mention", "made"))).alias("_pii_map"))
+    words = parts.where("type in ('given', 'surname')").join(surrogates, ["type", "norm"]).select("mention", "norm", F.struct("type", "surrogate").alias("w")).distinct()
+    words = seen.join(words, "mention").groupBy("_pii_key", "norm").agg(F.max("w").alias("w"))  # a surname goes before a given name
+    maps = maps.join(words.groupBy("_pii_key").agg(F.map_from_entries(F.collect_list(F.struct("norm", "w.surrogate"))).alias("_pii_words")), "_pii_key", "left")
     touched = docs.where(has).withColumn("_pii_key", F.md5(text.cast("binary"))).join(maps, "_pii_key")
     new = F.concat(*(
-        F.array_join(F.transform(F.arrays_zip(F.split(text, PATTERN, -1).alias("a"), found.alias("b")), lambda x: F.concat(x["a"], F.coalesce(F.element_at(F.col("_pii_map"), x["b"]), F.lit("")))), ""),
+        F.array_join(F.transform(F.arrays_zip(F.split(text, PATTERN, -1).alias("a"), found.alias("b")), lambda x: F.concat(_known(x["a"]), F.coalesce(F.element_at(F.col("_pii_map"), x["b"]), F.lit("")))), ""),
     ))
     touched = touched.select("*", new.alias("_pii_new"), F.size(found).cast("long").alias("n_mentions"))
     columns = [F.col("_pii_new").alias(c) if c == text_col else F.length("_pii_new").cast(docs.schema[c].dataType).alias(c) if c == chars_col else F.col(c) for c in docs.columns]

@@ -99,3 +99,13 @@ def test_a_form_that_is_used_up_grows(spark):
     texts = [f"to {chr(97 + i)}@x.com now" for i in range(26)]
     new = {t for t, n in run(spark, texts).values() if n == 1}
     assert len(new) == 26 and not new & set(texts) and all(re.fullmatch(r"to [a-z0-9]+@[a-z]\.com now", t) for t in new)
+
+
+def test_whole_names_and_their_later_words(spark):
+    texts = ["Dr Ana Maria Lopez Garcia spoke", "Mr Ivan Petrov came. Petrov said that IVAN and Petrov's dog, a petrov, met Mrs Anna Petrov Mr Lee.", "Petrov without a title"]
+    got = run(spark, texts)
+    a = re.fullmatch(r"Dr (\w+) (\w+) (\w+) (\w+) spoke", got[0][0])
+    assert a and not {"Ana", "Maria", "Lopez", "Garcia"} & set(a.groups())
+    m = re.fullmatch(r"Mr (\w+) (\w+) came\. (\w+) said that (\w+) and (\w+)'s dog, a petrov, met Mrs (\w+) (\w+) Mr (\w+)\.", got[1][0])
+    assert m and m[2] == m[3] == m[5] == m[7] != "Petrov" and m[4] == m[1].upper() != "IVAN" and m[8] != "Lee" and got[1][1] == 3
+    assert got[2] == (texts[2], 0)
