@@ -13,7 +13,7 @@ tasks. The driver sees only counts by (shard, partition, size class).
 
 Defined results: null text has size 16 and checksum 0; null ids are ordinary rows; repeated rows each
 get a slot of their own; an empty table gives no rows. Extra columns stay untouched by
-``rewrite_affected`` and are left out of the layout; a clash with its columns raises ValueError.
+``rewrite_affected`` and are left out of the layout unless it carries the rows; a clash with its columns raises ValueError.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventpulse.sources import files
+
 from .common import fold, local_rows, materialize, table
 
 OVERHEAD = 16
@@ -139,8 +141,11 @@ def plan_transfers(blocks: list[tuple[int, int, int]], capacities: list[tuple[in
     return plan
 
 
-def layout(docs: DataFrame, old_shard: Column, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, size, text_crc32, old_shard, shard, slot) of every row; row counts of shards are at most one apart."""
+def layout(docs: DataFrame, old_shard: Column, shards: int, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """(doc_id, size, text_crc32, old_shard, shard, slot) of every row; row counts of shards are at most one apart.
+
+    With ``carry`` a last column ``carried`` holds the whole row, which ``rewrite_affected`` needs where ids are null or repeated.
+    """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(
@@ -148,6 +153,7 @@ def layout(docs: DataFrame, old_shard: Column, shards: int, id_col: str = "doc_i
         (F.octet_length(text) + F.lit(OVERHEAD)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         old_shard.cast("int").alias("old_shard"),
+        *([F.struct(*docs.columns).alias("carried")] if carry else []),
     )
     order = ["old_shard", "size", "text_crc32", "doc_id"]
     count = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -177,23 +183,33 @@ def layout(docs: DataFrame, old_shard: Column, shards: int, id_col: str = "doc_i
     # One row for each partition and shard, and one more for each transfer: bounded by partitions plus shards.
     steps = local_rows(spark, pieces, "_old int, _p int, _lo long, _hi long, shard int, _base long")
     meets = (F.col("old_shard") == F.col("_old")) & (F.col("_part") == F.col("_p")) & (F.col("_row") >= F.col("_lo")) & (F.col("_row") < F.col("_hi"))
-    return placed.join(F.broadcast(steps), meets).select("doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("_row") + F.col("_base")).alias("slot"))
+    return placed.join(F.broadcast(steps), meets).select("doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("_row") + F.col("_base")).alias("slot"), *(["carried"] if carry else []))
 
 
 def rewrite_affected(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id") -> list[int]:
     """Write the shards whose rows change, each to ``path/shard=N``, and return their numbers.
 
-    A shard is affected if a row enters or leaves it; the others' files stay as they are. ``docs`` must
-    have unique, non-null ids. Only affected folders are replaced (dynamic partition overwrite).
+    A shard is affected if a row enters or leaves it; the others' files stay as they are. Every row is written once: from the layout
+    if that carries the rows, else by its id, and then null or repeated ids raise ValueError before anything is written. Only affected
+    folders are replaced (dynamic partition overwrite); those of shards that are left without rows are removed after that.
     """
     if clash := {"shard", "slot"} & {c.lower() for c in docs.columns}:
         raise ValueError(f"docs has columns that the layout adds: {sorted(clash)}")
     moves = placed.where("shard <> old_shard")
     touched = sorted({r[0] for r in moves.select(F.explode(F.array("old_shard", "shard"))).distinct().collect()})
-    rows = docs.join(placed.where(F.col("shard").isin(touched)).select(F.col("doc_id").alias("_id"), "shard", "slot"), F.col(id_col) == F.col("_id")).drop("_id")
+    going = placed.where(F.col("shard").isin(touched))
+    if "carried" in placed.columns:
+        rows = going.select("carried.*", "shard", "slot")
+    elif docs.groupBy(F.col(id_col).alias("_id")).count().where("count > 1 or _id is null").isEmpty():
+        rows = docs.join(going.select(F.col("doc_id").alias("_id"), "shard", "slot"), F.col(id_col) == F.col("_id")).drop("_id")
+    else:
+        raise ValueError("ids are null or repeated: the layout must carry the rows")
     parts = max(1, len(touched))
     (rows.repartitionByRange(max(parts, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "shard", "slot").sortWithinPartitions("shard", "slot")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path))
+    held = {r[0] for r in going.select("shard").distinct().collect()}
+    for shard in set(touched) - held:
+        files.delete(docs.sparkSession, f"{path}/shard={shard}")
     return touched
 
 

@@ -78,3 +78,18 @@ def test_rewrite_only_affected(spark, tmp_path):
     back = spark.read.parquet(path)
     assert back.count() == 90 and {r.shard: r.n for r in back.groupBy("shard").agg(F.count("*").alias("n")).collect()} == {0: 30, 1: 30, 2: 30}
     assert {r.doc_id for r in back.join(docs.withColumnRenamed("old", "o"), "doc_id").where("shard <> o").collect()} == set(range(30, 40))
+
+
+def test_rewrite_keeps_every_row_once(spark, tmp_path):
+    rows = [(None, "a" * i, i, i % 4) for i in range(12)] + [(7, "same", i, i % 4) for i in range(12)] + [(100 + i, "b", i, 3) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra int, old int")
+    path = str(tmp_path / "shards")
+    docs.withColumn("shard", F.col("old")).withColumn("slot", F.lit(0).cast("long")).write.partitionBy("shard").parquet(path)
+    with pytest.raises(ValueError, match="carry"):
+        S.rewrite_affected(docs, S.layout(docs, F.col("old"), 2), path)
+    assert spark.read.parquet(path).count() == len(rows)
+    assert S.rewrite_affected(docs, S.layout(docs, F.col("old"), 2, carry=True), path) == [0, 1, 2, 3]  # from four shards to two
+    back = spark.read.parquet(path)
+    assert sorted(map(tuple, back.select(*docs.columns).collect()), key=str) == sorted(rows, key=str)
+    assert {r.shard: r.n for r in back.groupBy("shard").agg(F.count("*").alias("n")).collect()} == {0: 16, 1: 16}
+    assert not (tmp_path / "shards" / "shard=3").exists()
