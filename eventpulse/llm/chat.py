@@ -1,15 +1,14 @@
 """Preference formatting: the longest common turn prefix as one prompt, and two masked completions.
 
-A pair is a chosen and a rejected conversation. Turns are compared in order by role and text; those before the first
+A pair is a chosen and a rejected conversation, and comes out as one row. Turns are compared in order by role and text; those before the first
 difference are rendered once, as the prompt; what follows is rendered as each side's completion, with spans [start, end)
 in code points of what a model learns from: assistant texts with their end mark. Other completion turns, and the prompt, carry no loss.
 
-Turns are compared by digest, so texts are shuffled once, to where their rows are put together. A row holds up to ``CHUNK``
-turns of a pair: nearly all pairs are one row, chunk 0, and a conversation of any length becomes
-several rows in order, so that none is gathered whole into one task.
+Rows are first reduced to one for each turn of a side, with map-side combining, so turns repeated any number of times are spread over tasks; then a pair's
+turns are put together where its row is made. A row is as large as its two conversations are, whatever their length.
 
-Defined results: rows without conversation or turn are left out; null role is ``unknown``, null text empty. Of several rows for one turn the
-least by (role, text) counts, so repeated rows change nothing. A missing side is an empty completion, with nothing common. Pairs
+Defined results: rows without conversation or turn are left out; null role is ``unknown``, null text empty. Of several rows for one turn of a side the
+least by (role, text) is kept, and only kept rows are compared and rendered, so repeated rows change nothing. A missing side is an empty completion, with nothing common. Pairs
 that are wholly alike have empty completions. ``<|`` in texts is escaped as ``<\\|``, so a text can't make a mark. Extra columns are ignored; an empty table gives no rows.
 """
 
@@ -20,7 +19,6 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-CHUNK = 1000
 END = "<|end|>"
 
 
@@ -28,27 +26,24 @@ def _head(role: Column) -> Column:
     return F.concat(F.lit("<|"), role, F.lit("|>\n"))
 
 
-def format_preferences(turns: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """From turns (pair_id, side, turn, role, text), side being ``chosen`` or ``rejected``, to rows by pair and chunk."""
+def format_preferences(turns: DataFrame) -> DataFrame:
+    """From turns (pair_id, side, turn, role, text), side being ``chosen`` or ``rejected``, to one row a pair."""
     escaped = lambda c: F.replace(c, F.lit("<|"), F.lit("<\\|"))
     rows = turns.where("pair_id is not null and turn is not null and side in ('chosen', 'rejected')").select(
-        "pair_id", F.floor(F.col("turn") / chunk).cast("long").alias("chunk"), F.col("turn").cast("long").alias("turn"), "side",
+        "pair_id", F.col("turn").cast("long").alias("turn"), "side",
         escaped(F.coalesce(F.col("role").cast("string"), F.lit("unknown"))).alias("role"), escaped(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"),
     )
-    mark = F.when(F.col("side") == "chosen", 0).otherwise(1)
-    # The order of a digest stands for the order of texts only among rows of one turn of one side, so the text itself decides there.
-    one = rows.select("pair_id", "chunk", "turn", mark.alias("m"), F.sha2(F.concat_ws("\n", "role", "text"), 256).alias("d"))
-    sets = one.groupBy("pair_id", "chunk", "turn").agg(F.collect_set(F.when(F.col("m") == 0, F.col("d"))).alias("c"), F.collect_set(F.when(F.col("m") == 1, F.col("d"))).alias("r"))
-    by_chunk = sets.groupBy("pair_id", "chunk").agg(F.min(F.when(F.sort_array("c") != F.sort_array("r"), F.col("turn"))).alias("first"))
-    by_pair = by_chunk.groupBy("pair_id").agg(F.min("first").alias("split"))
-    split = by_chunk.select("pair_id", "chunk").join(by_pair, "pair_id").select("pair_id", "chunk", F.coalesce("split", F.lit((1 << 63) - 1)).alias("split"))
-    least = rows.groupBy("pair_id", "chunk", "turn", "side").agg(F.min(F.struct("role", "text")).alias("t"))
-    told = least.join(split, ["pair_id", "chunk"])
+    least = rows.groupBy("pair_id", "turn", "side").agg(F.min(F.struct("role", "text")).alias("t"))
     piece = F.concat(_head(F.col("t.role")), F.col("t.text"), F.lit(END + "\n"))
     entry = F.struct("turn", piece.alias("piece"), (F.col("t.role") == "assistant").alias("learn"), F.length(_head(F.col("t.role"))).alias("lead"))
-    common = F.col("turn") < F.col("split")
-    of = lambda cond: F.array_sort(F.collect_list(F.when(cond, entry)))
-    made = told.groupBy("pair_id", "chunk").agg(of(common & (F.col("side") == "chosen")).alias("p"), of(~common & (F.col("side") == "chosen")).alias("c"), of(~common & (F.col("side") == "rejected")).alias("r"))
+    of = lambda side: F.array_sort(F.collect_list(F.when(F.col("side") == side, entry)))
+    sides = least.groupBy("pair_id").agg(of("chosen").alias("a"), of("rejected").alias("b"))
+    # Equal pieces whose heads are of one length have equal roles and texts.
+    same = lambda x, y: (x["turn"] == y["turn"]) & (x["lead"] == y["lead"]) & (x["piece"] == y["piece"])
+    differs = F.array_position(F.transform(F.zip_with("a", "b", same), lambda s: F.coalesce(s, F.lit(False))), False).cast("int")
+    common = F.when(differs > 0, differs - 1).otherwise(F.size("a"))
+    rest = lambda c: F.slice(c, F.col("k") + 1, F.size(c))
+    made = sides.select("pair_id", "a", "b", common.alias("k")).select("pair_id", F.slice("a", F.lit(1), F.col("k")).alias("p"), rest("a").alias("c"), rest("b").alias("r"))
     text = lambda c: F.array_join(F.transform(c, lambda x: x["piece"]), "")
 
     def spans(c: str) -> Column:
@@ -62,7 +57,7 @@ def format_preferences(turns: DataFrame, chunk: int = CHUNK) -> DataFrame:
         return F.array_join(F.aggregate(c, start, add, lambda acc: acc["s"]), ",")
 
     return made.select(
-        "pair_id", "chunk", F.size("p").cast("long").alias("n_prompt_turns"), F.size("c").cast("long").alias("n_chosen_turns"), F.size("r").cast("long").alias("n_rejected_turns"),
+        "pair_id", F.size("p").cast("long").alias("n_prompt_turns"), F.size("c").cast("long").alias("n_chosen_turns"), F.size("r").cast("long").alias("n_rejected_turns"),
         text("p").alias("prompt"), text("c").alias("chosen"), spans("c").alias("chosen_spans"), text("r").alias("rejected"), spans("r").alias("rejected_spans"),
     )
 
@@ -74,19 +69,19 @@ def op4_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ORACLE = rf"""
-with t as (select floor(conv_id / 2)::bigint pair_id, floor(turn / {CHUNK})::bigint chunk, turn::bigint turn, case when conv_id % 2 = 0 then 'c' else 'r' end side, replace(coalesce(role, 'unknown'), '<|', '<\|') role, replace(coalesce(text, ''), '<|', '<\|') txt
+with t as (select floor(conv_id / 2)::bigint pair_id, turn::bigint turn, case when conv_id % 2 = 0 then 'c' else 'r' end side, replace(coalesce(role, 'unknown'), '<|', '<\|') role, replace(coalesce(text, ''), '<|', '<\|') txt
  from conversations where conv_id is not null and turn is not null),
-k as (select pair_id, chunk, turn, side, min(struct_pack(a := role, b := txt)) x from t group by all),
-d as (select pair_id, turn, list_sort(list_distinct(list(role || chr(10) || txt) filter (side = 'c'))) c, list_sort(list_distinct(list(role || chr(10) || txt) filter (side = 'r'))) r from t group by all),
+k as (select pair_id, turn, side, min(struct_pack(a := role, b := txt)) x from t group by all),
+d as (select pair_id, turn, min(x) filter (side = 'c') c, min(x) filter (side = 'r') r from k group by all),
 s as (select pair_id, coalesce(min(turn) filter (c is distinct from r), 9223372036854775807) split from d group by pair_id),
-p as (select pair_id, chunk, turn, side, turn < split common, '<|' || x.a || '|>' || chr(10) lead, '<|' || x.a || '|>' || chr(10) || x.b || '{END}' || chr(10) piece, x.a = 'assistant' learn from k join s using (pair_id)),
-o as (select *, coalesce(sum(length(piece)) over (partition by pair_id, chunk, side, common order by turn rows between unbounded preceding and 1 preceding), 0)::bigint off from p),
+p as (select pair_id, turn, side, turn < split common, '<|' || x.a || '|>' || chr(10) lead, '<|' || x.a || '|>' || chr(10) || x.b || '{END}' || chr(10) piece, x.a = 'assistant' learn from k join s using (pair_id)),
+o as (select *, coalesce(sum(length(piece)) over (partition by pair_id, side, common order by turn rows between unbounded preceding and 1 preceding), 0)::bigint off from p),
 z as (select *, (off + length(lead))::varchar || ':' || (off + length(piece) - 1)::varchar span from o)
-select pair_id, chunk, count(*) filter (common and side = 'c') n_prompt_turns, count(*) filter (not common and side = 'c') n_chosen_turns, count(*) filter (not common and side = 'r') n_rejected_turns,
+select pair_id, count(*) filter (common and side = 'c') n_prompt_turns, count(*) filter (not common and side = 'c') n_chosen_turns, count(*) filter (not common and side = 'r') n_rejected_turns,
  coalesce(string_agg(piece, '' order by turn) filter (common and side = 'c'), '') prompt,
  coalesce(string_agg(piece, '' order by turn) filter (not common and side = 'c'), '') chosen, coalesce(string_agg(span, ',' order by turn) filter (not common and side = 'c' and learn), '') chosen_spans,
  coalesce(string_agg(piece, '' order by turn) filter (not common and side = 'r'), '') rejected, coalesce(string_agg(span, ',' order by turn) filter (not common and side = 'r' and learn), '') rejected_spans
-from z group by pair_id, chunk"""
+from z group by pair_id"""
 
 QUERIES = {"op4_preference_formatting": op4_preference_formatting}
 ORACLES = {"op4_preference_formatting": _ORACLE}
