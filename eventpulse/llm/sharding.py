@@ -1,15 +1,17 @@
 """Resharding by minimum-cost flow: from old shard sizes and new capacities, move the fewest bytes.
 
-Old shards are cut into blocks (a shard's rows of one power-of-two size class). A flow network takes
+Old shards are cut into blocks: a shard's rows of one size class, the classes being ranges of sizes common to all shards. A flow network takes
 each block's rows either to the shard they are in, at no cost, or through a pool to any other
 shard, at the block's mean bytes a row; each new shard takes at least and at most what its capacity
-says. The cheapest flow says how many rows each old shard gives away; the smallest rows go, so the
-bytes moved are the fewest. The plan is a short list of intervals of a shard's rows in order of
+says. The cheapest flow says how many rows each old shard gives away; its smallest rows go. Where one shard gives away rows of a class
+while another keeps some of it, the choice between them hangs on the sizes within the class: such classes are counted again in finer ranges, and the flow
+is solved again, until each of them is of a single size. Then no exchange of rows can save a byte, so the bytes moved are the fewest there are.
+The plan is a short list of intervals of a shard's rows in order of
 size; every row finds its interval by its rank, and its slot by its place in the interval.
 
-Ranks come from one range-partitioned sort by (shard, size, checksum, id) and the row counts of its
-partitions, so a shard with a third of all rows, or a third of all texts alike, is spread over many
-tasks. The driver sees only counts by (shard, partition, size class).
+Ranks come from one range-partitioned sort by (shard, size, checksum, id, row) and the row counts of its
+partitions, so a shard with a third of all rows, or a third of all texts alike, null ids among them, is spread over many
+tasks. The driver sees only counts by (shard, partition) and (shard, size class).
 
 Defined results: null text has size 16 and checksum 0; null ids are ordinary rows; repeated rows each
 get a slot of their own; an empty table gives no rows. Extra columns stay untouched by
@@ -20,7 +22,9 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +34,8 @@ from eventpulse.sources import files
 from .common import fold, local_rows, materialize, table
 
 OVERHEAD = 16
-OLD_SHARDS, NEW_SHARDS = 32, 40
+OLD_SHARDS, NEW_SHARDS = 44, 40
+_FINER = 4
 
 
 class MinCostFlow:
@@ -58,6 +63,8 @@ class MinCostFlow:
             dist, via, queue, tick = {source: 0}, {}, [(0, 0, source)], 0
             while queue:
                 d, _, node = heapq.heappop(queue)
+                if node == sink:
+                    break
                 if d > dist[node]:
                     continue
                 for e in self.out[node]:
@@ -67,9 +74,9 @@ class MinCostFlow:
                         heapq.heappush(queue, (nd, tick, to))
             if sink not in dist:
                 return amount, cost
-            far = max(dist.values())
+            far = dist[sink]
             for node in list(self.out):
-                potential[node] += dist.get(node, far)
+                potential[node] += min(dist.get(node, far), far)
             path, node = [], sink
             while node != source:
                 path.append(via[node])
@@ -98,20 +105,19 @@ def even_capacities(rows: int, shards: int) -> list[tuple[int, int]]:
     return [(rows // shards, -(-rows // shards))] * shards
 
 
-def plan_transfers(blocks: list[tuple[int, int, int]], capacities: list[tuple[int, int]]) -> list[Transfer]:
-    """``blocks``: (old shard, rows, bytes); ``capacities``: (least, most) rows of each new shard.
+def solve_flow(blocks: list[tuple[int, int, int]], capacities: list[tuple[int, int]]) -> tuple[list[int], dict[int, int]]:
+    """The rows that stay of each block (old shard, rows, bytes), and the rows that each new shard gets, at the fewest bytes.
 
-    Raises ValueError where the capacities can't hold the rows, or ask for more.
+    ``capacities`` are (least, most) rows of each new shard; ValueError where they can't hold the rows, or ask for more.
     """
-    net, stays, size = MinCostFlow(), defaultdict(list), defaultdict(int)
+    net, stays = MinCostFlow(), {}
     total, least = sum(b[1] for b in blocks), sum(c[0] for c in capacities)
     if not least <= total <= sum(c[1] for c in capacities):
         raise ValueError(f"{total} rows do not fit capacities of {least} to {sum(c[1] for c in capacities)}")
     for k, (old, rows, weight) in enumerate(blocks):
-        size[old] += rows
         net.edge("source", ("block", k), rows, 0)
         if 0 <= old < len(capacities):
-            stays[old].append(net.edge(("block", k), ("shard", old), rows, 0))
+            stays[k] = net.edge(("block", k), ("shard", old), rows, 0)
         net.edge(("block", k), "pool", rows, max(1, round(weight / max(rows, 1))))
     gets = {}
     for new, (low, high) in enumerate(capacities):
@@ -120,8 +126,16 @@ def plan_transfers(blocks: list[tuple[int, int, int]], capacities: list[tuple[in
         net.edge(("shard", new), "spare", high - low, 0)
     net.edge("spare", "sink", total - least, 0)
     net.solve("source", "sink")
-    gets = {new: net.flow_on(e) for new, e in gets.items()}
-    kept = {old: sum(map(net.flow_on, stays[old])) for old in size}
+    return [net.flow_on(stays[k]) if k in stays else 0 for k in range(len(blocks))], {new: net.flow_on(e) for new, e in gets.items()}
+
+
+def plan_transfers(blocks: list[tuple[int, int, int]], capacities: list[tuple[int, int]]) -> list[Transfer]:
+    """The flow as intervals of each old shard's rows in order of size."""
+    stay, gets = solve_flow(blocks, capacities)
+    size, kept = defaultdict(int), defaultdict(int)
+    for (old, rows, _), k in zip(blocks, stay):
+        size[old] += rows
+        kept[old] += k
     plan, filled, wanting = [], defaultdict(int), iter([[n, g] for n, g in gets.items() if g])
     for old in sorted(size):
         if kept[old]:  # what stays has the first slots of its shard
@@ -141,6 +155,61 @@ def plan_transfers(blocks: list[tuple[int, int, int]], capacities: list[tuple[in
     return plan
 
 
+@dataclass
+class SizeClass:
+    """Sizes from ``low`` to ``high`` inclusive, and the (rows, bytes) of each shard."""
+
+    low: int
+    high: int
+    of: dict[int, tuple[int, int]]
+
+
+def exact_classes(count: Callable[[list[tuple[int, int, int]]], list[tuple[int, int, int, int, int, int, int]]], rows: int, shards: int) -> list[tuple[int, int, int]]:
+    """Blocks whose flow moves the fewest bytes, from a function that counts ranges of sizes.
+
+    ``count`` takes ranges (low, high, step), or none for powers of two, and returns (range, start, shard, rows, bytes, least, greatest size) for each step of a range that a shard has rows in.
+    """
+
+    def classes(ranges: list[tuple[int, int, int]]) -> list[SizeClass]:
+        found: dict[tuple[int, int], SizeClass] = {}
+        for nth, start, old, n, weight, least, greatest in count(ranges):
+            c = found.setdefault((nth, start), SizeClass(least, greatest, {}))
+            c.low, c.high, c.of[old] = min(c.low, least), max(c.high, greatest), (n, weight)
+        return sorted(found.values(), key=lambda c: c.low)
+
+    def blocks_of(these: list[SizeClass]) -> list[tuple[int, int, int]]:
+        return [(old, *c.of[old]) for old in sorted({x for c in these for x in c.of}) for c in these if old in c.of]
+
+    now, capacities = classes([]), even_capacities(rows, shards)
+    while True:
+        blocks = blocks_of(now)
+        stay = iter(solve_flow(blocks, capacities)[0])
+        kept = {(old, id(c)): next(stay) for old in sorted({x for c in now for x in c.of}) for c in now if old in c.of}
+        states = []
+        for c in now:  # shards that keep some of the class, and those that give some away and could have kept it
+            keep, give = {x for x in c.of if kept[x, id(c)]}, {x for x in c.of if x < shards and kept[x, id(c)] < c.of[x][0]}
+            states.append("open" if keep and give and len(keep | give) > 1 and c.low < c.high else "single" if keep and give else "keep" if keep else "give")
+        if "open" not in states:
+            return blocks
+        told = [c for c, s in zip(now, states) if s == "open"]
+        now = _merged(now, states) + classes([(c.low, c.high, -(-(c.high - c.low + 1) // _FINER)) for c in told])
+        now.sort(key=lambda c: c.low)
+
+
+def _merged(these: list[SizeClass], states: list[str]) -> list[SizeClass]:
+    """Neighbours that are wholly kept, or wholly given away, as one class; open classes are left out."""
+    out: list[SizeClass] = []
+    last = None
+    for c, s in zip(these, states):
+        if s == last and s in ("keep", "give"):
+            both = {x: tuple(map(sum, zip(out[-1].of.get(x, (0, 0)), c.of.get(x, (0, 0))))) for x in out[-1].of.keys() | c.of.keys()}
+            out[-1] = SizeClass(out[-1].low, c.high, both)
+        elif s != "open":
+            out.append(c)
+        last = s
+    return out
+
+
 def layout(docs: DataFrame, old_shard: Column, shards: int, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """(doc_id, size, text_crc32, old_shard, shard, slot) of every row; row counts of shards are at most one apart.
 
@@ -155,20 +224,25 @@ def layout(docs: DataFrame, old_shard: Column, shards: int, id_col: str = "doc_i
         old_shard.cast("int").alias("old_shard"),
         *([F.struct(*docs.columns).alias("carried")] if carry else []),
     )
-    order = ["old_shard", "size", "text_crc32", "doc_id"]
-    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartitionByRange(count, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    placed = materialize(placed.select("*", F.shiftright("_at", 33).cast("int").alias("_part"), F.col("_at").bitwiseAND((1 << 33) - 1).alias("_row")).drop("_at"), "ranked")
-    kind = F.floor(F.log2("size")).cast("int")
-    counts = placed.groupBy("old_shard", "_part", kind.alias("kind")).agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.min("_row").alias("first")).collect()
-    blocks, spans = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 1 << 62])
-    for r in counts:
-        blocks[r["old_shard"], r["kind"]][0] += r["n"]
-        blocks[r["old_shard"], r["kind"]][1] += r["bytes"]
-        span = spans[r["old_shard"], r["_part"]]
-        span[0] += r["n"]
-        span[1] = min(span[1], r["first"])
-    plan = plan_transfers([(old, n, b) for (old, _), (n, b) in sorted(blocks.items())], even_capacities(sum(n for n, _ in blocks.values()), shards)) if blocks else []
+    order = ["old_shard", "size", "text_crc32", "doc_id", "_tie"]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.withColumn("_tie", F.xxhash64(F.monotonically_increasing_id()))  # only tells rows apart that are alike
+    placed = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = materialize(placed.select("*", F.shiftright("_at", 33).cast("int").alias("_part"), F.col("_at").bitwiseAND((1 << 33) - 1).alias("_row")).drop("_at", "_tie"), "ranked")
+    spans = {(r["old_shard"], r["_part"]): (r["n"], r["first"]) for r in placed.groupBy("old_shard", "_part").agg(F.count("*").alias("n"), F.min("_row").alias("first")).collect()}
+
+    def count(ranges: list[tuple[int, int, int]]) -> list[tuple]:
+        size, held = F.col("size"), placed
+        nth, start = F.lit(0), F.floor(F.log2("size")).cast("long")
+        if ranges:
+            within = [(size >= low) & (size <= high) for low, high, _ in ranges]
+            nth = F.coalesce(*(F.when(w, k) for k, w in enumerate(within)))
+            start = F.coalesce(*(F.when(w, F.floor((size - low) / step)) for w, (low, _, step) in zip(within, ranges)))
+            held = placed.where(reduce(lambda a, b: a | b, within))
+        return [tuple(r) for r in held.groupBy(nth.alias("nth"), start.alias("start"), "old_shard").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.min("size").alias("least"), F.max("size").alias("greatest")).collect()]
+
+    total = sum(n for n, _ in spans.values())
+    plan = plan_transfers(exact_classes(count, total, shards), even_capacities(total, shards)) if total else []
     of = defaultdict(list)
     for t in plan:
         of[t.old].append(t)
@@ -213,9 +287,14 @@ def rewrite_affected(docs: DataFrame, placed: DataFrame, path: str, id_col: str
     return touched
 
 
+def uneven_shards(doc_id: str, shards: int = OLD_SHARDS) -> Column:
+    """Old shards by the id's checksum, shard k holding k + 1 parts of all: the last ones are over any even capacity, the first ones under it."""
+    return F.floor((F.sqrt(8 * fold(doc_id, shards * (shards + 1) // 2) + 1) - 1) / 2).cast("int")
+
+
 def op3_min_cost_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents from 32 old shards (by the id's checksum) to 40 new ones."""
-    placed = layout(table(spark, sf_dir, "documents"), fold("doc_id", OLD_SHARDS), NEW_SHARDS)
+    """All documents from 44 uneven old shards (by the id's checksum) to 40 even ones; the last four close."""
+    placed = layout(table(spark, sf_dir, "documents"), uneven_shards("doc_id"), NEW_SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 

@@ -32,6 +32,52 @@ def test_flow_is_cheapest_by_brute_force():
         assert sum(got) == total and max(got) - min(got) <= 1
 
 
+def fewest(sizes, shards):
+    """The fewest bytes to move, over all numbers of rows that each old shard can keep."""
+    total = sum(map(len, sizes))
+    caps, best = S.even_capacities(total, shards), 10**9
+    for keep in product(*(range(len(z) + 1) if o < shards else (0,) for o, z in enumerate(sizes))):
+        if all(k <= caps[o][1] for o, k in enumerate(keep) if o < shards):
+            held = [keep[s] if s < len(sizes) else 0 for s in range(shards)]
+            if sum(max(0, c[0] - x) for c, x in zip(caps, held)) <= total - sum(keep):
+                best = min(best, sum(sum(sorted(z)[: len(z) - k]) for z, k in zip(sizes, keep)))
+    return best
+
+
+def counter(sizes):
+    def count(ranges):
+        found = {}
+        for old, z in enumerate(sizes):
+            for x in z:
+                for nth, (low, high, step) in enumerate(ranges or [(0, 0, 0)]):
+                    if not ranges or low <= x <= high:
+                        found.setdefault((nth, (x - low) // step if ranges else x.bit_length(), old), []).append(x)
+        return [(*k, len(v), sum(v), min(v), max(v)) for k, v in found.items()]
+
+    return count
+
+
+def test_fewest_bytes_over_unequal_sizes():
+    rng = random.Random(9)
+    cases = [([[16, 30], [20, 20]], 3)] + [([[rng.choice([rng.randint(16, 60), rng.randint(16, 4000)]) for _ in range(rng.randint(0, 6))] for _ in range(rng.randint(1, 4))], rng.randint(1, 5)) for _ in range(150)]
+    for sizes, shards in cases:
+        total = sum(map(len, sizes))
+        if not total:
+            continue
+        plan = S.plan_transfers(S.exact_classes(counter(sizes), total, shards), S.even_capacities(total, shards))
+        moved = sum(sum(sorted(sizes[t.old])[t.lo : t.hi]) for t in plan if t.old != t.new)
+        assert moved == fewest(sizes, shards), (sizes, shards)
+
+
+def test_layout_moves_the_fewest_bytes(spark):
+    rng = random.Random(10)
+    sizes = [[rng.randint(16, 400) for _ in range(n)] for n in (9, 2, 5, 7)]
+    docs = spark.createDataFrame([(i, "x" * (z - 16), o) for o, zs in enumerate(sizes) for i, z in enumerate(zs)], "doc_id long, text string, old int")
+    for shards in (2, 3, 5):
+        rows = S.layout(docs, F.col("old"), shards).collect()
+        assert sum(r.size for r in rows if r.shard != r.old_shard) == fewest(sizes, shards)
+
+
 def test_capacities_must_fit():
     with pytest.raises(ValueError, match="do not fit"):
         S.plan_transfers([(0, 5, 50)], [(0, 2), (0, 2)])
