@@ -1,7 +1,7 @@
 r"""Personal data and secrets replaced by keyed surrogates, in DataFrame functions alone.
 
 One pattern finds e-mail addresses, IPv4 addresses, phone numbers, card numbers, social security numbers, IBANs,
-secrets, and names after a title, of any number of words. In a text, the words of its detected names are replaced wherever else they stand with a
+secrets, and names after a title, of any number of words. The alternative that matched is the mention's type. No group is repeated greedily, so a mention of any length needs no deep stack. In a text, the words of its detected names are replaced wherever else they stand with a
 capital, by the same surrogates; they aren't counted as mentions. Mentions are cut into entities (a name's words one by one) with a
 normal form: lower case, and for numbers digits only. Each distinct entity gets one surrogate from SHA-256
 of the key, its type and normal form, and of an attempt number. The surrogate has the entity's form: letters stay letters of
@@ -17,12 +17,13 @@ none coincides with a real one. Where a form is used up, surrogates grow by a ch
 A quoted secret that repeats one sign (``********``) is a mask and no mention. In other secrets every letter, of any script, every digit and every sign
 is replaced; only - _ and . stay beside letters and digits.
 
-Texts without a mention are never shuffled. Mentions are gathered by digest of their text, so a large group of copies is
-resolved once; rows then meet their text's map of mentions in one equi-join.
+Texts without a mention are never shuffled nor written. The pattern takes a text with mentions apart once; the parts are written, and all that follows reads
+them: mentions are gathered by digest of their text and place, so a large group of copies is resolved once, and rows then meet their text's list of surrogates in one equi-join.
+Three noncharacters of Unicode (U+FDD0 to U+FDD2) mark the parts; a text that holds them itself has them escaped before and restored after.
 
 Defined results: null and empty text stay so and have no mentions. Null ids and repeated rows are kept as they
-are. All columns of the input are returned in order, with the text replaced; ``n_chars`` is set anew if its name is given. Column names
-starting with ``_pii_`` raise ValueError. An empty table gives no rows. Overlapping finds go to the leftmost, then to the first type listed.
+are. All columns of the input are returned in order, with the text replaced, and ``n_mentions`` after them; ``n_chars`` is set anew if its name is given. Column names
+starting with ``_pii_``, and ``n_mentions``, raise ValueError. An empty table gives no rows. Overlapping finds go to the leftmost, then to the first type listed.
 """
 
 from __future__ import annotations
@@ -40,24 +41,27 @@ WIDER_FROM = 6
 _MALE, _FEMALE, _EITHER = "Mr|Herr|Monsieur|Señor|господин", "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|госпожа", "Dr|Prof"
 _MALE, _FEMALE, _EITHER = (f"{t}|{t.upper()}" for t in (_MALE, _FEMALE, _EITHER))
 #: A name ends with a letter, and before a possessive 's.
-_NAME = r"\p{Lu}(?:['’-]*(?!(?<=['’])s(?!\p{L}))\p{L})+"
+_NAME = r"\p{Lu}(?:['’-]*(?!(?<=['’])s(?!\p{L}))\p{L})++"
 _WORD = rf"(?<![\p{{L}}\p{{N}}]){_NAME}"
 #: What titles begin with, in every form listed.
 _INITIALS = "".join(sorted({t[0] for t in f"{_MALE}|{_FEMALE}|{_EITHER}".split("|")}))
-#: Types in order of preference; each is a pattern of Java's regular expressions without capturing groups.
+#: Types in order of preference; each is a pattern of Java's regular expressions without capturing groups, and one group of the whole pattern.
 TYPES = {
-    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)+",
+    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)++",
     "secret": r"(?<=[\"'])(?<=(?i:token|secret|key|password|passwd)[ \t]{0,3}[=:][ \t]{0,3}[\"'])(?!(?:\*+|•+|·+|●+|\.+|…+|-+|–+|—+|_+|#+|=+|~+|\?+)[\"'])[^\"'\s]{6,}+(?=[\"'])|(?<![\p{L}\p{N}])(?:AKIA|ASIA)[0-9A-Z]{16}(?![\p{L}\p{N}])|(?<![\p{L}\p{N}])(?:gh[pousr]_|sk-)[A-Za-z0-9]{20,}+|(?<![\p{L}\p{N}])(?=[a-f]{0,64}[0-9])[0-9a-f]{32,}+(?![\p{L}\p{N}])",
     "ip": r"(?<![\p{N}.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "phone": r"(?<![\p{N}+])\+1[ .\-]?\(?\d{3}\)?[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)|(?<![\p{N}+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,3}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d\-])\d{3}-\d{3}-\d{4}(?![\d\-])",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": r"(?<!\d)(?:\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{1,7}|\d{13,19})(?!\d)",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_EITHER})\.? {_NAME}(?: (?!(?:{_MALE}|{_FEMALE}|{_EITHER})\.? ){_NAME})*",
+    "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_MALE}|{_FEMALE}|{_EITHER})\.? {_NAME}(?: (?!(?:{_MALE}|{_FEMALE}|{_EITHER})\.? ){_NAME})*+",
 }
 #: What a mention of a type begins with, looked at first: at most places one character decides.
 _BEGINS = {"secret": r"(?:(?<=[\"'])|(?=[0-9a-gsA]))", "ip": "(?=[0-9])", "phone": r"(?=[0-9+(])", "ssn": "(?=[0-9])", "card": "(?=[0-9])", "iban": "(?=[A-Z])", "name": f"(?=[{_INITIALS}])"}
-PATTERN = "|".join(f"{_BEGINS.get(t, '')}(?:{p})" for t, p in TYPES.items())
+PATTERN = "|".join(f"{_BEGINS.get(t, '')}({p})" for t, p in TYPES.items())
+#: Marks around a mention, between its groups, and of an escape; and what the escape writes for each.
+_AROUND, _GROUP, _ESCAPE, _WRITTEN = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd4\ufdd5\ufdd3"
+_MARKED = _AROUND + _GROUP.join(f"${k + 1}" for k in range(len(TYPES))) + _AROUND
 #: Every mention has a character of the first, or begins as the second says: most texts have neither, and no pattern is run over them.
 _MARKS, _STARTS = r"[0-9@\"'_]", rf"[{_INITIALS}As](?:(?<=[As])(?:(?<=A)(?:KIA|SIA)|(?<=s)k-)|(?<=[{_INITIALS}])(?<=(?=(?:{_MALE}|{_FEMALE}|{_EITHER})\.? \p{{Lu}}).))"
 _NUMBERS = ("phone", "ssn", "card")
@@ -78,45 +82,62 @@ def _letters(start: int, count: int) -> Column:
     return F.lit("".join(map(chr, range(start, start + count))))
 
 
-def mentions(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+def _escaped(text: Column) -> Column:
+    out = text
+    for mark, code in zip((_ESCAPE, _AROUND, _GROUP), (_WRITTEN[2], _WRITTEN[0], _WRITTEN[1])):
+        out = F.replace(out, F.lit(mark), F.lit(_ESCAPE + code))
+    return F.when(text.rlike(f"[{_AROUND}{_GROUP}{_ESCAPE}]"), out).otherwise(text)
+
+
+def _restored(text: Column) -> Column:
+    out = text
+    for mark, code in zip((_AROUND, _GROUP, _ESCAPE), _WRITTEN):
+        out = F.replace(out, F.lit(_ESCAPE + code), F.lit(mark))
+    return F.when(F.contains(text, F.lit(_ESCAPE)), out).otherwise(text)
 
 
 def has_mention(text: Column) -> Column:
-    return F.coalesce((text.rlike(_MARKS) | text.rlike(_STARTS)) & text.rlike(PATTERN), F.lit(False))
+    return F.coalesce((text.rlike(_MARKS) | text.rlike(_STARTS)) & _escaped(text).rlike(PATTERN), F.lit(False))
+
+
+def parts_of(text: Column) -> Column:
+    """The text taken apart: an array of (before, kind, mention), the last one without a mention; texts are escaped."""
 
+    def part(pieces: Column, i: Column) -> Column:
+        groups = F.split(F.get(pieces, 2 * i + 1), _GROUP)
+        kind = F.get(F.array(*map(F.lit, TYPES)), F.array_position(F.transform(groups, lambda g: g != ""), True).cast("int") - 1)
+        return F.struct(F.get(pieces, 2 * i).alias("before"), kind.alias("kind"), F.array_join(groups, "").alias("mention"))
 
-def kind_of(mention: Column) -> Column:
-    """The first type whose pattern a mention is; context that the mention lacks is not asked for again."""
-    full = lambda p: mention.rlike(f"^(?:{p})$")
-    return (F.when(full(TYPES["email"]), "email").when(full(TYPES["ip"]), "ip").when(full(TYPES["phone"]), "phone").when(full(TYPES["ssn"]), "ssn")
-            .when(full(TYPES["card"]), "card").when(full(TYPES["iban"]), "iban").when(full(TYPES["name"]), "name").otherwise("secret"))
+    marked = F.split(F.regexp_replace(_escaped(text), PATTERN, _MARKED), _AROUND, -1)
+    return let(marked, lambda pieces: F.transform(F.sequence(F.lit(0), F.floor(F.size(pieces) / 2).cast("int")), lambda i: part(pieces, i)))
 
 
 def entities_of(found: DataFrame) -> DataFrame:
-    """From distinct ``mention`` to (mention, pos, before, form, type, norm, gender): the entities it is made of."""
-    kind, m = kind_of(F.col("mention")), F.col("mention")
+    """From distinct (mid, kind, mention) to (mid, pos, before, form, type, norm, gender): the entities that a mention is made of."""
+    m = F.col("mention")
     title = F.regexp_extract(m, _TITLE, 0)
     gender = F.when(title.rlike(f"^(?:{_FEMALE})"), "f").when(title.rlike(f"^(?:{_MALE})"), "m").otherwise("e")
-    words = F.split(F.substring(m, F.length(title) + 1, F.length(m)), " ")
 
-    def word(w: Column, i: Column) -> Column:
-        last = i == F.size(words) - 1
-        return F.struct(F.when(i == 0, title).otherwise(" ").alias("before"), w.alias("form"), F.when(last, "surname").otherwise("given").alias("type"), F.lower(w).alias("norm"), F.when(last, "s").otherwise(gender).alias("gender"))
+    def word(w: Column, i: Column, count: Column) -> Column:
+        last = i == count - 1
+        return F.struct(F.when(i == 0, F.col("title")).otherwise(" ").alias("before"), w.alias("form"), F.when(last, "surname").otherwise("given").alias("type"), F.lower(w).alias("norm"), F.when(last, "s").otherwise(F.col("gender")).alias("gender"))
 
     plain = F.when(F.col("kind").isin(*_NUMBERS), F.regexp_replace(m, r"\D", "")).when(F.col("kind") == "secret", m).when(F.col("kind") == "iban", F.regexp_replace(m, " ", "")).otherwise(F.lower(m))
     whole = F.array(F.struct(F.lit("").alias("before"), m.alias("form"), F.col("kind").alias("type"), plain.alias("norm"), F.lit("").alias("gender")))
-    parts = found.select("mention", kind.alias("kind")).select("mention", F.posexplode(F.when(F.col("kind") == "name", F.transform(words, word)).otherwise(whole)).alias("pos", "p"))
-    return parts.select("mention", "pos", "p.before", "p.form", "p.type", "p.norm", "p.gender")
+    words = let(F.split(F.substring(m, F.length("title") + 1, F.length(m)), " "), lambda ws: let(F.size(ws), lambda n: F.transform(ws, lambda w, i: word(w, i, n))))
+    found = found.withColumn("title", title).withColumn("gender", gender)
+    parts = found.select("mid", F.posexplode(F.when(F.col("kind") == "name", words).otherwise(whole)).alias("pos", "p"))
+    return parts.select("mid", "pos", "p.before", "p.form", "p.type", "p.norm", "p.gender")
 
 
 def _draws(seed: Column, count: Column) -> Column:
-    """At least ``count`` hexadecimal fours of a keyed stream."""
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.floor(count / 16).cast("int")), lambda k: F.sha2(F.concat(seed, F.lit("|"), k.cast("string")), 256)), "")
+    """At least ``count`` hexadecimal fours of a keyed stream, in strings of sixteen."""
+    return let(F.sha2(seed, 256), lambda s: F.transform(F.sequence(F.lit(0), F.floor(count / 16).cast("int")), lambda k: F.sha2(F.concat(s, F.lit("|"), k.cast("string")), 256)))
 
 
 def _draw(stream: Column, i: Column, below: Column | int) -> Column:
-    return F.pmod(F.conv(F.substring(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int"), F.lit(below) if isinstance(below, int) else below)
+    four = F.substring(F.get(stream, F.floor(i / 16).cast("int")), (F.pmod(i, F.lit(16)) * 4 + 1).cast("int"), F.lit(4))
+    return F.pmod(F.conv(four, 16, 10).cast("int"), F.lit(below) if isinstance(below, int) else below)
 
 
 def _pick(alphabet: Column | str, draw: Column) -> Column:
@@ -138,10 +159,10 @@ def _like(c: Column, stream: Column, i: Column, hexadecimal: Column, stays: Colu
 
 
 def _replaced(norm: Column, stream: Column, keep_first: Column, signs: bool = False) -> Column:
-    """Every character after the first ``keep_first`` replaced by one of its kind; with ``signs``, signs too."""
-    hexadecimal = norm.rlike("^(?=.*[a-f])[0-9a-f]{16,}$")
-    stays = lambda c: c.rlike(r"[\-_.]") & norm.rlike(r"[\p{L}\p{N}]") if signs else F.lit(True)
-    return F.array_join(F.transform(F.split(norm, ""), lambda c, i: F.when(i < keep_first, c).otherwise(_like(c, stream, i, hexadecimal, stays(c)))), "")
+    """Every character after the first ``keep_first`` replaced by one of its kind; with ``signs``, signs too. What holds for the whole is computed once."""
+    facts = F.struct(norm.rlike("^(?=.*[a-f])[0-9a-f]{16,}$").alias("hex"), (norm.rlike(r"[\p{L}\p{N}]") if signs else F.lit(True)).alias("mixed"), keep_first.alias("keep"))
+    stays = lambda c, f: c.rlike(r"[\-_.]") & f["mixed"] if signs else F.lit(True)
+    return let(facts, lambda f: F.array_join(F.transform(F.split(norm, ""), lambda c, i: F.when(i < f["keep"], c).otherwise(_like(c, stream, i, f["hex"], stays(c, f)))), ""))
 
 
 def _luhn(digits: Column) -> Column:
@@ -211,16 +232,16 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 def _rendered(kind: Column, form: Column, made: Column) -> Column:
     """The surrogate in the mention's punctuation and capitals."""
-    copied = lambda c: F.when(kind.isin(*_NUMBERS), ~c.rlike(r"\d")).when(kind == "iban", c == " ").otherwise(F.lit(False))
+    copied = lambda c: F.when(kind == "iban", c == " ").otherwise(~c.rlike(r"\d"))
 
-    def step(acc: Column, c: Column) -> Column:
-        own = F.substring(made, acc["k"] + 1, F.lit(1))
-        out = F.when(copied(c), c).when((kind == "email") & (c != F.lower(c)), F.upper(own)).otherwise(own)
+    def step(acc: Column, c: Column) -> Column:  # numbers are short
+        out = F.when(copied(c), c).otherwise(F.substring(made, acc["k"] + 1, F.lit(1)))
         return F.struct(F.concat(acc["t"], out).alias("t"), (acc["k"] + F.when(copied(c), 0).otherwise(1)).alias("k"))
 
     rest = lambda acc: F.substring(made, acc["k"] + 1, F.length(made))  # noqa: E731  (what is longer than the form)
     walked = F.aggregate(F.split(form, ""), F.struct(F.lit("").alias("t"), F.lit(0).alias("k")), step, lambda acc: F.concat(acc["t"], rest(acc)))
-    return F.when(kind.isin("surname", "given"), _styled(form, made)).when(kind.isin("ip", "secret"), made).otherwise(walked)
+    capitals = let(F.split(form, ""), lambda of: F.array_join(F.transform(F.split(made, ""), lambda c, i: F.when(F.get(of, i) != F.lower(F.get(of, i)), F.upper(c)).otherwise(c)), ""))
+    return F.when(kind.isin("surname", "given"), _styled(form, made)).when(kind.isin("ip", "secret"), made).when(kind == "email", capitals).otherwise(walked)
 
 
 def _styled(form: Column, made: Column) -> Column:
@@ -238,23 +259,25 @@ def replace_pii(docs: DataFrame, key: str = KEY, text_col: str = "text", chars_c
     """``docs`` with every mention in ``text_col`` replaced, and a last column ``n_mentions``."""
     if clash := [c for c in docs.columns if c.lower().startswith("_pii_") or c.lower() == "n_mentions"]:
         raise ValueError(f"docs has columns of names used here: {clash}")
-    text, found = F.col(text_col).cast("string"), mentions(F.col(text_col).cast("string"))
+    text = F.col(text_col).cast("string")
     has = has_mention(text)
-    seen = docs.select(text.alias("_pii_text")).where(has_mention(F.col("_pii_text"))).select(F.md5(F.col("_pii_text").cast("binary")).alias("_pii_key"), F.explode(F.array_distinct(mentions(F.col("_pii_text")))).alias("mention"))
-    seen = materialize(seen.distinct(), "pii-seen")
-    parts = materialize(entities_of(seen.select("mention").distinct()), "pii-parts")
+    others = [c for c in docs.columns if c != text_col]
+    touched = docs.where(has).select(*others, F.md5(text.cast("binary")).alias("_pii_key"), parts_of(text).alias("_pii_parts"))
+    touched = materialize(touched, "pii-touched")
+    places = touched.select("_pii_key", F.posexplode("_pii_parts").alias("place", "p")).where("p.kind is not null")
+    seen = places.select("_pii_key", "place", F.md5(F.concat_ws(":", "p.kind", "p.mention").cast("binary")).alias("mid"), "p.kind", "p.mention").distinct()
+    seen = materialize(seen, "pii-seen")
+    parts = materialize(entities_of(seen.select("mid", "kind", "mention").distinct()), "pii-parts")
+    seen = seen.select("_pii_key", "place", "mid")
     surrogates = assign(parts.groupBy("type", "norm").agg(F.max("gender").alias("gender")), key)
     piece = F.concat("before", _rendered(F.col("type"), F.col("form"), F.col("surrogate")))
-    made = parts.join(surrogates, ["type", "norm"]).groupBy("mention").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", piece.alias("piece")))), lambda x: x["piece"]), "").alias("made"))
-    maps = seen.join(made, "mention").groupBy("_pii_key").agg(F.map_from_entries(F.collect_list(F.struct("mention", "made"))).alias("_pii_map"))
-    words = parts.where("type in ('given', 'surname')").join(surrogates, ["type", "norm"]).select("mention", "norm", F.struct("type", "surrogate").alias("w")).distinct()
-    words = seen.join(words, "mention").groupBy("_pii_key", "norm").agg(F.max("w").alias("w"))  # a surname goes before a given name
-    maps = maps.join(words.groupBy("_pii_key").agg(F.map_from_entries(F.collect_list(F.struct("norm", "w.surrogate"))).alias("_pii_words")), "_pii_key", "left")
-    touched = docs.where(has).withColumn("_pii_key", F.md5(text.cast("binary"))).join(maps, "_pii_key")
-    new = F.concat(*(
-        F.array_join(F.transform(F.arrays_zip(F.split(text, PATTERN, -1).alias("a"), found.alias("b")), lambda x: F.concat(_known(x["a"]), F.coalesce(F.element_at(F.col("_pii_map"), x["b"]), F.lit("")))), ""),
-    ))
-    touched = touched.select("*", new.alias("_pii_new"), F.size(found).cast("long").alias("n_mentions"))
+    made = parts.join(surrogates, ["type", "norm"]).groupBy("mid").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", piece.alias("piece")))), lambda x: x["piece"]), "").alias("made"))
+    lists = seen.join(made, "mid").groupBy("_pii_key").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "made"))), lambda x: x["made"]).alias("_pii_made"))
+    words = parts.where("type in ('given', 'surname')").join(surrogates, ["type", "norm"]).select("mid", "norm", F.struct("type", "surrogate").alias("w")).distinct()
+    words = seen.select("_pii_key", "mid").distinct().join(words, "mid").groupBy("_pii_key", "norm").agg(F.max("w").alias("w"))  # a surname goes before a given name
+    lists = lists.join(words.groupBy("_pii_key").agg(F.map_from_entries(F.collect_list(F.struct("norm", "w.surrogate"))).alias("_pii_words")), "_pii_key", "left")
+    new = F.array_join(F.transform("_pii_parts", lambda p, i: F.concat(_known(p["before"]), F.coalesce(F.get(F.col("_pii_made"), i), F.lit("")))), "")
+    touched = touched.join(lists, "_pii_key").select(*others, _restored(new).alias("_pii_new"), (F.size("_pii_parts") - 1).cast("long").alias("n_mentions"))
     columns = [F.col("_pii_new").alias(c) if c == text_col else F.length("_pii_new").cast(docs.schema[c].dataType).alias(c) if c == chars_col else F.col(c) for c in docs.columns]
     return docs.where(~has).select(*docs.columns, F.lit(0).cast("long").alias("n_mentions")).union(touched.select(*columns, "n_mentions"))
 
