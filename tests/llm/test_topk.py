@@ -36,6 +36,21 @@ def test_defined_cases(spark):
     got = run(spark, rows, 10)
     assert got == {(0, 1, 1, 0), (0, 2, 4, 2), (0, 3, 20, 64), (20, 1, 4, 62), (20, 2, 0, 64), (20, 3, 1, 64)}
     assert run(spark, [], 3) == set()
+    with pytest.raises(ValueError, match="3 dimensions"):
+        run(spark, [(0, [1.0] * 3), (1, None)], 3)
+
+
+def test_segments_and_probes():
+    assert [w for _, w in T.segments_of(51_000)] == [16] * 4 and sum(w for _, w in T.segments_of(500)) == 64 and len(T.segments_of(10**12)) == 2
+    assert sorted(T._masks(2, 5).tolist()) == sorted(x for x in range(32) if x.bit_count() == 2)
+
+
+def test_rounds_over_postings_alone_are_exact(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 64))
+    rows = [(i, (3 * centres[i % 40] + rng.normal(size=64)).astype(np.float32).tolist()) for i in range(1200)]
+    monkeypatch.setattr(T, "_search", lambda *a: 1 / 0)  # no query is left for the search over blocks
+    assert run(spark, rows, 5) == brute(rows, 5)
 
 
 def test_query(spark):
