@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
 import sys
+from collections import Counter
 from collections.abc import Sequence
 from datetime import UTC, date, datetime
 
@@ -21,6 +23,14 @@ def _day(text: str) -> str:
     return date.fromisoformat(text).isoformat()
 
 
+def _publisher(place: str):
+    """Archive hours from a folder, or over HTTP."""
+    from eventpulse.plans import converge
+    from eventpulse.streaming import feed
+
+    return feed.http_publisher(place) if place.startswith(("http://", "https://")) else converge.folder_publisher(place)
+
+
 def _show(rows) -> None:
     for r in rows:
         print(json.dumps(r if isinstance(r, dict) else r.asDict(), default=str))
@@ -44,7 +54,7 @@ def backfill(spark, a) -> int:
         print("the last day comes before the first", file=sys.stderr)
         return 2
     table, now = ledger.LedgerTable(spark, a.ledger), _now()
-    reports = converge.converge_once(spark, table, converge.folder_publisher(a.publisher), a.archive, a.lake, a.first, a.last, now, retry_failed=True, concurrency=a.concurrency)
+    reports = converge.converge_once(spark, table, _publisher(a.publisher), a.archive, a.lake, a.first, a.last, now, retry_failed=True, concurrency=a.concurrency)
     _show({"day": r.day, "hour": r.hour, "status": r.status, "events": r.events, "detail": r.detail} for r in reports)
     left = ledger.due_hours(ledger.pending_hours(spark, table.read(), a.first, a.last, True), now.isoformat(" ")).count()
     return OUTSTANDING if left else 0
@@ -53,18 +63,30 @@ def backfill(spark, a) -> int:
 def aggregate(spark, a) -> int:
     from eventpulse.sources import lake
 
-    report = lake.aggregate_day(spark, a.lake, a.aggregates, a.day, a.floor, a.release)
+    fetch = None
+    if a.publisher:  # hours that the lake lacks are fetched first; an hour that isn't published stays out
+        from eventpulse.plans import converge
+
+        def fetch(day: str, hour: int) -> str | None:
+            try:
+                return _publisher(a.publisher)(day, hour, a.archive)
+            except converge.NotPublished:
+                return None
+
+    report = lake.aggregate_day(spark, a.lake, a.aggregates, a.day, a.floor, a.release, fetch)
     _show([vars(report) | {"complete": report.complete}])
     return 0 if report.complete else OUTSTANDING
 
 
 def history_status(spark, a) -> int:
+    from eventpulse.functions import show
     from eventpulse.operators import recon
     from eventpulse.sources import lake
 
     history = lake.read_history(spark, a.aggregates, "ecosystem", "day date, hours_present bigint, events bigint")
     status = recon.history_status(history, a.as_of or str(_now().date()), a.grace).first()
-    _show([status, *recon.missing_days(history).orderBy("day").collect(), *recon.history_volume(history).collect()])
+    missing = [r.day for r in recon.missing_days(history).orderBy("day").collect()]
+    _show([status, {"missing": show.shortened(missing)}, *recon.history_volume(history).collect()])
     return 0 if status.healthy else OUTSTANDING
 
 
@@ -82,7 +104,7 @@ def repair_lake(spark, a) -> int:
     from eventpulse.operators import ledger
     from eventpulse.plans import converge
 
-    rows = converge.repair(spark, ledger.LedgerTable(spark, a.ledger), converge.folder_publisher(a.publisher), a.archive, a.lake, _now(), a.dry_run)
+    rows = converge.repair(spark, ledger.LedgerTable(spark, a.ledger), _publisher(a.publisher), a.archive, a.lake, _now(), a.dry_run)
     _show(rows)
     return OUTSTANDING if (a.dry_run and rows) or any(r["verdict"] == "NOT RECOVERED" for r in rows) else 0
 
@@ -119,12 +141,70 @@ def capture_rate(spark, a) -> int:
 
 
 def consume(spark, a) -> int:
-    from eventpulse.streaming import live
+    from eventpulse.streaming import feed, live
 
     messages = live.kafka_messages(spark, a.servers, a.topic) if a.servers else live.file_messages(spark, a.messages)
-    counters = live.ConsumeCounters()
-    live.consume(messages, live.Store(spark, a.store), a.dead_letters, a.checkpoint, counters, available_now=not a.forever).awaitTermination()
-    _show([vars(counters) | {"duplicates": counters.duplicates}])
+    totals: Counter = Counter()
+    query = live.consume(messages, live.Store(spark, a.store), a.dead_letters, a.checkpoint, totals, available_now=not a.forever)
+    with feed.stopping_on() as stop:
+        while not query.awaitTermination(1):
+            if stop.is_set():
+                query.stop()
+    _show([live.summary(totals)])
+    return 0
+
+
+def sample(spark, a) -> int:
+    from eventpulse.streaming import feed
+
+    with feed.stopping_on() as stop:
+        path, totals = feed.collect_sample(feed.Feed(a.feed, os.environ.get("EVENTPULSE_TOKEN")), a.folder, a.cycles, a.interval, pause=stop.wait)
+    _show([{"path": path, **totals}])
+    return 0
+
+
+def poll(spark, a) -> int:
+    from pyspark.sql import functions as F
+
+    from eventpulse.streaming import feed, live
+
+    source, lines = feed.Feed(a.feed, os.environ.get("EVENTPULSE_TOKEN")), lambda items: spark.createDataFrame([(json.dumps(x, ensure_ascii=False),) for x in items], "value string")
+
+    def sink(items: list) -> None:
+        if items:
+            rows = lines(items)
+            live.write_hourly(rows.withColumn("created_at", F.try_to_timestamp(F.get_json_object("value", "$.created_at"))), a.folder)
+
+    with feed.stopping_on() as stop:
+        totals = feed.poll(source.sweep, sink, lambda items: live.write_rejects(lines(items), f"{a.folder.rstrip('/')}-rejects"), feed.plausible, stop.wait, lambda: feed.effective_interval(a.interval, source.poll_seconds), a.cycles)
+    _show([dict(totals)])
+    return 0
+
+
+def fetch_archive(spark, a) -> int:
+    print(_publisher(a.publisher)(a.day, a.hour, a.archive))
+    return 0
+
+
+def archive_serve(spark, a) -> int:
+    from eventpulse.operators import ledger
+    from eventpulse.plans import converge
+    from eventpulse.streaming import feed
+
+    with feed.stopping_on() as stop:
+        passes = converge.converge_forever(spark, ledger.LedgerTable(spark, a.ledger), _publisher(a.publisher), a.archive, a.lake, stop, _now, a.lookback, a.seconds, a.passes, not a.discard_source)
+    _show([{"passes": passes}])
+    return 0
+
+
+def figures_page(spark, a) -> int:
+    from eventpulse.operators import site
+    from eventpulse.sources import files, lake
+
+    held = lake.lake_files(spark, a.lake)
+    text = site.render(site.gather(lake.read_lake(spark, a.lake), a.held_out, sum(f[3] for f in held), len(held), a.busy))
+    files.write_text(spark, a.out, text)
+    _show([{"page": a.out, "bytes": len(text.encode())}])
     return 0
 
 
@@ -141,6 +221,11 @@ COMMANDS = {
     "marts-converge": (marts_converge, _LAKE),
     "capture-rate": (capture_rate, ["live", "archive"]),
     "consume": (consume, ["--store", "--dead-letters", "--checkpoint"]),
+    "sample": (sample, ["--feed", "--folder"]),
+    "poll": (poll, ["--feed", "--folder"]),
+    "fetch-archive": (fetch_archive, ["day", "--publisher", "--archive"]),
+    "archive-serve": (archive_serve, [*_LAKE, *_LEDGER, "--archive", "--publisher"]),
+    "figures-page": (figures_page, [*_LAKE, "--held-out", "--out"]),
 }
 
 
@@ -156,6 +241,20 @@ def parser() -> argparse.ArgumentParser:
         if name == "aggregate":
             p.add_argument("--floor", type=int, default=20)
             p.add_argument("--release", action="store_true")
+            p.add_argument("--publisher")
+            p.add_argument("--archive", default=".")
+        if name in ("sample", "poll"):
+            p.add_argument("--cycles", type=int, default=10 if name == "sample" else None)
+            p.add_argument("--interval", type=float, default=10.0)
+        if name == "fetch-archive":
+            p.add_argument("hour", type=int, choices=range(24))
+        if name == "archive-serve":
+            p.add_argument("--lookback", type=int, default=3)
+            p.add_argument("--seconds", type=float, default=900.0)
+            p.add_argument("--passes", type=int)
+            p.add_argument("--discard-source", action="store_true")
+        if name == "figures-page":
+            p.add_argument("--busy", type=int, default=20)
         if name == "history-status":
             p.add_argument("--as-of", type=_day)
             p.add_argument("--grace", type=int, default=1)

@@ -17,12 +17,24 @@ BREAKOUTS = {
 }
 #: The event types that the feed is known to publish.
 KNOWN_TYPES = [
-    f"{name}Event"
-    for name in (
-        "Push", "Create", "Delete", "PullRequest", "IssueComment", "Issues", "PullRequestReview", "PullRequestReviewComment", "Watch",
-        "Release", "Fork", "Member", "CommitComment", "Gollum", "Public", "Discussion", "DiscussionComment",
-    )
-]
+    "PushEvent",
+    "CreateEvent",
+    "DeleteEvent",
+    "PullRequestEvent",
+    "IssueCommentEvent",
+    "IssuesEvent",
+    "PullRequestReviewEvent",
+    "PullRequestReviewCommentEvent",
+    "WatchEvent",
+    "ReleaseEvent",
+    "ForkEvent",
+    "MemberEvent",
+    "CommitCommentEvent",
+    "GollumEvent",
+    "PublicEvent",
+    "DiscussionEvent",
+    "DiscussionCommentEvent",
+]
 
 #: An archived event; nested objects stay JSON text, byte for byte.
 ARCHIVE = T.StructType(

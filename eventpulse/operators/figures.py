@@ -34,6 +34,11 @@ def day_gaps(lake: DataFrame) -> DataFrame:
     return days(lake).select("day", F.datediff("day", F.lag("day").over(ordered)).cast("bigint").alias("gap"))
 
 
+def day_span(lake: DataFrame) -> DataFrame:
+    """Calendar days from the first day to the last, both counted; none where there is no day."""
+    return days(lake).agg((F.datediff(F.max("day"), F.min("day")) + 1).cast("bigint").alias("span"))
+
+
 def type_histogram(lake: DataFrame) -> DataFrame:
     return lake.groupBy("type").agg(F.count("*").alias("n"))
 
@@ -69,6 +74,21 @@ def per_day_automated(lake: DataFrame, busy: int = BUSY_FLOOR) -> DataFrame:
     )
 
 
+def pooled_share(per_day: DataFrame) -> DataFrame:
+    """Over all days together: the pattern's and the automated share of events, in percent, and the points from the least to the greatest daily automated share."""
+    share = lambda part: 100.0 * F.coalesce(F.sum(part), F.lit(0)) / F.sum("events")
+    daily = 100.0 * F.coalesce("automated_events", F.lit(0)) / F.col("events")
+    return per_day.agg(share("pattern_events").alias("pattern_percent"), share("automated_events").alias("automated_percent"), (F.max(daily) - F.min(daily)).alias("automated_points"))
+
+
+def agreement(per_day: DataFrame, scores: DataFrame, day: str) -> DataFrame:
+    """What two derivations of the held-out day's figures say, one row each figure; ``agrees`` is false where they differ or the day isn't there."""
+    one = per_day.where(F.col("day") == F.lit(day).cast("date")).agg(*(F.max(c).alias(f"d_{c}") for c in ("events", "repo_days", "pattern_events", "pattern_repo_days")))
+    both = scores.join(one)  # two rows of one
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("figure"), F.col(f"d_{c}").alias("by_day"), F.col(c).alias("held_out")) for c in ("events", "repo_days", "pattern_events", "pattern_repo_days"))))
+    return both.select(pairs.alias("p")).select("p.*").withColumn("agrees", F.col("by_day").eqNullSafe(F.col("held_out")) & (F.col("by_day").isNotNull() | F.col("figure").startswith("pattern")))
+
+
 def held_out_scores(lake: DataFrame, day: str, busy: int = BUSY_FLOOR) -> DataFrame:
     """One row of counts for a day that no rule was fitted on."""
     marked = repo_days(lake, day).withColumn("name_hit", short_name_matches(F.col("repo")))

@@ -70,14 +70,14 @@ def ecosystem_aggregate(lake: DataFrame) -> DataFrame:
     """The permanent ecosystem file of each day: duplicates are removed within the day."""
     from eventpulse.operators.staging import stg_events
 
-    return ecosystem_daily(stg_events(lake, "day"))
+    return ecosystem_daily(stg_events(lake, "day", payload=False))
 
 
 def repo_aggregate(lake: DataFrame, floor: int = AGGREGATE_FLOOR) -> DataFrame:
     """The permanent repository file of each day: repositories at or over the floor, which is stamped on every row."""
     from eventpulse.operators.staging import stg_events
 
-    return repo_daily(stg_events(lake, "day")).where(F.col("events") >= floor).withColumn("min_events", F.lit(floor).cast("int"))
+    return repo_daily(stg_events(lake, "day", payload=False)).where(F.col("events") >= floor).withColumn("min_events", F.lit(floor).cast("int"))
 
 
 MART_COLUMNS = {

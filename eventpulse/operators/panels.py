@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _PRIVATE = re.compile(r"\b(?:restricted\s*\.|public\s*\.\s*events\b|actor_daily\b|actor_login\b)", re.I)
@@ -26,17 +27,31 @@ def _round(c: Column) -> Column:
     return F.round(c, 2)
 
 
-def _latest(trending: DataFrame) -> DataFrame:
-    day = trending.agg(F.max("day").alias("_last"))
-    return trending.join(day, F.col("day") == F.col("_last")).drop("_last")
+def publish(sql: str, **frames: DataFrame) -> DataFrame:
+    """Run a published query over the frames it names in braces; restricted names are refused before anything runs."""
+    return next(iter(frames.values())).sparkSession.sql(guard(sql), **frames)
+
+
+def _of_latest(per_day: DataFrame, *values: str) -> list[Column]:
+    """Aggregates that pick the latest day's values of a frame with one row a day."""
+    return [F.max_by(v, "day").alias(v) for v in values]
+
+
+def _top_of_latest(ranked: DataFrame, top: int) -> DataFrame:
+    """The latest day's first ``top`` rows by ``_nth``, its rank within the day, in one pass over the frame.
+
+    Each day keeps at most ``top`` rows, so the ordering over days sees a few rows a day.
+    """
+    few = ranked.where(F.col("_nth") <= top)
+    return few.withColumn("_back", F.dense_rank().over(Window.orderBy(F.desc("day")))).where("_back = 1")
 
 
 def hours_ingested(ledger: DataFrame) -> DataFrame:
-    return ledger.where("status = 'ingested'").agg(F.count("*").alias("value"))
+    return publish("select count(*) as value from {ledger} where status = 'ingested'", ledger=ledger)
 
 
 def hours_outstanding(ledger: DataFrame) -> DataFrame:
-    return ledger.where("status in ('missing', 'failed')").agg(F.count("*").alias("value"))
+    return publish("select count(*) as value from {ledger} where status in ('missing', 'failed')", ledger=ledger)
 
 
 def freshness_hours(ledger: DataFrame, now: str) -> DataFrame:
@@ -46,7 +61,7 @@ def freshness_hours(ledger: DataFrame, now: str) -> DataFrame:
 
 
 def events_recorded(ledger: DataFrame) -> DataFrame:
-    return ledger.where("status = 'ingested'").agg(F.coalesce(F.sum("events"), F.lit(0)).cast("bigint").alias("value"))
+    return publish("select cast(coalesce(sum(events), 0) as bigint) as value from {ledger} where status = 'ingested'", ledger=ledger)
 
 
 def hours_not_built(ledger: DataFrame, ecosystem: DataFrame) -> DataFrame:
@@ -58,47 +73,48 @@ def hours_not_built(ledger: DataFrame, ecosystem: DataFrame) -> DataFrame:
 
 
 def coverage(ecosystem: DataFrame, first: str, last: str) -> DataFrame:
-    return ecosystem.where(F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date"))).select("day", F.col("hours_present").alias("hours_held")).orderBy("day")
+    return publish(f"select day, hours_present as hours_held from {{ecosystem}} where day between date '{date.fromisoformat(first)}' and date '{date.fromisoformat(last)}' order by day", ecosystem=ecosystem)
 
 
 def daily_totals(ecosystem: DataFrame, first: str, last: str) -> DataFrame:
-    return ecosystem.where(F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date"))).select("day", "events", F.col("repos").alias("repositories"), F.col("actors").alias("accounts")).orderBy("day")
+    return publish(f"select day, events, repos as repositories, actors as accounts from {{ecosystem}} where day between date '{date.fromisoformat(first)}' and date '{date.fromisoformat(last)}' order by day", ecosystem=ecosystem)
 
 
 def recent_hours(ledger: DataFrame, top: int = 50) -> DataFrame:
-    return ledger.orderBy(F.desc("day"), F.desc("hour")).limit(top)
+    return publish(f"select * from {{ledger}} order by day desc, hour desc limit {int(top)}", ledger=ledger)
 
 
 def days_comparable(trending: DataFrame) -> DataFrame:
-    return trending.agg(F.countDistinct("day").alias("days"))
+    return publish("select count(distinct day) as days from {trending}", trending=trending)
 
 
 def ranked_latest(trending: DataFrame) -> DataFrame:
-    return _latest(trending).agg(F.count("*").alias("repositories"))
+    days = trending.groupBy("day").agg(F.count("*").alias("repositories"))
+    return days.agg(*_of_latest(days, "repositories")).select(F.coalesce("repositories", F.lit(0).cast("bigint")).alias("repositories"))
 
 
 def largest_gain(trending: DataFrame) -> DataFrame:
-    return _latest(trending).agg(F.coalesce(F.max("actors_change"), F.lit(0)).cast("bigint").alias("accounts"))
+    days = trending.groupBy("day").agg(F.max("actors_change").alias("accounts"))
+    return days.agg(*_of_latest(days, "accounts")).select(F.coalesce("accounts", F.lit(0)).cast("bigint").alias("accounts"))
 
 
 def first_appearances(trending: DataFrame) -> DataFrame:
-    return _latest(trending).where("absent_prior_day").agg(F.count("*").alias("repositories"))
-
-
-def _movers(rows: DataFrame) -> DataFrame:
-    return rows.select("repo_name", "actors_prior", "actors", "actors_change", _round(F.col("actors_change_ratio")).alias("proportional"))
+    days = trending.groupBy("day").agg(F.count_if("absent_prior_day").alias("repositories"))
+    return days.agg(*_of_latest(days, "repositories")).select(F.coalesce("repositories", F.lit(0).cast("bigint")).alias("repositories"))
 
 
 def gainers(trending: DataFrame, top: int = 25) -> DataFrame:
-    rows = _latest(trending).where("actors_change > 0").orderBy("rank_in_day").limit(top)
+    """The rank within the day is by change, so the first ranks are the greatest gains."""
+    rows = _top_of_latest(trending.withColumn("_nth", F.col("rank_in_day")), top).where("actors_change > 0").orderBy("rank_in_day")
     return rows.select("rank_in_day", "repo_name", "actors_prior", "actors", "actors_change", _round(F.col("actors_change_ratio")).alias("proportional"))
 
 
 def losers(trending: DataFrame, top: int = 25) -> DataFrame:
     """Ties after change and prior accounts go by repository id."""
-    return _movers(_latest(trending).where("actors_change < 0").orderBy("actors_change", F.desc("actors_prior"), "repo_id").limit(top))
+    order = ["actors_change", F.desc("actors_prior"), "repo_id"]
+    rows = _top_of_latest(trending.withColumn("_nth", F.row_number().over(Window.partitionBy("day").orderBy(*order))), top)
+    return rows.where("actors_change < 0").orderBy(*order).select("repo_name", "actors_prior", "actors", "actors_change", _round(F.col("actors_change_ratio")).alias("proportional"))
 
 
 def movement_by_day(trending: DataFrame) -> DataFrame:
-    c = F.col("actors_change")
-    return trending.groupBy("day").agg(F.count_if(c > 0).alias("gaining"), F.count_if(c < 0).alias("losing"), F.count_if(c == 0).alias("unchanged"))
+    return publish("select day, count_if(actors_change > 0) as gaining, count_if(actors_change < 0) as losing, count_if(actors_change = 0) as unchanged from {trending} group by day", trending=trending)

@@ -8,22 +8,28 @@ from pyspark.sql import functions as F
 from eventpulse.functions.events import json_text
 
 
-def staged(lake: DataFrame) -> DataFrame:
-    """Typed columns of every lake row, duplicates included; the payload comes last, so unused it is never read."""
+#: What the tie of rows of one id and time goes by; the payload comes after these, and only where it is asked for.
+_TIES = ("dt", "hr", "type", "actor", "repo", "org", "public")
+
+
+def staged(lake: DataFrame, payload: bool = True) -> DataFrame:
+    """Typed columns of every lake row, duplicates included."""
     return lake.select(
         F.col("id").alias("event_id"), F.col("type").alias("event_type"),
         json_text("actor", "id").cast("bigint").alias("actor_id"), json_text("actor", "login").alias("actor_login"),
         json_text("repo", "id").cast("bigint").alias("repo_id"), json_text("repo", "name").alias("repo_name"), json_text("org", "login").alias("org_login"),
-        F.col("public").alias("is_public"), "created_at", "payload", F.col("dt").alias("archive_day"), F.col("hr").alias("archive_hour"),
+        F.col("public").alias("is_public"), "created_at", *(["payload"] if payload else []), F.col("dt").alias("archive_day"), F.col("hr").alias("archive_hour"),
     )
 
 
-def stg_events(lake: DataFrame, scope: str = "lake") -> DataFrame:
-    """One row per event id: the earliest, undated rows last, ties by hour, type and payload.
+def stg_events(lake: DataFrame, scope: str = "lake", payload: bool = True) -> DataFrame:
+    """One row per event id: the earliest, undated rows last, ties by the columns of ``_TIES`` in order.
 
+    Without ``payload``, which is most of a lake's bytes, it is neither read nor shuffled; the row chosen has the same
+    columns either way, since the payload decides only among rows that agree in all others.
     Copies of an id are looked for in the whole ``lake``, or within each ``day``: then a filter on the day reaches the scan.
     """
     keys = ["id"] if scope == "lake" else ["dt", "id"]
     # Deduplicated before the JSON is taken apart: the rows that go aren't parsed.
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("created_at").asc_nulls_last(), "dt", "hr", "type", "payload"))
-    return staged(lake.withColumn("_nth", nth).where("_nth = 1").drop("_nth"))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("created_at").asc_nulls_last(), *_TIES, *(["payload"] if payload else [])))
+    return staged(lake.withColumn("_nth", nth).where("_nth = 1").drop("_nth"), payload)

@@ -19,7 +19,7 @@ def build(spark: SparkSession, lake: DataFrame, floor: int = TRENDING_FLOOR) ->
     """
     for name in (PUBLISHED, RESTRICTED):
         spark.sql(f"create database if not exists {name}")
-    stg = staging.stg_events(lake).drop("payload").persist()
+    stg = staging.stg_events(lake, payload=False).persist()
     told: list[tuple[str, str]] = []
     try:
         told += quality.enforce(
@@ -32,6 +32,9 @@ def build(spark: SparkSession, lake: DataFrame, floor: int = TRENDING_FLOOR) ->
             ]
         )
 
+        def missing(rows: DataFrame, *columns: str) -> Check:
+            return Check(f"not null: {', '.join(columns)}", lambda: rows.where(" or ".join(f"{c} is null" for c in columns)).select(*columns))
+
         def publish(database: str, name: str, rows: DataFrame, checks) -> DataFrame:
             rows.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}_next")
             told.extend(quality.enforce(checks(spark.table(f"{database}.{name}_next"))))
@@ -39,9 +42,9 @@ def build(spark: SparkSession, lake: DataFrame, floor: int = TRENDING_FLOOR) ->
             spark.sql(f"alter table {database}.{name}_next rename to {database}.{name}")
             return spark.table(f"{database}.{name}")
 
-        eco = publish(PUBLISHED, "ecosystem_daily", marts.ecosystem_daily(stg), lambda t: [Check("ecosystem_daily sane", lambda: quality.ecosystem_sane(t)), Check("ecosystem_daily unique", lambda: quality.duplicates(t, "day"))])
-        repo = publish(PUBLISHED, "repo_daily", marts.repo_daily(stg), lambda t: [Check("repo_daily grain", lambda: quality.repo_grain(t)), Check("repo_daily counts", lambda: quality.repo_counts(t))])
-        publish(RESTRICTED, "actor_daily", marts.actor_daily(stg), lambda t: [Check("actor_daily grain", lambda: quality.actor_grain(t)), Check("marts reconcile", lambda: quality.marts_reconcile(eco, repo, t))])
+        eco = publish(PUBLISHED, "ecosystem_daily", marts.ecosystem_daily(stg), lambda t: [Check("ecosystem_daily sane", lambda: quality.ecosystem_sane(t)), Check("ecosystem_daily unique", lambda: quality.duplicates(t, "day")), missing(t, "day", "events", "repos", "actors")])
+        repo = publish(PUBLISHED, "repo_daily", marts.repo_daily(stg), lambda t: [Check("repo_daily grain", lambda: quality.repo_grain(t)), Check("repo_daily counts", lambda: quality.repo_counts(t)), missing(t, "day", "repo_id", "events", "actors")])
+        publish(RESTRICTED, "actor_daily", marts.actor_daily(stg), lambda t: [Check("actor_daily grain", lambda: quality.actor_grain(t)), Check("marts reconcile", lambda: quality.marts_reconcile(eco, repo, t)), missing(t, "day", "events", "repos")])
         publish(PUBLISHED, "repo_trending", marts.repo_trending(repo, eco, floor), lambda t: [
             Check("repo_trending grain", lambda: quality.trending_grain(t)), Check("repo_trending consistent", lambda: quality.trending_consistent(t, floor)), Check("repo_trending adjacent", lambda: quality.trending_adjacent(t, eco)),
         ])

@@ -5,7 +5,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +33,7 @@ class Tables:
 
     @cached_property
     def stg(self) -> DataFrame:
-        return staging.stg_events(self.lake)
+        return staging.stg_events(self.lake, payload=False)
 
     @cached_property
     def eco(self) -> DataFrame:
@@ -90,7 +92,7 @@ class Tables:
     @cached_property
     def messages(self) -> DataFrame:
         """Stream messages of the lake's distinct events: of fifty ids one is corrupt, one of another version, one of a wrong shape, one empty."""
-        s = self.stg.where("repo_id is not null")
+        s = staging.stg_events(self.lake).where("repo_id is not null")
         text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
         rows = s.select(
             F.col("event_id").alias("id"), F.col("event_type").alias("type"), F.struct(F.col("actor_id").alias("id"), F.col("actor_login").alias("login")).alias("actor"), F.struct(F.col("repo_id").alias("id"), F.col("repo_name").alias("name")).alias("repo"),
@@ -300,7 +302,7 @@ def _stored_twice(t: Tables) -> DataFrame:
     t.messages.write.parquet(f"{base}/messages")
     store = live.Store(t.spark, f"{base}/store")
     for nth in range(2):
-        live.consume(live.file_messages(t.spark, f"{base}/messages"), store, f"{base}/dead", f"{base}/checkpoint-{nth}", live.ConsumeCounters()).awaitTermination()
+        live.consume(live.file_messages(t.spark, f"{base}/messages"), store, f"{base}/dead", f"{base}/checkpoint-{nth}", Counter()).awaitTermination()
     return store.read().select("event_id", "type", "actor_id", "actor_login", "repo_id", "repo_name", F.col("created_at").cast("timestamp_ntz").alias("created_at"), "payload")
 
 
@@ -312,27 +314,86 @@ def _fifo(t: Tables) -> DataFrame:
     """Exact first-in-first-out deduplication of the lake's ids in order of time, over a file stream."""
     base = files.shared_dir(t.spark)
     seq = F.unix_micros(F.col("created_at").cast("timestamp"))
-    t.lake.select("id", seq.alias("seq")).write.parquet(f"{base}/ids")
-    stream = t.spark.readStream.schema("id string, seq bigint").parquet(f"{base}/ids")
-    live.fifo_dedup(stream, 1000).writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/fresh").awaitTermination()
+    # files in order of time, so that the order of triggers is the order of the sequence
+    ordered = t.lake.select("id", seq.alias("seq")).repartitionByRange(8, "seq").sortWithinPartitions("seq").withColumn("part", F.spark_partition_id())
+    for k in range(8):
+        ordered.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(f"{base}/ids")
+    live.fifo_dedup(live.file_ids(t.spark, f"{base}/ids"), 1000).writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/fresh").awaitTermination()
     return t.spark.read.schema("id string, seq bigint").parquet(f"{base}/fresh")
 
 
 _query("stream_fifo_dedup", _fifo)
 
 
+def _archives(t: Tables, base: str, where: str = "true") -> list[tuple[str, str, int]]:
+    """The lake's hours as gzip NDJSON archives, one folder each: (path, day, hour)."""
+    rows = t.lake.where(where).select("dt", "hr", "id", "type", F.parse_json("actor").alias("actor"), F.parse_json("repo").alias("repo"), F.parse_json("payload").alias("payload"), "public", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at"))
+    rows.repartition("dt", "hr").write.partitionBy("dt", "hr").option("compression", "gzip").json(f"{base}/archive")
+    told = [(path, *(x.partition("=")[2] for x in path.split("/")[-2:])) for path, _ in files.glob(t.spark, f"{base}/archive/dt=*/hr=*")]
+    return [(path, day, int(hour)) for path, day, hour in told]
+
+
+def _written(t: Tables, base: str, where: str = "true") -> str:
+    """Those archives converted hour by hour into a lake, several at a time."""
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda x: lake_io.write_hour(t.spark, x[0], f"{base}/lake", x[1], x[2]), _archives(t, base, where)))
+    return f"{base}/lake"
+
+
 def _roundtrip(t: Tables) -> DataFrame:
-    """A complete day written hour by hour as archives and then as lake files, read back."""
-    base, day = files.shared_dir(t.spark), "2024-01-08"
-    rows = t.lake.where(F.col("dt") == F.lit(day).cast("date")).select("hr", "id", "type", F.parse_json("actor").alias("actor"), F.parse_json("repo").alias("repo"), F.parse_json("payload").alias("payload"), "public", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at"))
-    rows.repartition(1).write.partitionBy("hr").option("compression", "gzip").json(f"{base}/archive")
-    for path, _ in files.glob(t.spark, f"{base}/archive/hr=*"):
-        lake_io.write_hour(t.spark, path, f"{base}/lake", day, int(path.rpartition("=")[2]))
-    back = lake_io.read_lake(t.spark, f"{base}/lake")
+    """Every hour of the lake written as an archive and then as a lake file, read back."""
+    back = lake_io.read_lake(t.spark, _written(t, files.shared_dir(t.spark)))
     return back.select("id", "type", F.col("created_at").cast("timestamp_ntz").alias("created_at"), "dt", "hr")
 
 
-_query("write_hour_roundtrip", _roundtrip, "select id, type, created_at, dt, hr from lake where dt = date '2024-01-08'")
+_query("write_hour_roundtrip", _roundtrip, "select id, type, created_at, dt, hr from lake")
+
+
+def _aggregated(t: Tables) -> DataFrame:
+    """A complete day's hours written, then its permanent repository aggregate, read back from the history."""
+    base, day = files.shared_dir(t.spark), "2024-01-08"
+    lake_io.aggregate_day(t.spark, _written(t, base, f"dt = date '{day}'"), f"{base}/aggregates", day, BUSY)
+    return lake_io.read_history(t.spark, f"{base}/aggregates", "repo", "day date").select("day", "repo_id", "repo_name", "events", "actors", *BREAKOUTS, "min_events")
+
+
+_query("aggregate_day_roundtrip", _aggregated, f"""select dt "day", repo_id, arg_max(repo_name, (created_at, id)) repo_name, count(*) events, count(distinct actor_id) actors, {_B}, {BUSY} min_events from
+ (select * from (select *, row_number() over (partition by dt, id order by created_at) k_ from lake where dt = date '2024-01-08') where k_ = 1) where repo_id is not null group by dt, repo_id having count(*) >= {BUSY}""")
+
+
+def _history(t: Tables) -> DataFrame:
+    """Daily aggregates of two shapes, a column having come later, united by name."""
+    base = f"{files.shared_dir(t.spark)}/aggregates"
+    for day, later in (("2024-01-05", False), ("2024-01-06", True)):
+        rows = t.eco.where(F.col("day") == F.lit(day).cast("date")).select("day", "events", "hours_present", *(["repos"] if later else []))
+        rows.coalesce(1).write.parquet(f"{base}/_staging/{day}")
+        path, _ = files.glob(t.spark, f"{base}/_staging/{day}/part-*.parquet")[0]
+        files.rename(t.spark, path, f"{base}/ecosystem/dt={day}/ecosystem_daily.parquet")
+    return lake_io.read_history(t.spark, base, "ecosystem", "day date").select("day", "events", "hours_present", "repos")
+
+
+_query("history_union", _history, 'select "day", events, hours_present, case when "day" = date \'2024-01-06\' then repos end repos from eco where "day" in (date \'2024-01-05\', date \'2024-01-06\')')
+_query("counts_by_hour", lambda t: lake_io.counts_by_hour(t.spark, _written(t, files.shared_dir(t.spark), "dt between date '2024-01-08' and date '2024-01-10'")),
+       "select dt \"day\", hr \"hour\", count(*) n from lake where dt between date '2024-01-08' and date '2024-01-10' group by dt, hr")
+
+
+def _watermarked(t: Tables) -> DataFrame:
+    """The lake through the watermark-bounded deduplication; copies are a second apart and the delay is two hours, so each id stays once."""
+    base = files.shared_dir(t.spark)
+    t.lake.select("id", F.col("created_at").cast("timestamp").alias("created_at")).write.parquet(f"{base}/events")
+    stream = t.spark.readStream.schema("id string, created_at timestamp").parquet(f"{base}/events")
+    live.watermark_dedup(stream, "2 hours").select("id").writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/fresh").awaitTermination()
+    return t.spark.read.schema("id string").parquet(f"{base}/fresh")
+
+
+_query("watermark_dedup", _watermarked, "select distinct id from lake")
+_query("day_span", lambda t: figures.day_span(t.lake), "select max(dt) - min(dt) + 1 span from lake")
+_query("pooled_share", lambda t: figures.pooled_share(figures.per_day_automated(t.lake, BUSY)),
+       f""", rd as (select dt, repo_name, count(*) n, count(distinct actor_login) a from lake where repo_name is not null group by dt, repo_name),
+ d as (select dt, sum(n) e, sum(case when n >= {BUSY} and a = 1 then n else 0 end) au, sum(case when regexp_full_match(split_part(repo_name, '/', 2), '[a-z]{{5,8}}') then n else 0 end) pa from rd group by dt)
+ select 100.0 * sum(pa)::double / sum(e)::double pattern_percent, 100.0 * sum(au)::double / sum(e)::double automated_percent, max(100.0 * au::double / e::double) - min(100.0 * au::double / e::double) automated_points from d""")
+_query("figures_agree", lambda t: figures.agreement(figures.per_day_automated(t.lake, BUSY), figures.held_out_scores(t.lake, HELD_OUT, BUSY), HELD_OUT).select("figure", F.coalesce("by_day", F.lit(0)).cast("bigint").alias("by_day"), "agrees"),
+       f""", rd as (select repo_name, count(*) n, regexp_full_match(split_part(repo_name, '/', 2), '[a-z]{{5,8}}') hit from lake where repo_name is not null and dt = date '{HELD_OUT}' group by repo_name)
+ select unnest(['events', 'repo_days', 'pattern_events', 'pattern_repo_days']) figure, unnest([sum(n)::bigint, count(*), coalesce(sum(n) filter (hit), 0)::bigint, count(*) filter (hit)]) by_day, true agrees from rd""")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

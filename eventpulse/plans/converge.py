@@ -93,25 +93,26 @@ def ingest_hour(spark: SparkSession, table: LedgerTable, fetch: Callable[[str, i
     return report
 
 
-def converge_once(spark: SparkSession, table: LedgerTable, fetch, archive: str, root: str, first: str, last: str, now: datetime, retry_failed: bool = False, concurrency: int = CONCURRENCY) -> list[HourReport]:
+def converge_once(spark: SparkSession, table: LedgerTable, fetch, archive: str, root: str, first: str, last: str, now: datetime, retry_failed: bool = False, concurrency: int = CONCURRENCY, keep_source: bool = True) -> list[HourReport]:
     """Each due hour once; one ``now`` for the whole pass. The ledger is written by one thread at a time."""
     pending = ledger.pending_hours(spark, table.read(), first, last, retry_failed)
     due = [(str(r.day), r.hour) for r in ledger.due_hours(pending, now.isoformat(" ")).orderBy("day", "hour").collect()]
     with ThreadPoolExecutor(max(1, concurrency)) as pool:
-        return list(pool.map(lambda x: ingest_hour(spark, table, fetch, archive, root, *x, now), due))
+        return list(pool.map(lambda x: ingest_hour(spark, table, fetch, archive, root, *x, now, keep_source), due))
 
 
-def converge_forever(spark: SparkSession, table: LedgerTable, fetch, archive: str, root: str, stop: threading.Event, clock: Callable[[], datetime], lookback: int = LOOKBACK_DAYS, seconds: float = SCAN_SECONDS) -> int:
-    """Passes over the last days until ``stop``; the number of passes. A pass that fails is logged and tried again."""
+def converge_forever(spark: SparkSession, table: LedgerTable, fetch, archive: str, root: str, stop: threading.Event, clock: Callable[[], datetime], lookback: int = LOOKBACK_DAYS, seconds: float = SCAN_SECONDS, most: int | None = None, keep_source: bool = True) -> int:
+    """Passes over the last days until ``stop``, or ``most`` of them; the number of passes. A pass that fails is logged and tried again."""
     passes = 0
-    while not stop.is_set():
+    while not stop.is_set() and passes != most:
         now = clock()
         try:
-            converge_once(spark, table, fetch, archive, root, str(now.date() - timedelta(days=lookback)), str(now.date()), now)
+            converge_once(spark, table, fetch, archive, root, str(now.date() - timedelta(days=lookback)), str(now.date()), now, keep_source=keep_source)
         except Exception:
             log.exception("a pass failed")
         passes += 1
-        stop.wait(seconds)
+        if passes != most:
+            stop.wait(seconds)
     return passes
 
 

@@ -68,9 +68,13 @@ def remove_if_empty(spark: SparkSession, path: str) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which driver and executors share; a temporary one only where that is unset."""
+    """A new folder under ``spark.checkpoint.dir``, which driver and executors share. Only a local session, whose executors are the driver, may go without it."""
     import tempfile
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "file://" + tempfile.gettempdir()
     return f"{base.rstrip('/')}/eventpulse-{uuid.uuid4().hex}"

@@ -47,8 +47,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Only id and type of an NDJSON file."""
-    return spark.read.schema("id string, type string").option("lineSep", "\n").json(path)
+    """Only id and type of an NDJSON file; malformed lines fail."""
+    return spark.read.schema("id string, type string").option("mode", "FAILFAST").option("lineSep", "\n").json(path)
 
 
 def read_ndjson(spark: SparkSession, path: str) -> DataFrame:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import json
+import hashlib
 import logging
-from collections import OrderedDict
+from collections import Counter, deque
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,47 +18,45 @@ log = logging.getLogger(__name__)
 WINDOW = 50_000
 
 
-class RecentIds:
-    """The last ``size`` ids, first in first out: seeing an id again doesn't renew it, and an id that left is new again."""
+def admit(window: Iterable[str], arriving: Iterable[str], size: int = WINDOW) -> tuple[list[bool], list[str]]:
+    """Which of the arriving ids are new to a window of the last ``size`` new ids, and the window after them.
 
-    def __init__(self, size: int = WINDOW) -> None:
-        if size < 1:
-            raise ValueError("a window holds at least one id")
-        self.size, self._ids = size, OrderedDict()
-
-    def add(self, item: str) -> bool:
-        """Whether the id is new."""
-        if item in self._ids:
-            return False
-        if len(self._ids) >= self.size:
-            self._ids.popitem(last=False)
-        self._ids[item] = None
-        return True
-
-    def __contains__(self, item: str) -> bool:
-        return item in self._ids
-
-    def __len__(self) -> int:
-        return len(self._ids)
+    Seeing an id again doesn't renew its place, and an id that has left is new again.
+    """
+    if size < 1:
+        raise ValueError("a window holds at least one id")
+    line, flags = deque(window), []
+    known = set(line)
+    for item in arriving:
+        flags.append(item not in known)
+        if flags[-1]:
+            line.append(item)
+            known.add(item)
+            if len(line) > size:
+                known.discard(line.popleft())
+    return flags, list(line)
 
 
 def fifo_dedup(stream: DataFrame, size: int = WINDOW, id_col: str = "id", seq_col: str = "seq") -> DataFrame:
     """Exact count-bounded deduplication of (id, seq) in order of ``seq``: one sequence, so one key and one task by nature.
 
-    For a distributed variant see ``watermark_dedup``; it is bounded by time and not the same.
+    The window is an array in the operator's state. A trigger's rows must be put in order, so the source's own limit on a trigger
+    (``file_ids`` sets one) bounds what the task holds. For a distributed variant see ``watermark_dedup``; it is bounded by time and not the same.
     """
 
     def step(_key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        seen = RecentIds(size)
-        for item in json.loads(state.get[0]) if state.exists else []:
-            seen.add(item)
-        rows = pd.concat(list(parts)).sort_values(seq_col, kind="stable")
-        fresh = rows[[seen.add(x) for x in rows[id_col]]]
-        state.update((json.dumps(list(seen._ids)),))
-        yield fresh[[id_col, seq_col]]
+        rows = pd.concat([p[[id_col, seq_col]] for p in parts]).sort_values(seq_col, kind="stable")
+        flags, window = admit(state.get[0] if state.exists else (), rows[id_col], size)
+        state.update((window,))
+        yield rows[flags]
 
     keyed = stream.select(id_col, seq_col, F.lit(0).alias("_one"))
-    return keyed.groupBy("_one").applyInPandasWithState(step, f"{id_col} string, {seq_col} long", "ids string", "append", "NoTimeout")
+    return keyed.groupBy("_one").applyInPandasWithState(step, f"{id_col} string, {seq_col} long", "window array<string>", "append", "NoTimeout")
+
+
+def file_ids(spark: SparkSession, path: str, files_per_trigger: int = 8) -> DataFrame:
+    """A stream of (id, seq) from Parquet files, oldest first, so many files a trigger."""
+    return spark.readStream.schema("id string, seq bigint").option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
 def watermark_dedup(stream: DataFrame, delay: str, id_col: str = "id", time_col: str = "created_at") -> DataFrame:
@@ -81,30 +78,10 @@ def split_page(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     return valid, told.where("reason is not null").select("raw", "reason")
 
 
-@dataclass
-class ConsumeCounters:
-    """What a run consumed; each message is stored, dead-lettered or a duplicate."""
-
-    consumed: int = 0
-    stored: int = 0
-    dead_lettered: int = 0
-    by_reason: dict[str, int] = field(default_factory=dict)
-
-    @property
-    def duplicates(self) -> int:
-        return self.consumed - self.stored - self.dead_lettered
-
-
-@dataclass
-class PollCounters:
-    fetched: int = 0
-    fresh: int = 0
-    rejected: int = 0
-    cycles: int = 0
-
-    @property
-    def duplicates(self) -> int:
-        return self.fetched - self.fresh
+def summary(totals: Counter) -> dict:
+    """What a consuming run came to. A message that is neither stored nor dead-lettered was stored before."""
+    dead = {k.removeprefix("dead "): n for k, n in sorted(totals.items()) if k.startswith("dead ")}
+    return {"consumed": totals["consumed"], "stored": totals["stored"], "duplicates": totals["consumed"] - totals["stored"] - sum(dead.values()), "dead_lettered": sum(dead.values()), "by_reason": dead}
 
 
 class Store:
@@ -125,44 +102,63 @@ class Store:
 
         Only the days of the batch are read: what is stored is pruned to them by partition.
         """
-        new = rows.dropDuplicates(["event_id", "created_at"]).withColumn("day", F.to_date("created_at")).persist()
+        batch = rows.dropDuplicates(["event_id", "created_at"]).withColumn("day", F.to_date("created_at")).persist()
         try:
-            days = [r.day for r in new.select("day").distinct().collect()]  # of one batch
+            days = [r.day for r in batch.select("day").distinct().collect()]  # of one batch
             held = self.read()
+            new = batch
             if "day" in held.columns:
-                new = new.join(held.where(F.col("day").isin(days)).select("event_id", "created_at"), ["event_id", "created_at"], "left_anti").select(*new.columns)
-            new = new.persist()
-            count = new.count()
-            if count:
-                new.repartition("day").write.mode("append").partitionBy("day").parquet(self.path)
-            return count
+                new = batch.join(held.where(F.col("day").isin(days)).select("event_id", "created_at"), ["event_id", "created_at"], "left_anti").select(*batch.columns)
+            fresh = new.persist()
+            try:
+                if count := fresh.count():
+                    fresh.repartition("day").write.mode("append").partitionBy("day").parquet(self.path)
+                return count
+            finally:
+                fresh.unpersist()
         finally:
-            new.unpersist()
+            batch.unpersist()
 
 
-def consume_batch(messages: DataFrame, store: Store, dead_letter_path: str, counters: ConsumeCounters) -> None:
-    """Route one micro-batch. Returning lets the stream commit it; raising has it delivered again."""
+def consume_batch(messages: DataFrame, store: Store, dead_letters: str) -> Counter:
+    """Route one micro-batch and count its outcomes. Returning lets the stream commit it; raising has it delivered again.
+
+    ``dead_letters`` is this batch's own folder and is replaced, so a batch that is delivered again leaves its dead letters once.
+    """
     told = wire.triage(messages).persist()
     try:
-        reasons = {r.reason: r.n for r in told.groupBy("reason").agg(F.count("*").alias("n")).collect()}
-        dead = {k: v for k, v in reasons.items() if k}
-        counters.stored += store.insert(wire.store_rows(told.where("reason is null")))
-        if dead:
-            wire.dead_letters(told.where("reason is not null")).write.mode("append").parquet(dead_letter_path)
-        counters.consumed += sum(reasons.values())
-        counters.dead_lettered += sum(dead.values())
-        for k, n in dead.items():
-            counters.by_reason[k] = counters.by_reason.get(k, 0) + n
+        reasons = Counter({r.reason: r.n for r in told.groupBy("reason").agg(F.count("*").alias("n")).collect()})
+        outcome = Counter(consumed=reasons.total()) + Counter({f"dead {k}": n for k, n in reasons.items() if k})
+        if reasons[None]:
+            outcome["stored"] = store.insert(wire.store_rows(told.where("reason is null")))
+        if reasons.total() > reasons[None]:
+            wire.dead_letters(told.where("reason is not null")).write.mode("overwrite").parquet(dead_letters)
+        return outcome
     finally:
         told.unpersist()
 
 
-def consume(messages: DataFrame, store: Store, dead_letter_path: str, checkpoint: str, counters: ConsumeCounters, available_now: bool = True):
-    """A streaming query over (key, value) messages: stored first, committed after."""
-    writer = messages.writeStream.foreachBatch(lambda batch, _id: consume_batch(batch, store, dead_letter_path, counters)).option("checkpointLocation", checkpoint)
+def consume(messages: DataFrame, store: Store, dead_letter_path: str, checkpoint: str, totals: Counter, available_now: bool = True):
+    """A streaming query over (key, value) messages: stored first, committed after. ``totals`` grows batch by batch.
+
+    Dead letters stand in a folder for each stream, told by its checkpoint, and batch.
+    """
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+    route = lambda batch, nth: totals.update(consume_batch(batch, store, f"{dead_letter_path.rstrip('/')}/stream={stream}/batch={nth}"))
+    writer = messages.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def send_messages(messages: DataFrame, servers: str, topic: str) -> None:
+    """Write (key, value) messages, dead letters too, to a topic; needs Spark's Kafka connector. Returns when all are acknowledged."""
+    messages.select("key", "value").write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+
+def send_stream(messages: DataFrame, servers: str, topic: str, checkpoint: str):
+    """The same for a stream, batch by batch."""
+    return messages.select("key", "value").writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).option("checkpointLocation", checkpoint).start()
+
+
 def kafka_messages(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     """Messages of a topic from the earliest on; needs Spark's Kafka connector."""
     stream = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest")
@@ -187,41 +183,14 @@ def write_rejects(rejected: DataFrame, path: str) -> int:
     return count
 
 
-class Tee:
-    """The first sink must succeed; the others are best effort, and what they miss is counted."""
-
-    def __init__(self, primary: Callable[[DataFrame], None], *others: Callable[[DataFrame], None]) -> None:
-        self.primary, self.others, self.dropped = primary, others, 0
-
-    def __call__(self, batch: DataFrame) -> None:
-        self.primary(batch)
-        for sink in self.others:
-            try:
-                sink(batch)
-            except Exception:
-                self.dropped += 1
-                log.exception("a best-effort sink failed")
-
-
-def effective_interval(requested: float, server: float | None) -> float:
-    """Seconds between polls: never faster than the server asks."""
-    return max(requested, server or 0.0)
-
-
-def poll(pages: Callable[[], Iterable[dict]], sink: Callable[[list[dict]], None], reject: Callable[[list[dict]], None], valid: Callable[[dict], bool], pause: Callable[[float], bool], interval: float, max_cycles: int | None = None, window: int = WINDOW) -> PollCounters:
-    """The polling loop on the driver: sweep, split, deduplicate, write, pause. ``pause`` returns True to stop; the last of ``max_cycles`` doesn't pause."""
-    counters, seen = PollCounters(), RecentIds(window)
-    while max_cycles is None or counters.cycles < max_cycles:
-        items = list(pages())
-        good, bad = [x for x in items if valid(x)], [x for x in items if not valid(x)]
-        fresh = [x for x in good if seen.add(x["id"])]
-        sink(fresh)
-        if bad:
-            reject(bad)
-        counters.fetched += len(good)
-        counters.fresh += len(fresh)
-        counters.rejected += len(bad)
-        counters.cycles += 1
-        if counters.cycles != max_cycles and pause(interval):
-            break
-    return counters
+def write_in_order(batch: DataFrame, must: Callable[[DataFrame], None], *extra: Callable[[DataFrame], None]) -> list[str]:
+    """Give a batch to the sink that must take it, whose failure raises, and then to the extra ones; what went wrong with these."""
+    must(batch)
+    missed = []
+    for sink in extra:
+        try:
+            sink(batch)
+        except Exception as e:
+            log.exception("a best-effort sink failed")
+            missed.append(f"{type(e).__name__}: {e}")
+    return missed

@@ -36,7 +36,8 @@ def triage(messages: DataFrame) -> DataFrame:
     parsed = F.try_parse_json(text)
     version = F.try_variant_get(parsed, "$.v", "bigint")
     kind = F.schema_of_variant(parsed)
-    exact = F.when(kind.startswith("OBJECT") & F.try_variant_get(parsed, "$.v", "string").rlike(r"^\d+$"), version)
+    whole = F.schema_of_variant(F.try_variant_get(parsed, "$.v", "variant")) == "BIGINT"  # text that looks like a number is none
+    exact = F.when(kind.startswith("OBJECT") & whole & F.try_variant_get(parsed, "$.v", "string").rlike(r"^\d+$"), version)
     m = messages.select("*", text.alias("_text"), parsed.isNull().alias("_broken"), exact.alias("_v"))
     m = m.withColumn("envelope", F.from_json("_text", ENVELOPE, {"mode": "PERMISSIVE"}))
     e = F.col("envelope.event")

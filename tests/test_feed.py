@@ -1,0 +1,126 @@
+import json
+import os
+import signal
+import threading
+from datetime import UTC, datetime
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+import pytest
+
+from eventpulse.plans.converge import NotPublished
+from eventpulse.streaming import feed
+
+
+@pytest.fixture
+def server():
+    """Answers in order from a list of (status, headers, body); a body that is None closes the connection."""
+    answers, asked = [], []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append((self.path, dict(self.headers)))
+            status, headers, body = answers.pop(0)
+            if body is None:
+                self.close_connection = True
+                return
+            self.send_response(status)
+            for k, v in headers.items():
+                self.send_header(k, v)
+            self.send_header("Content-Length", str(len(body)))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    httpd = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=httpd.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{httpd.server_port}", answers, asked
+    httpd.shutdown()
+
+
+def event(i):
+    return {"id": str(i), "type": "PushEvent", "actor": {"id": 1, "login": "u"}, "repo": {"id": 2, "name": "o/r"}, "payload": {}, "created_at": "2026-07-22T05:00:00Z"}
+
+
+def body(x):
+    return json.dumps(x).encode()
+
+
+def test_pages_tags_and_intervals(server):
+    base, answers, asked = server
+    answers += [(200, {"ETag": "t1", "X-Poll-Interval": "60"}, body([event(1), event(2)])), (200, {}, body([event(2), {"no": "id"}, "text", "text"])), (304, {}, b""), (200, {}, body([]))]
+    f = feed.Feed(base, token="secret")
+    assert f.sweep(2) == [event(1), event(2), {"no": "id"}, "text", "text"] and f.poll_seconds == 60
+    assert f.sweep(2) == [] and f.poll_seconds == 60
+    assert asked[0][0] == "/events?page=1&per_page=100" and asked[0][1]["Authorization"] == "Bearer secret" and "If-None-Match" not in asked[0][1] and asked[2][1]["If-None-Match"] == "t1"
+
+
+def test_retries_and_refusals(server):
+    base, answers, _ = server
+    waits = []
+    f = feed.Feed(base, wait=waits.append, clock=lambda: 1000.0)
+    answers += [(500, {}, b""), (200, {}, None), (200, {}, body([]))]
+    assert f.get("/events") == [] and waits == [2.0, 4.0]
+    answers += [(503, {}, b"")] * 3
+    with pytest.raises(OSError):
+        f.get("/events")
+    for headers, seconds in (({"Retry-After": "7"}, 7), ({"X-RateLimit-Reset": "1030", "X-RateLimit-Remaining": "0"}, 30), ({"X-RateLimit-Remaining": "0"}, 60)):
+        answers.append((403, headers, b""))
+        with pytest.raises(feed.RateLimited) as e:
+            f.get("/events")
+        assert e.value.seconds == seconds
+    answers.append((403, {}, b""))
+    with pytest.raises(OSError):
+        f.get("/events")
+
+
+def test_archive_hours(server, tmp_path):
+    base, answers, asked = server
+    fetch = feed.http_publisher(base)
+    answers += [(200, {}, b"bytes"), (404, {}, b""), (500, {}, b"")]
+    path = fetch("2026-07-22", 5, str(tmp_path))
+    assert open(path, "rb").read() == b"bytes" and asked[0][0] == "/2026-07-22-5.json.gz"
+    assert fetch("2026-07-22", 5, str(tmp_path)) == path and len(asked) == 1
+    with pytest.raises(NotPublished):
+        fetch("2026-07-22", 6, str(tmp_path))
+    with pytest.raises(OSError):
+        fetch("2026-07-22", 7, str(tmp_path))
+    assert os.listdir(tmp_path) == ["2026-07-22-5.json.gz"]
+
+
+def test_poll_counts_waits_and_stops():
+    sweeps = iter([[event(1), event(1), {}], feed.RateLimited(500), [event(1), event(2)]])
+
+    def sweep():
+        x = next(sweeps)
+        if isinstance(x, Exception):
+            raise x
+        return x
+
+    out, bad, pauses = [], [], []
+    totals = feed.poll(sweep, out.extend, bad.extend, feed.plausible, lambda s: bool(pauses.append(s)), lambda: 9, cycles=3)
+    assert dict(totals) == {"cycles": 3, "fetched": 4, "fresh": 2, "duplicates": 2, "rejected": 1, "rate_limited": 1}
+    assert out == [event(1), event(2)] and bad == [{}] and pauses == [9, 120]
+    assert feed.poll(lambda: [], out.extend, bad.extend, feed.plausible, lambda s: True, lambda: 1)["cycles"] == 1
+    assert feed.effective_interval(10, 60) == 60 and feed.effective_interval(90, None) == 90
+
+
+def test_sample_is_written_once(server, tmp_path):
+    base, answers, _ = server
+    answers += [(200, {}, body([event(1), {"id": "9"}])), (200, {}, body([event(1), event(2)]))]
+    now = lambda: datetime(2026, 7, 22, tzinfo=UTC)
+    path, totals = feed.collect_sample(feed.Feed(base), str(tmp_path), 2, 5, 1, pause=lambda s: False, clock=now)
+    assert [json.loads(x)["id"] for x in open(path)] == ["1", "2"] and totals["rejected"] == 1 and os.path.basename(path) == "events_20260722T000000Z.ndjson"
+    assert [json.loads(x) for x in open(path.replace(".ndjson", ".rejects.ndjson"))] == [{"id": "9"}]
+    with pytest.raises(FileExistsError, match="within that second"):
+        feed.collect_sample(feed.Feed(base), str(tmp_path), 1, 5, 1, clock=now)
+
+
+def test_signals_stop_and_are_put_back():
+    before = signal.getsignal(signal.SIGTERM)
+    with feed.stopping_on(signal.SIGTERM) as stop:
+        assert not stop.is_set()
+        os.kill(os.getpid(), signal.SIGTERM)
+        assert stop.wait(5)
+    assert signal.getsignal(signal.SIGTERM) is before
