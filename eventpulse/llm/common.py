@@ -47,3 +47,30 @@ def let(value: Column, body) -> Column:
 def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small driver-made table; its rows pass through the JVM alone."""
     return spark.createDataFrame(rows, schema)
+
+
+def labelled_sample(docs: DataFrame, usable: Column, sample: int, most_bytes: int, text_col: str = "text", label_col: str = "lang", salt: str = "language sample") -> list[tuple[str, str]]:
+    """At most ``sample`` distinct (text, label), and ``most_bytes`` of text, of the least hashes of their texts.
+
+    Labels that are null, texts that are null, and texts over ``most_bytes / 64`` bytes are left out. A first pass takes twice the share of hashes that would do if no text had a copy; where copies leave too few, passes of four times the share follow.
+    """
+    text, label = F.col(text_col).cast("string"), F.col(label_col).cast("string")
+    rows = docs.where(usable & label.isNotNull() & text.isNotNull() & (F.octet_length(text) <= most_bytes // 64))
+    count, span = rows.agg(F.count("*")).first()[0], 1 << 40
+    share = min(span, 2 * span * sample // max(1, count))
+    mark = F.pmod(F.xxhash64(text, F.lit(salt)), F.lit(span))
+    while True:
+        some = rows.select(mark.alias("mark"), text.alias("text"), label.alias("label")).where(F.col("mark") < share).groupBy("mark", "text", "label").agg(F.lit(1).alias("one"))
+        some = materialize(some.select("mark", "text", "label", F.octet_length("text").alias("size")), "text-sample")
+        sizes = some.select("mark", "size").orderBy("mark").limit(sample + 1).collect()
+        if len(sizes) > sample or share >= span:
+            break
+        share = min(span, 4 * share)
+    total, last = 0, -1
+    for k, r in enumerate(sizes):
+        total += r["size"]
+        if k >= sample or total > most_bytes:
+            break
+        last = r["mark"]
+    got = some.where(F.col("mark") <= last).toArrow()
+    return [(t, x) for _, t, x in sorted(zip(*(got.column(c).to_pylist() for c in ("mark", "text", "label"))))][:sample]

@@ -3,17 +3,20 @@
 A text's features are the 2- to 4-grams of characters of its lower-cased words, a space standing
 at either side of a word, hashed to a fixed number of embedding rows. The average of the rows goes
 through a linear softmax. Embeddings and softmax are trained together by stochastic gradient descent
-in numpy, on a bounded sample of labelled texts (``SAMPLE`` documents, taken by a hash of the id) and
-their lines, so that short texts are seen too. A fifth of the sampled documents is kept for calibration: they fit
-the softmax temperature, and the score under which a prediction is rejected, such that no more than
+in numpy, on a bounded sample of labelled texts and their lines, so that short texts are seen too. A fifth of the sampled texts is kept for
+calibration: they fit the softmax temperature, and the score under which a prediction is rejected, such that no more than
 ``MAX_FALSE_REJECTION`` of right predictions fall under it.
 
+The sample is bounded by two parameters: no more than ``sample`` (``SAMPLE``) distinct pairs of text and language, and no more than ``most_bytes``
+(``SAMPLE_BYTES``) bytes of text; a text over ``most_bytes / 64`` is not learnt from. Texts are chosen by a hash of the text alone, those of the
+least hashes, so ids don't matter, copies of a text count once, and a hot text can't crowd out the others. Features are made minibatch by minibatch, so the driver never holds those of the whole sample.
+
 Every whole text is scored, in blocks, against the broadcast model (a few MB, fixed by the
-number of rows and languages). Nothing is shuffled.
+number of rows and languages); a text longer than a block is cut at white space and its parts are summed. No text is shuffled but those of the sample.
 
 Defined results: null text, empty text and text without a letter are ``und`` with score 0 and are rejected.
 Without labelled rows everything is ``und``. Null lang rows aren't learnt from. Repeated rows are
-predicted alike; ties between languages go to the first in order of name. Extra columns are kept by ``keep_identified`` and otherwise ignored.
+predicted alike; ties between languages go to the first in order of name. Null and repeated ids change nothing. Extra columns are kept by ``keep_identified`` and otherwise ignored.
 """
 
 from __future__ import annotations
@@ -27,58 +30,82 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, table
+from .common import fold, labelled_sample, table
 
 UNKNOWN = "und"
-SAMPLE, ROWS, DIM, GRAMS, EPOCHS, BATCH, RATE = 3000, 1 << 16, 16, (2, 3, 4), 4, 64, 0.5
+SAMPLE, SAMPLE_BYTES = 3000, 4 << 20
+ROWS, DIM, GRAMS, EPOCHS, BATCH, RATE = 1 << 16, 16, (2, 3, 4), 4, 64, 0.5
 MAX_FALSE_REJECTION, MOST_REJECTED_SCORE = 0.001, 0.5
 _LETTER = re.compile(r"[^\W\d_]")
-_BLOCK = 1 << 20
-_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
+_BLOCK = 1 << 18  # characters
+_FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
 def _codes(text: str) -> np.ndarray:
     """Code points of the lower-cased text; ASCII and general punctuation become spaces."""
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
     letter = ((codes >= 97) & (codes <= 122)) | ((codes >= 0xC0) & ((codes < 0x2000) | (codes > 0x206F)))
-    return np.where(letter, codes, np.uint64(32))
+    return np.where(letter, codes, np.uint32(32))
 
 
 def features(texts: list[str], rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Embedding rows of all n-grams of the texts, and the index of each one's text."""
+    """Embedding rows of all n-grams of the texts, in order of the texts' index, which is the second array."""
     parts = [_codes(f" {t} ") for t in texts]
-    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-    codes = np.concatenate(parts) if parts else np.empty(0, np.uint64)
-    space, found, of = codes == 32, [], []
-    for n in GRAMS:
+    owner = np.repeat(np.arange(len(parts), dtype=np.uint32), [len(p) for p in parts])
+    codes = np.concatenate(parts) if parts else np.empty(0, np.uint32)
+    letter, h, found, of = codes != 32, np.zeros(len(codes), np.uint32), [], []
+    inner = np.ones(len(codes), bool)  # no space but at either end
+    for n in range(1, GRAMS[-1] + 1):
         m = len(codes) - n + 1
         if m < 1:
-            continue
-        ok = ~(space[:m] & space[n - 1 :])
-        for k in range(1, n - 1):
-            ok &= ~space[k : k + m]
-        at = np.flatnonzero(ok)
-        h = np.full(len(at), n, np.uint64)
-        for k in range(n):
-            h = (h ^ codes[at + k]) * _FACTORS[k]
-            h ^= h >> np.uint64(29)
-        found.append((h % np.uint64(rows)).astype(np.int64))
-        of.append(owner[at])
+            break
+        h = (h[:m] ^ codes[n - 1 :]) * _FACTORS[n - 1]
+        h ^= h >> np.uint32(15)
+        if n > 2:
+            inner = inner[:m] & letter[n - 2 : n - 2 + m]
+        if n in GRAMS:
+            ok = np.flatnonzero(inner[:m] & (letter[:m] | letter[n - 1 :]))
+            found.append(h[ok] % np.uint32(rows))
+            of.append(owner[ok])
     if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.uint32), np.empty(0, np.uint32)
     found, of = np.concatenate(found), np.concatenate(of)
-    order = np.argsort(of, kind="stable")
-    return found[order], of[order]
+    if len(texts) > 1:
+        order = np.argsort(of.astype(np.uint16) if len(texts) < 1 << 16 else of, kind="stable")  # numbers of 16 bits are sorted by radix
+        found, of = found[order], of[order]
+    return found, of
+
 
+def bags(texts: list[str], rows: int = ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct rows of each text, their share of the text's n-grams, and the index of each one's text."""
+    found, owner = features(texts, rows)
+    small = len(texts) * rows < 1 << 32
+    pair, n = np.unique((owner if small else owner.astype(np.uint64)) * (np.uint32 if small else np.uint64)(rows) + found, return_counts=True)
+    owner, found = (pair // rows).astype(np.int64), (pair % rows).astype(np.int64)
+    total = np.bincount(owner, weights=n, minlength=len(texts))
+    return found, (n / total[owner]).astype(np.float32), owner
 
-def _averages(values: np.ndarray, rows: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
-    """Mean of ``values[rows]`` for each owner 0..count-1; zero where it has none."""
-    out = np.zeros((count, values.shape[1]))
+
+def _sums(values: np.ndarray, rows: np.ndarray, owner: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of ``values[rows]`` for each owner 0..count-1, and the number of rows it is over."""
+    out, sizes = np.zeros((count, values.shape[1])), np.zeros(count)
     if len(rows):
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        sizes = np.diff(np.append(starts, len(owner)))
-        out[owner[starts]] = np.add.reduceat(values[rows], starts, axis=0, dtype=np.float64) / sizes[:, None]
-    return out
+        out[owner[starts]] = np.add.reduceat(values[rows], starts, axis=0, dtype=np.float64)
+        sizes[owner[starts]] = np.diff(np.append(starts, len(owner)))
+    return out, sizes
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """The text in parts of about a block, cut at spaces, so that no n-gram is lost."""
+    start = 0
+    while len(text) - start > _BLOCK:
+        cut = text.find(" ", start + _BLOCK)
+        if cut < 0:
+            break
+        yield text[start:cut]
+        start = cut
+    yield text[start:] if start else text
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -96,26 +123,31 @@ class LanguageModel:
     threshold: float
 
     def logits(self, texts: list[str]) -> np.ndarray:
-        mean = _averages(self.embeddings, *features(texts, len(self.embeddings)), len(texts))
+        sums, sizes = np.zeros((len(texts), self.embeddings.shape[1])), np.zeros(len(texts))
+        ready: list[tuple[int, str]] = []
+        size = 0
+        parts = [(i, p) for i, text in enumerate(texts) for p in _pieces(text)]
+        for nth, (i, part) in enumerate(parts):
+            ready.append((i, part))
+            size += len(part)
+            if size >= _BLOCK or nth == len(parts) - 1:
+                own, n = _sums(self.embeddings, *features([p for _, p in ready], len(self.embeddings)), len(ready))
+                at = np.array([k for k, _ in ready])
+                np.add.at(sums, at, own)
+                np.add.at(sizes, at, n)
+                ready, size = [], 0
+        mean = sums / np.maximum(sizes, 1)[:, None]
         return (mean if self.weights is None else mean @ self.weights) + self.bias
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Languages and scores of whole texts."""
         langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        if not self.langs:
-            return langs, scores
-        ready: list[int] = []
-        size = 0
-        for i, text in enumerate([*texts, ""]):
-            if i < len(texts) and text and _LETTER.search(text):
-                ready.append(i)
-                size += len(text)
-            if ready and (size >= _BLOCK or i == len(texts)):
-                p = _softmax(self.logits([texts[k] for k in ready]) / self.temperature)
-                best = p.argmax(axis=1)
-                for k, b, s in zip(ready, best, p[np.arange(len(best)), best]):
-                    langs[k], scores[k] = self.langs[b], s
-                ready, size = [], 0
+        ready = [i for i, text in enumerate(texts) if text and _LETTER.search(text)] if self.langs else []
+        if ready:
+            p = _softmax(self.logits([texts[k] for k in ready]) / self.temperature)
+            best = p.argmax(axis=1)
+            for k, b, s in zip(ready, best, p[np.arange(len(best)), best]):
+                langs[k], scores[k] = self.langs[b], s
         return langs, scores
 
 
@@ -125,6 +157,37 @@ def _folded(langs, embeddings, weights, bias, temperature=1.0, threshold=0.0) ->
     return LanguageModel(langs, embeddings.astype(np.float32), weights, bias, temperature, threshold)
 
 
+def gradient_step(embeddings: np.ndarray, weights: np.ndarray, bias: np.ndarray, texts: list[str], y: np.ndarray, rate: float) -> None:
+    """One step, in place, down the gradient of the summed cross-entropy of the texts; the bias goes by its mean."""
+    found, share, owner = bags(texts, len(embeddings))
+    mean = np.zeros((len(texts), embeddings.shape[1]))
+    if len(found):
+        starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        mean[owner[starts]] = np.add.reduceat(embeddings[found] * share[:, None], starts, axis=0)
+    error = _softmax(mean @ weights + bias)
+    error[np.arange(len(texts)), y] -= 1
+    back = (error @ weights.T).astype(np.float32)
+    by_row = np.argsort(found.astype(np.uint16) if len(embeddings) <= 1 << 16 else found, kind="stable")
+    row = found[by_row]
+    if len(row):
+        starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        embeddings[row[starts]] -= rate * np.add.reduceat(back[owner[by_row]] * share[by_row, None], starts, axis=0)
+    weights -= rate * (mean.T @ error)
+    bias -= rate * error.sum(axis=0) / len(texts)
+
+
+def _minibatches(texts: list[str], order: np.ndarray) -> Iterator[np.ndarray]:
+    """Runs of at most ``BATCH`` texts, and of one block of characters where a text alone isn't longer."""
+    start = size = 0
+    for at, i in enumerate(order):
+        if at > start and (at - start == BATCH or size + len(texts[i]) > _BLOCK):
+            yield order[start:at]
+            start, size = at, 0
+        size += len(texts[i])
+    if len(order):
+        yield order[start:]
+
+
 def train(texts: list[str], labels: list[str], seed: int = 7, rows: int = ROWS) -> LanguageModel:
     """Train by stochastic gradient descent, then calibrate on the fifth of texts that was left out."""
     usable = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
@@ -136,65 +199,36 @@ def train(texts: list[str], labels: list[str], seed: int = 7, rows: int = ROWS)
     held = [i for i in range(len(texts)) if i % 5 == 4]
     examples = [(texts[i], code[labels[i]]) for i in range(len(texts)) if i % 5 != 4]
     examples += [(line, y) for text, y in examples for line in text.split("\n") if line != text and _LETTER.search(line)]
-    bags = []  # distinct rows of each example with their counts
-    for k in range(0, len(examples), 512):
-        part = examples[k : k + 512]
-        found, owner = features([t for t, _ in part], rows)
-        pair, n = np.unique(owner * rows + found, return_counts=True)
-        owner, found = pair // rows, pair % rows
-        total = np.bincount(owner, weights=n, minlength=len(part))
-        cuts = np.searchsorted(owner, np.arange(len(part) + 1))
-        share = n / total[owner]
-        bags += [(found[a:b], share[a:b], y) for a, b, (_, y) in zip(cuts[:-1], cuts[1:], part)]
-    embeddings = rng.uniform(-1 / DIM, 1 / DIM, (rows, DIM))
+    shown, y = [t for t, _ in examples], np.array([k for _, k in examples])
+    embeddings = rng.uniform(-1 / DIM, 1 / DIM, (rows, DIM)).astype(np.float32)
     weights, bias = np.zeros((DIM, len(langs))), np.zeros(len(langs))
-    steps, step = EPOCHS * -(-len(bags) // BATCH), 0
+    seen, all_of = 0, EPOCHS * len(shown)
     for _ in range(EPOCHS):
-        order = rng.permutation(len(bags))
-        for k in range(0, len(order), BATCH):
-            part = [bags[i] for i in order[k : k + BATCH]]
-            found, share = np.concatenate([b[0] for b in part]), np.concatenate([b[1] for b in part])
-            sizes, y = np.array([len(b[0]) for b in part]), np.array([b[2] for b in part])
-            owner, full = np.repeat(np.arange(len(part)), sizes), np.flatnonzero(sizes)
-            mean = np.zeros((len(part), DIM))
-            mean[full] = np.add.reduceat(embeddings[found] * share[:, None], (np.cumsum(sizes) - sizes)[full], axis=0)
-            error = _softmax(mean @ weights + bias)
-            error[np.arange(len(part)), y] -= 1
-            rate = RATE * (1 - step / steps)
-            step += 1
-            back = error @ weights.T
-            order_by_row = np.argsort(found, kind="stable")
-            row = found[order_by_row]
-            starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            push = np.add.reduceat((back[owner] * share[:, None])[order_by_row], starts, axis=0)
-            weights -= rate * (mean.T @ error)
-            bias -= rate * error.sum(axis=0) / len(part)
-            embeddings[row[starts]] -= rate * push
+        for part in _minibatches(shown, rng.permutation(len(shown))):
+            gradient_step(embeddings, weights, bias, [shown[i] for i in part], y[part], RATE * (1 - seen / all_of))
+            seen += len(part)
     model = _folded(langs, embeddings, weights, bias)
     if not held:
         return model
     logits, truth = model.logits([texts[i] for i in held]), np.array([code[labels[i]] for i in held])
+    temperature, threshold = calibrate(logits, truth)
+    return LanguageModel(langs, model.embeddings, model.weights, model.bias, temperature, threshold)
+
+
+def calibrate(logits: np.ndarray, truth: np.ndarray) -> tuple[float, float]:
+    """The temperature of the least cross-entropy, of a fixed grid, and the score under which a prediction is rejected."""
     loss = lambda t: -np.log(_softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean()
     temperature = min(np.geomspace(0.05, 20, 61), key=loss)
     p = _softmax(logits / temperature)
     right = np.sort(p.max(axis=1)[p.argmax(axis=1) == truth])
     allowed = int(MAX_FALSE_REJECTION * len(right))
-    threshold = min(MOST_REJECTED_SCORE, right[allowed]) if len(right) else 0.0
-    return LanguageModel(langs, model.embeddings, model.weights, model.bias, float(temperature), float(threshold))
-
-
-def fit(docs: DataFrame, usable: Column, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """Train on about ``sample`` labelled rows among the ``usable``, chosen by a hash of their ids alone.
-
-    The bound is the parameter ``sample``: it is the expected number of rows that reach the driver.
-    """
-    rows = docs.where(usable & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    count, span = rows.count(), 1 << 30
-    mark = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("language sample")), F.lit(span))
-    share = span if count <= sample else max(1, span * sample // count)
-    got = rows.where(mark < share).select(mark.alias("mark"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).toArrow()
-    got = sorted(zip(*(got.column(c).to_pylist() for c in ("mark", "text", "lang"))))
-    return train([t for _, t, _ in got], [x for _, _, x in got])
+    return float(temperature), float(min(MOST_REJECTED_SCORE, right[allowed]) if len(right) else 0.0)
+
+
+def fit(docs: DataFrame, usable: Column, sample: int = SAMPLE, most_bytes: int = SAMPLE_BYTES, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
+    """Train on the ``labelled_sample`` of the ``usable`` rows."""
+    got = labelled_sample(docs, usable, sample, most_bytes, text_col, lang_col)
+    return train([t for t, _ in got], [x for _, x in got])
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
