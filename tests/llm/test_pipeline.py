@@ -8,7 +8,7 @@ import corpus_pipeline as C
 from eventpulse.llm import langid, mixing, pieces
 from eventpulse.llm.common import materialize
 
-from .test_simhash import components, plain
+from .test_nearcopies import components
 
 SF = "/root/testdata/sf0.001"
 LOOSE = re.compile(r"\S+@\S+\.com|\d{16}|\+1 \(\d{3}\) \d{3}-\d{4}|\d+\.\d+\.\d+\.\d+|\b[0-9a-f]{40}\b")
@@ -38,7 +38,7 @@ def test_language_id(spark, stages):
 
 def test_one_of_each_group(stages):
     before, after = stages[1], stages[2]
-    assert set(after) == set(components({d: plain(r.text) for d, r in before.items()}).values())
+    assert set(after) == components({d: r.text for d, r in before.items()})
     assert all(after[d] == before[d] for d in after)
 
 
@@ -51,22 +51,16 @@ def test_personal_data(stages):
         assert r.n_chars == len(r.text) and (r.lang, r.source) == (before[d].lang, before[d].source)
 
 
-def topic(text):
-    n = len(text)
-    if 50 * text.count("|") > n:
-        return "table"
-    if 50 * (text.count("#") + text.count("%")) > n:
-        return "markup"
-    return "shout" if 20 * 2 * text.count("!!") > n else "prose"
-
-
-def test_mix(stages):
+def test_mix(spark, stages):
     before, after = stages[3], stages[4]
-    cell = {d: (r.source if r.source in mixing.SOURCES else "other", r.lang if r.lang in mixing.LANGS else "other", topic(r.text)) for d, r in before.items()}
+    model = mixing.fit_topics(spark.createDataFrame([(r.text, r.lang) for r in before.values()], "text string, lang string"))
+    rows = {d: mixing.word_rows(r.text.encode()) for d, r in before.items()}
+    named = lambda x, names: x if x in names else "other"
+    cell = {d: (named(r.source, mixing.SOURCES), named(r.lang, mixing.LANGS), named(model.predict(rows[d], named(r.lang, mixing.LANGS)), mixing.TOPICS)) for d, r in before.items()}
     tokens = {}
-    for d, r in before.items():
-        tokens[cell[d]] = tokens.get(cell[d], 0) + len(r.text.encode().split())
-    mix = mixing.rake(tokens, (mixing.SOURCES, mixing.LANGS, mixing.TOPICS), mixing.SHARE)
+    for d in before:
+        tokens[cell[d]] = tokens.get(cell[d], 0) + len(rows[d])
+    mix = mixing.rake(tokens, mixing.TARGETS, mixing.SHARE)
     taken = {d for d, r in before.items() if int(hashlib.md5(f"{mixing.SEED}|{d}|{r.text}".encode()).hexdigest()[:13], 16) / 2**52 < mix.cells.get(cell[d], 1.0)}
     assert set(after) == taken and all(after[d] == before[d] for d in after)
 
