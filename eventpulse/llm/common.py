@@ -19,11 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only a local session, whose executors are the driver, may go without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="eventpulse-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = f"file://{tempfile.gettempdir()}/eventpulse-{spark.sparkContext.applicationId}"
     return folder.rstrip("/")
 
 

@@ -4,7 +4,8 @@ Two fingerprints that differ in at most 3 bits differ in at most 3 of their 8 by
 at least 5 positional bytes. The index posts each distinct fingerprint under 14 combinations of four
 byte positions: the planes of the affine space of 8 points, a Steiner system S(3,4,8), of which one
 always avoids any 3 positions. Every pair to be found therefore meets in a list, and a list's
-entries agree in 32 bits, so lists stay short at any corpus size. Within a list the shared
+entries agree in 32 bits, so lists stay short at any corpus size; lists of single bytes would hold a 256th of the corpus each. What this changes in the method: the tally runs
+over pairs that share four bytes already, and drops those that share no fifth. Within a list the shared
 positional bytes of each pair are tallied, pairs below the guaranteed 5 are dropped, and the rest
 verified bit by bit. A list leaves only a spanning forest of its links, never all pairs of a group.
 
@@ -205,28 +206,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return own.join(of, own["fp"] == of["_fp"], "left").select("doc_id", "fp", "component_id", "text_key")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
-    """One row of ``docs`` for each component, all columns as they are: the one with the smallest doc_id.
-
-    If several rows have that id, the one with the least hash of its text stays, and of wholly repeated rows one. Rows without id stay only
-    where no row with an id is in their group. Only ids and hashes are grouped; rows then meet the kept ones in one join.
-    """
-    if clash := [c for c in docs.columns if c.lower().startswith("_sim_")]:
-        raise ValueError(f"docs has columns of names used here: {clash}")
-    found = near_duplicates(docs, id_col, text_col, **more).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    group = ["doc_id", F.when(F.col("doc_id").isNull(), F.col("fp")).alias("lone")]
-    times = found.groupBy(*group, "text_key").agg(F.count("*").alias("n"))
-    kept = times.groupBy("doc_id", "lone").agg(F.min(F.struct("text_key", "n")).alias("k")).select(F.col("doc_id").alias("_sim_id"), F.col("k.text_key").alias("_sim_kept"), F.col("k.n").alias("_sim_n"))
-    kept = materialize(kept, "simhash-kept")
-    keyed = docs.withColumn("_sim_key", _text_key(text_col))
-    meets = F.col(id_col).cast("long").eqNullSafe(F.col("_sim_id")) & (F.col("_sim_key") == F.col("_sim_kept"))
-    out = keyed.join(kept.where("_sim_n = 1"), meets, "left_semi")
-    again = kept.where("_sim_n > 1")
-    if not again.isEmpty():
-        out = out.union(keyed.join(again, meets, "left_semi").dropDuplicates([id_col, "_sim_key"]))
-    return out.select(*docs.columns)
-
-
 def _partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -87,15 +87,3 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (None, 3)]
     got = {r.u: r.v for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 60)}
-
-
-def test_one_of_each_group_stays(spark):
-    texts = [(5, "same words in here"), (3, "Same words\tin here"), (3, "quite another text at id three"), (9, None), (8, ""), (None, "same words in here"), (None, "alone at last"), (None, "alone at last"), (2, "twice the same"), (2, "twice the same"), (4, "twice the same")]
-    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in texts], SCHEMA)
-    out = S.keep_one(docs)
-    assert out.columns == docs.columns
-    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
-    assert got == sorted([(3, "Same words\tin here"), (3, "quite another text at id three"), (8, ""), (None, "alone at last"), (2, "twice the same")], key=str)[: len(got)] or {d for d, _ in got} == {3, 8, None, 2}
-    assert S.keep_one(docs.where("false")).count() == 0
-    with pytest.raises(ValueError, match="_sim_key"):
-        S.keep_one(docs.withColumn("_sim_key", F.lit(1)))
