@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventpulse.sources import files
+
+_own = threading.local()
 #: ASCII white space; a word is a run of anything else.
 SPACES = r"\x20\x09-\x0D"
 #: Table for ``bytes.translate`` that lower-cases A-Z only.
@@ -31,10 +35,26 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, so that lost executors never recompute it."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    written().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written() -> list[str]:
+    """The folders that this thread's tables were written to, in order."""
+    if not hasattr(_own, "written"):
+        _own.written = []
+    return _own.written
+
+
+def drop_all_but_last(spark: SparkSession, since: int) -> None:
+    """Delete the tables written since there were so many, but the last: for callers whose last table is all that is still read."""
+    for path in (gone := written()[since:-1]):
+        files.delete(spark, path)
+    if gone:
+        del written()[since:-1]
+
+
 def fold(doc_id: Column | str, folds: int) -> Column:
     """crc32 of the id's decimal text, modulo ``folds``; a null id counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
