@@ -158,7 +158,7 @@ def sample(spark, a) -> int:
     from eventpulse.streaming import feed
 
     with feed.stopping_on() as stop:
-        path, totals = feed.collect_sample(feed.Feed(a.feed, os.environ.get("EVENTPULSE_TOKEN")), a.folder, a.cycles, a.interval, pause=stop.wait)
+        path, totals = feed.sample_to_file(feed.Feed(a.feed, os.environ.get("EVENTPULSE_TOKEN")), a.folder, a.cycles, a.interval, pause=stop.wait)
     _show([{"path": path, **totals}])
     return 0
 
@@ -176,7 +176,7 @@ def poll(spark, a) -> int:
             live.write_hourly(rows.withColumn("created_at", F.try_to_timestamp(F.get_json_object("value", "$.created_at"))), a.folder)
 
     with feed.stopping_on() as stop:
-        totals = feed.poll(source.sweep, sink, lambda items: live.write_rejects(lines(items), f"{a.folder.rstrip('/')}-rejects"), feed.plausible, stop.wait, lambda: feed.effective_interval(a.interval, source.poll_seconds), a.cycles)
+        totals = feed.poll(source.sweep, sink, lambda items: live.write_rejects(lines(items), f"{a.folder.rstrip('/')}-rejects"), feed.plausible, stop.wait, lambda: feed.between_polls(a.interval, source.poll_seconds), a.cycles)
     _show([dict(totals)])
     return 0
 

@@ -103,18 +103,18 @@ def test_poll_counts_waits_and_stops():
     assert dict(totals) == {"cycles": 3, "fetched": 4, "fresh": 2, "duplicates": 2, "rejected": 1, "rate_limited": 1}
     assert out == [event(1), event(2)] and bad == [{}] and pauses == [9, 120]
     assert feed.poll(lambda: [], out.extend, bad.extend, feed.plausible, lambda s: True, lambda: 1)["cycles"] == 1
-    assert feed.effective_interval(10, 60) == 60 and feed.effective_interval(90, None) == 90
+    assert feed.between_polls(10, 60) == 60 and feed.between_polls(90, None) == 90
 
 
 def test_sample_is_written_once(server, tmp_path):
     base, answers, _ = server
     answers += [(200, {}, body([event(1), {"id": "9"}])), (200, {}, body([event(1), event(2)]))]
     now = lambda: datetime(2026, 7, 22, tzinfo=UTC)
-    path, totals = feed.collect_sample(feed.Feed(base), str(tmp_path), 2, 5, 1, pause=lambda s: False, clock=now)
+    path, totals = feed.sample_to_file(feed.Feed(base), str(tmp_path), 2, 5, 1, pause=lambda s: False, clock=now)
     assert [json.loads(x)["id"] for x in open(path)] == ["1", "2"] and totals["rejected"] == 1 and os.path.basename(path) == "events_20260722T000000Z.ndjson"
     assert [json.loads(x) for x in open(path.replace(".ndjson", ".rejects.ndjson"))] == [{"id": "9"}]
     with pytest.raises(FileExistsError, match="within that second"):
-        feed.collect_sample(feed.Feed(base), str(tmp_path), 1, 5, 1, clock=now)
+        feed.sample_to_file(feed.Feed(base), str(tmp_path), 1, 5, 1, clock=now)
 
 
 def test_signals_stop_and_are_put_back():
