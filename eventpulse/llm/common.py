@@ -95,3 +95,14 @@ def labelled_sample(docs: DataFrame, usable: Column, sample: int, most_bytes: in
         last = r["mark"]
     got = some.where(F.col("mark") <= last).toArrow()
     return [(t, x) for _, t, x in sorted(zip(*(got.column(c).to_pylist() for c in ("mark", "text", "label"))))][:sample]
+
+
+#: For DuckDB, which has no crc32: a common table expression with the checksum's table, made by its rule.
+CRC_TABLE = "crc as (select list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) crc_t)"
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of an ASCII text that isn't empty, in a query that has ``CRC_TABLE`` and joins ``crc``, one row."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: ord(x)::bigint)"
+    step = "lambda c, b: xor(c >> 8, crc_t[(xor(c, b) & 255) + 1])"
+    return f"xor(4294967295, list_reduce(list_concat([4294967295::bigint], {codes}), {step}))"

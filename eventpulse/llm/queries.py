@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, langid, lm, mixing, pieces, pii, quality, sharding, simhash, topk
+from . import chat, langid, lm, mixing, pieces, pii, quality, sharding, simhash, topk, trie
 
-_MODULES = (quality, lm, sharding, chat, topk, pieces, pii, langid, simhash, mixing)
+_MODULES = (quality, lm, sharding, chat, topk, pieces, pii, langid, simhash, mixing, trie)
 
 
 def queries() -> dict:
