@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, langid, leaderboard, lm, mixing, pieces, pii, quality, sharding, simhash, topk, trie
+from . import chat, langid, leaderboard, lm, minhash, mixing, pieces, pii, quality, sharding, simhash, topk, trie
 
-_MODULES = (quality, lm, sharding, chat, topk, pieces, pii, langid, simhash, mixing, trie, leaderboard)
+_MODULES = (quality, lm, sharding, chat, topk, pieces, pii, langid, simhash, mixing, trie, leaderboard, minhash)
 
 
 def queries() -> dict:
