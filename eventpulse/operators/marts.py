@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventpulse.functions.events import AGGREGATE_FLOOR, BREAKOUTS, HOURS_A_DAY, TRENDING_FLOOR, breakouts, latest
+from eventpulse.operators import ranking
 
 
 def _span() -> list:
@@ -47,12 +48,14 @@ def adjacent_day_pairs(ecosystem: DataFrame, hours: int = HOURS_A_DAY) -> DataFr
     return days.join(previous, F.col("day") == F.col("_next")).select("day", "prior_day")
 
 
-def repo_trending(repos: DataFrame, ecosystem: DataFrame, floor: int = TRENDING_FLOOR, hours: int = HOURS_A_DAY) -> DataFrame:
-    """Repositories active today against the complete day before, ranked by change in participants.
+def repo_trending(repos: DataFrame, ecosystem: DataFrame, floor: int = TRENDING_FLOOR, hours: int = HOURS_A_DAY, days: Column | None = None) -> DataFrame:
+    """Repositories active today against the complete day before, ranked by change in participants; of all days, or those for which ``days`` holds.
 
-    The pairs of days are left to the optimizer to broadcast by their measured size. The floor applies before ranking.
+    The pairs of days are left to the optimizer to broadcast by their measured size. The floor applies before ranking. A day's ranks
+    are given by many tasks (``ranking``), so that a day of any size has no window to itself.
     """
     pairs = adjacent_day_pairs(ecosystem, hours)
+    pairs = pairs if days is None else pairs.where(days)
     prior = repos.select(F.col("repo_id").alias("_repo"), F.col("day").alias("_day"), F.col("actors").alias("_actors"), F.col("events").alias("_events"))
     now = repos.join(pairs, "day")
     rows = now.join(prior, (F.col("repo_id") == F.col("_repo")) & (F.col("prior_day") == F.col("_day")), "left")
@@ -62,8 +65,7 @@ def repo_trending(repos: DataFrame, ecosystem: DataFrame, floor: int = TRENDING_
         F.when(before != 0, (F.col("actors") - before).cast("double") / before).alias("actors_change_ratio"),
         "events", F.coalesce("_events", F.lit(0)).alias("events_prior"), F.col("_repo").isNull().alias("absent_prior_day"),
     ).where(F.greatest("actors", "actors_prior") >= floor)
-    rank = F.row_number().over(Window.partitionBy("day").orderBy(F.desc("actors_change"), F.desc("actors"), "repo_id"))
-    return rows.withColumn("rank_in_day", rank.cast("bigint"))
+    return ranking.ranked(rows, ["day"], [F.desc("actors_change"), F.desc("actors"), "repo_id"], "rank_in_day")
 
 
 def ecosystem_aggregate(lake: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _PRIVATE = re.compile(r"\b(?:restricted\s*\.|public\s*\.\s*events\b|actor_daily\b|actor_login\b)", re.I)
@@ -37,13 +37,9 @@ def _of_latest(per_day: DataFrame, *values: str) -> list[Column]:
     return [F.max_by(v, "day").alias(v) for v in values]
 
 
-def _top_of_latest(ranked: DataFrame, top: int) -> DataFrame:
-    """The latest day's first ``top`` rows by ``_nth``, its rank within the day, in one pass over the frame.
-
-    Each day keeps at most ``top`` rows, so the ordering over days sees a few rows a day.
-    """
-    few = ranked.where(F.col("_nth") <= top)
-    return few.withColumn("_back", F.dense_rank().over(Window.orderBy(F.desc("day")))).where("_back = 1")
+def _latest(trending: DataFrame) -> DataFrame:
+    """The latest day's rows: the ranking is a written table, of which the day is looked up and then read."""
+    return trending.join(trending.agg(F.max("day").alias("_latest")), F.col("day") == F.col("_latest"))
 
 
 def hours_ingested(ledger: DataFrame) -> DataFrame:
@@ -105,15 +101,15 @@ def first_appearances(trending: DataFrame) -> DataFrame:
 
 def gainers(trending: DataFrame, top: int = 25) -> DataFrame:
     """The rank within the day is by change, so the first ranks are the greatest gains."""
-    rows = _top_of_latest(trending.withColumn("_nth", F.col("rank_in_day")), top).where("actors_change > 0").orderBy("rank_in_day")
+    rows = _latest(trending).where((F.col("rank_in_day") <= top) & (F.col("actors_change") > 0)).orderBy("rank_in_day")
     return rows.select("rank_in_day", "repo_name", "actors_prior", "actors", "actors_change", _round(F.col("actors_change_ratio")).alias("proportional"))
 
 
 def losers(trending: DataFrame, top: int = 25) -> DataFrame:
     """Ties after change and prior accounts go by repository id."""
     order = ["actors_change", F.desc("actors_prior"), "repo_id"]
-    rows = _top_of_latest(trending.withColumn("_nth", F.row_number().over(Window.partitionBy("day").orderBy(*order))), top)
-    return rows.where("actors_change < 0").orderBy(*order).select("repo_name", "actors_prior", "actors", "actors_change", _round(F.col("actors_change_ratio")).alias("proportional"))
+    rows = _latest(trending).where("actors_change < 0").orderBy(*order).limit(top)  # each task keeps so many
+    return rows.orderBy(*order).select("repo_name", "actors_prior", "actors", "actors_change", _round(F.col("actors_change_ratio")).alias("proportional"))
 
 
 def movement_by_day(trending: DataFrame) -> DataFrame:

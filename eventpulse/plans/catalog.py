@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventpulse.functions.events import BREAKOUTS, KNOWN_TYPES
-from eventpulse.operators import figures, ledger, marts, panels, quality, recon, staging
+from eventpulse.operators import distinct, figures, ledger, marts, panels, quality, recon, staging
+from eventpulse.plans import incremental
 from eventpulse.sources import adapter, files
 from eventpulse.sources import lake as lake_io
 from eventpulse.streaming import live, wire
@@ -396,6 +397,44 @@ _query("figures_agree", lambda t: figures.agreement(figures.per_day_automated(t.
  select unnest(['events', 'repo_days', 'pattern_events', 'pattern_repo_days']) figure, unnest([sum(n)::bigint, count(*), coalesce(sum(n) filter (hit), 0)::bigint, count(*) filter (hit)]) by_day, true agrees from rd""")
 
 
+def _laid_out(t: Tables, root: str, where: str = "true") -> str:
+    """The lake's hours as lake files, one an hour, written in one pass."""
+    base = files.shared_dir(t.spark)
+    rows = t.lake.where(where).withColumn("created_at", F.col("created_at").cast("timestamp")).withColumns({"_dt": F.col("dt"), "_hr": F.col("hr")})
+    rows.repartition("_dt", "_hr").write.partitionBy("_dt", "_hr").parquet(base)
+    for path, _ in files.glob(t.spark, f"{base}/_dt=*/_hr=*/part-*.parquet"):
+        day, hour = (x.partition("=")[2] for x in path.split("/")[-3:-1])
+        files.rename(t.spark, path, f"{lake_io.partition_dir(root, day, int(hour))}/events.parquet")
+    files.delete(t.spark, base)
+    return root
+
+
+def _partials(t: Tables, stg: DataFrame) -> distinct.DistinctStore:
+    """Partials of all days but one, to which that one is then added."""
+    store, late = distinct.DistinctStore(t.spark, files.shared_dir(t.spark)), F.col("archive_day") == F.lit(HELD_OUT).cast("date")
+    store.add(stg.where(~late))
+    store.add(stg.where(late))
+    return store
+
+
+_query("overview_from_partials", lambda t: _partials(t, staging.staged(t.lake, False)).overview(), _SQL["lake_overview"].removeprefix(CTE))
+_query("ecosystem_from_partials", lambda t: _partials(t, staging.stg_events(t.lake, "day", payload=False)).ecosystem_daily(), "select * from eco")
+
+
+def _converged(t: Tables, mart: str) -> DataFrame:
+    """Marts of a lake that lacks an hour, then brought up to it by a second pass."""
+    base, hour = files.shared_dir(t.spark), "dt = date '2024-01-15' and hr = 5"
+    root = _laid_out(t, f"{base}/lake", f"not ({hour})")
+    incremental.converge(t.spark, root, f"{base}/marts", FLOOR)
+    _laid_out(t, root, hour)
+    incremental.converge(t.spark, root, f"{base}/marts", FLOOR)
+    return incremental.read(t.spark, f"{base}/marts", mart)
+
+
+_query("marts_converged_ecosystem", lambda t: _converged(t, "ecosystem_daily"), "select * from eco")
+_query("marts_converged_trending", lambda t: _converged(t, "repo_trending"), "select * from trend")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda spark, sf_dir, run=run: run(Tables(spark, sf_dir))) for name, run in _QUERIES.items()}
 

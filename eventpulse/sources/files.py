@@ -22,6 +22,12 @@ def glob(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     return sorted((s.getPath().toString(), s.getLen()) for s in (fs.globStatus(p) or []))
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file was written, in milliseconds."""
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getModificationTime()
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
