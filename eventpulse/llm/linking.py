@@ -1,7 +1,8 @@
 """Linking what meets in lists: which members of inverted lists are as similar as asked, as connected components, without all pairs of a list.
 
 A list's pairs are looked at in stars: a few members are centres, and each is compared with the members of the list that aren't in its component yet. After a round the components
-are put together, and lists whose members are all in one component are done. A centre whose star has been looked at leaves the list, since all its pairs there are known. In the first
+are put together, and lists whose members are all in one component are done. Before their sets are fetched, pairs are
+sifted by odd sketches, which bound from below in how many elements two sets differ. A centre whose star has been looked at leaves the list, since all its pairs there are known. In the first
 round a list has one centre, its least member by hash, so lists that hold the same texts share their centre and a pair is checked once. In later rounds only members outside the list's largest component become centres, twice as
 many as in the round before: once all of them have been, every pair of the list is either checked or inside a component. No link between different texts is lost, whatever the lists, and a list whose members
 link costs about as many checks as it has members.
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 from .components import connected_components
+from .shingles import CELLS
 
 _STAR = 512
 
@@ -57,16 +59,27 @@ def checked_on_sets(pairs: DataFrame, sets: DataFrame, alike: Callable[[int, int
     return both.select("u", "v", "hashes").mapInArrow(check, "u long, v long")
 
 
-def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame], more: Sequence[str] = (), can: Callable[[str, str], Column] | None = None, told: dict | None = None) -> DataFrame:
+def sifted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose odd sketches leave room for the similarity: sets as alike differ in at most (100 - percent) / (100 + percent) of their sizes. Refuses no link.
+
+    ``sets``: (node, n, odd); what is fetched for a pair is 128 bytes a set.
+    """
+    of = lambda k: sets.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("odd").alias(f"{k}_odd"))
+    differ = sum((F.bit_count(F.col("u_odd")[i].bitwiseXOR(F.col("v_odd")[i])) for i in range(CELLS // 64)), F.lit(0))
+    met = pairs.join(of("u"), "u").join(of("v"), "v")
+    return met.where((100 + percent) * differ <= (100 - percent) * (F.col("u_n") + F.col("v_n"))).select("u", "v")
+
+
+def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame], more: Sequence[str] = (), can: Callable[[str, str], Column] | None = None, sift: Callable[[DataFrame], DataFrame] | None = None, told: dict | None = None) -> DataFrame:
     """(u, v) for every node that isn't the smallest of its component: v is that smallest node.
 
     ``tiers``: rows (key, node, *more), node a long. ``check`` keeps those of pairs (u, v) that are links. ``can(a, b)`` tells from the columns of ``more``, with the prefixes
-    a and b, whether a pair may be a link; it must not refuse one. ``told`` is given the numbers of checked pairs and of rounds.
+    a and b, whether a pair may be a link, and ``sift`` keeps of pairs those that may be; neither must refuse one. ``told`` is given the numbers of pairs looked at, of those checked, and of rounds.
     """
     spark = tiers[0].sparkSession
     roots = spark.createDataFrame([], "u long, v long")
     tested: DataFrame | None = None
-    n_checked = n_rounds = 0
+    n_met = n_checked = n_rounds = 0
     for nth, lists in enumerate(tiers):
         last, centres_a_list, state = nth == len(tiers) - 1, 1, lists
         while True:
@@ -92,6 +105,9 @@ def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame],
                 pairs = pairs.join(tested, ["u", "v"], "left_anti")
             pairs = materialize(pairs, "link-pairs")
             tested = pairs if tested is None else tested.union(pairs)
+            if sift and not pairs.isEmpty():
+                n_met += pairs.count() if told is not None else 0
+                pairs = materialize(sift(pairs), "link-sifted")
             n_checked += pairs.count() if told is not None else 0
             if not pairs.isEmpty():
                 found = materialize(check(pairs), "link-found")
@@ -102,7 +118,7 @@ def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame],
             used = centres.select("key", F.col("c_node").alias("node"))
             state, centres_a_list = members.select("key", "node", *more).join(used, ["key", "node"], "left_anti"), 2 * centres_a_list
     if told is not None:
-        told |= {"checked": n_checked, "rounds": n_rounds}
+        told |= {"met": n_met, "checked": n_checked, "rounds": n_rounds}
     return roots
 
 

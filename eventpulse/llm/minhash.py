@@ -23,13 +23,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import linking
-from .common import ASCII_LOWER, materialize, table
-from .nearcopies import shingles_of
+from .common import materialize, table
+from .shingles import sets_of, shingles_of, slices, text_key, words_of
 
 SHINGLE, PERCENT = 2, 80
 BINS, ROWS = 128, 4
 MOST_BITS = 33
-_SLICE = 512
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -72,18 +71,14 @@ def bits_of(sketch: np.ndarray) -> np.ndarray:
     return np.packbits((sketch * _ODD) >> np.uint64(63) == 1).view(np.uint64)
 
 
-def _hashes(text: bytes | None, shingle: int) -> np.ndarray:
-    return shingles_of((text or b"").translate(ASCII_LOWER).split(), shingle)
-
-
 def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, text_key, n, a, b, b0, b1, bands) for every row: n counts the set, a and b are its digest, bands are the keys of its buckets."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (whole.slice(k, _SLICE) for whole in parts for k in range(0, whole.num_rows, _SLICE)):
+        for part in slices(parts):
             n, digests, bits, bands = [], [], [], []
             for text in part.column(1):
-                hashes = _hashes(text.as_py(), shingle)
+                hashes = shingles_of(words_of(text.as_py()), shingle)
                 n.append(len(hashes))
                 digests.append(np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64))
                 sketch = sketch_of(hashes) if len(hashes) else None
@@ -93,26 +88,10 @@ def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
             columns = {"n": pa.array(n, pa.int64()), "a": pa.array(digests[:, 0]), "b": pa.array(digests[:, 1]), "b0": pa.array(bits[:, 0]), "b1": pa.array(bits[:, 1]), "bands": pa.array(bands, pa.list_(pa.int64()))}
             yield pa.record_batch({"doc_id": part.column(0), "text_key": part.column(2), **columns})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"), _text_key(text_col).alias("text_key"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"), text_key(text_col).alias("text_key"))
     return rows.mapInArrow(batches, "doc_id long, text_key long, n long, a long, b long, b0 long, b1 long, bands array<long>")
 
 
-def _text_key(text_col: str) -> Column:
-    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-
-
-def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(node, hashes) of the wanted (node, doc_id, text_key)."""
-
-    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (whole.slice(k, _SLICE) for whole in parts for k in range(0, whole.num_rows, _SLICE)):
-            yield pa.record_batch({"node": part.column(0), "hashes": pa.array([_hashes(t.as_py(), shingle).tobytes() for t in part.column(1)], pa.binary())})
-
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), _text_key(text_col).alias("text_key"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    met = texts.join(wanted, ["doc_id", "text_key"]).select("node", "text").mapInArrow(batches, "node long, hashes binary")
-    return met.groupBy("node").agg(F.first("hashes").alias("hashes"))  # rows may be repeated
-
-
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, told: dict | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row; documents are linked where 100 * intersection >= percent * union of their sets."""
     if not 70 <= percent <= 100:
@@ -141,7 +120,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def alike(common: int, n: int, m: int) -> bool:
         return 100 * common >= percent * (n + m - common)
 
-    roots = linking.linked(tiers, lambda pairs: linking.checked_on_sets(pairs, sets, alike), more, can, told)
+    roots = linking.linked(tiers, lambda pairs: linking.checked_on_sets(pairs, sets, alike), more, can, lambda pairs: linking.sifted(pairs, sets, percent), told)
     of = nodes.join(roots, nodes["node"] == roots["u"], "left").select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.coalesce("v", "node").alias("root"))
     out = own.join(of, (own["a"] == of["_a"]) & (own["b"] == of["_b"]) & (own["n"] > 0), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -1,11 +1,14 @@
+import math
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from eventpulse.llm import nearcopies as W
+from eventpulse.llm import shingles as S
 
 SF = "/root/testdata/sf0.001"
 
@@ -92,3 +95,29 @@ def test_repeated_rows_leave_one_whole_row(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {tuple(W.keep_one(spark.createDataFrame(order, docs.schema)).collect()[0]) for order in (rows, rows[::-1], rows[1:] + rows[:1])}
     assert len(got) == 1 and W.keep_one(docs).columns == docs.columns
+
+
+def test_odd_sketches_bound_the_difference():
+    rng = random.Random(2)
+    for n in (1, 50, 5000):
+        x, y = ({rng.getrandbits(64) for _ in range(n)} for _ in range(2))
+        a, b = (np.array(sorted(s | set(list(x)[: n // 2])), np.uint64) for s in (x, y))
+        bits = sum(int(v).bit_count() for v in (S.odd_sketch(a) ^ S.odd_sketch(b)).view(np.uint64))
+        differ = len(set(a.tolist()) ^ set(b.tolist()))
+        assert bits <= differ and bits % 2 == differ % 2 and (n == 5000 or bits >= 0.8 * differ)
+
+
+@pytest.mark.parametrize("n", [300, 600])
+def test_a_group_some_edits_from_one_base_costs_about_its_size(spark, n):
+    """Each text is two words away from a base, so nearly all pairs meet in lists and are near the threshold."""
+    rng, base = random.Random(n), [f"w{i}" for i in range(120)]
+    texts = []
+    for k in range(n):
+        words = list(base)
+        for at in rng.sample(range(120), 2):
+            words[at] = f"e{k}x{at}"
+        texts.append(" ".join(words))
+    docs, told = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), {}
+    roots = {r.root for r in W.components(docs, told=told).collect()}
+    assert len(roots) == len(components(dict(enumerate(texts))))
+    assert told["checked"] < 4 * n * math.log2(n)
