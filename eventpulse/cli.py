@@ -5,9 +5,12 @@ from __future__ import annotations
 import argparse
 import json
 import os
+import signal
 import sys
+import threading
 from collections import Counter
 from collections.abc import Sequence
+from contextlib import contextmanager
 from datetime import UTC, date, datetime
 
 from eventpulse.session import session
@@ -19,6 +22,18 @@ def _now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
 
 
+@contextmanager
+def _until_told():
+    """An event that interrupt and terminate signals set, for loops that end in order; what the signals did before is put back."""
+    told = threading.Event()
+    before = {s: signal.signal(s, lambda *_: told.set()) for s in (signal.SIGINT, signal.SIGTERM)}
+    try:
+        yield told
+    finally:
+        for s, handler in before.items():
+            signal.signal(s, handler)
+
+
 def _day(text: str) -> str:
     return date.fromisoformat(text).isoformat()
 
@@ -26,9 +41,8 @@ def _day(text: str) -> str:
 def _publisher(place: str):
     """Archive hours from a folder, or over HTTP."""
     from eventpulse.plans import converge
-    from eventpulse.streaming import feed
 
-    return feed.http_publisher(place) if place.startswith(("http://", "https://")) else converge.folder_publisher(place)
+    return converge.web_publisher(place) if place.startswith(("http://", "https://")) else converge.folder_publisher(place)
 
 
 def _show(rows) -> None:
@@ -128,7 +142,13 @@ def marts_status(spark, a) -> int:
 
 
 def marts_converge(spark, a) -> int:
-    return build_marts(spark, a) if marts_status(spark, a) == OUTSTANDING else 0
+    """With a folder for marts, build the days that changed and nothing else; otherwise the published tables, if they lag."""
+    if not a.marts:
+        return build_marts(spark, a) if marts_status(spark, a) == OUTSTANDING else 0
+    from eventpulse.plans import incremental
+
+    _show([vars(incremental.converge(spark, a.lake, a.marts))])
+    return 0
 
 
 def capture_rate(spark, a) -> int:
@@ -141,12 +161,12 @@ def capture_rate(spark, a) -> int:
 
 
 def consume(spark, a) -> int:
-    from eventpulse.streaming import feed, live
+    from eventpulse.streaming import live
 
     messages = live.kafka_messages(spark, a.servers, a.topic) if a.servers else live.file_messages(spark, a.messages)
     totals: Counter = Counter()
     query = live.consume(messages, live.Store(spark, a.store), a.dead_letters, a.checkpoint, totals, available_now=not a.forever)
-    with feed.stopping_on() as stop:
+    with _until_told() as stop:
         while not query.awaitTermination(1):
             if stop.is_set():
                 query.stop()
@@ -154,29 +174,30 @@ def consume(spark, a) -> int:
     return 0
 
 
-def sample(spark, a) -> int:
-    from eventpulse.streaming import feed
-
-    with feed.stopping_on() as stop:
-        path, totals = feed.sample_to_file(feed.Feed(a.feed, os.environ.get("EVENTPULSE_TOKEN")), a.folder, a.cycles, a.interval, pause=stop.wait)
-    _show([{"path": path, **totals}])
-    return 0
-
-
 def poll(spark, a) -> int:
+    """Follow a paged feed: valid items by the hour of their event, rejects beside; items seen within an hour come once."""
     from pyspark.sql import functions as F
 
-    from eventpulse.streaming import feed, live
-
-    source, lines = feed.Feed(a.feed, os.environ.get("EVENTPULSE_TOKEN")), lambda items: spark.createDataFrame([(json.dumps(x, ensure_ascii=False),) for x in items], "value string")
+    from eventpulse.sources import web
+    from eventpulse.streaming import live
 
-    def sink(items: list) -> None:
-        if items:
-            rows = lines(items)
-            live.write_hourly(rows.withColumn("created_at", F.try_to_timestamp(F.get_json_object("value", "$.created_at"))), a.folder)
-
-    with feed.stopping_on() as stop:
-        totals = feed.poll(source.sweep, sink, lambda items: live.write_rejects(lines(items), f"{a.folder.rstrip('/')}-rejects"), feed.plausible, stop.wait, lambda: feed.between_polls(a.interval, source.poll_seconds), a.cycles)
+    totals: Counter = Counter()
+    folder = a.folder.rstrip("/")
+
+    def write(batch, _nth: int) -> None:
+        good, bad = live.split_page(batch.select("value"))
+        live.write_hourly(good.select(F.col("raw").alias("value"), F.col("created_at").cast("timestamp").alias("created_at")), folder)
+        totals.update(cycles=1, rejected=live.write_rejects(bad, f"{folder}-rejects"))
+
+    stream = web.register(spark).readStream.format("event_pages").option("url", a.feed).option("pages", a.pages)
+    stream = stream.option("token", os.environ["EVENTPULSE_TOKEN"]) if "EVENTPULSE_TOKEN" in os.environ else stream
+    items = stream.load().withColumn("id", F.coalesce(F.get_json_object("value", "$.id"), F.sha2("value", 256)))
+    items = items.withColumn("seen_at", F.coalesce(F.try_to_timestamp(F.get_json_object("value", "$.created_at")), F.current_timestamp()))
+    query = live.watermark_dedup(items, "1 hour", "id", "seen_at").writeStream.foreachBatch(write).option("checkpointLocation", a.checkpoint).trigger(processingTime=f"{a.interval} seconds").start()
+    with _until_told() as told:
+        while not query.awaitTermination(0.2):
+            if told.is_set() or (a.cycles and totals["cycles"] >= a.cycles):
+                query.stop()
     _show([dict(totals)])
     return 0
 
@@ -189,9 +210,8 @@ def fetch_archive(spark, a) -> int:
 def archive_serve(spark, a) -> int:
     from eventpulse.operators import ledger
     from eventpulse.plans import converge
-    from eventpulse.streaming import feed
 
-    with feed.stopping_on() as stop:
+    with _until_told() as stop:
         passes = converge.converge_forever(spark, ledger.LedgerTable(spark, a.ledger), _publisher(a.publisher), a.archive, a.lake, stop, _now, a.lookback, a.seconds, a.passes, not a.discard_source)
     _show([{"passes": passes}])
     return 0
@@ -221,8 +241,7 @@ COMMANDS = {
     "marts-converge": (marts_converge, _LAKE),
     "capture-rate": (capture_rate, ["live", "archive"]),
     "consume": (consume, ["--store", "--dead-letters", "--checkpoint"]),
-    "sample": (sample, ["--feed", "--folder"]),
-    "poll": (poll, ["--feed", "--folder"]),
+    "poll": (poll, ["--feed", "--folder", "--checkpoint"]),
     "fetch-archive": (fetch_archive, ["day", "--publisher", "--archive"]),
     "archive-serve": (archive_serve, [*_LAKE, *_LEDGER, "--archive", "--publisher"]),
     "figures-page": (figures_page, [*_LAKE, "--held-out", "--out"]),
@@ -243,11 +262,14 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--release", action="store_true")
             p.add_argument("--publisher")
             p.add_argument("--archive", default=".")
-        if name in ("sample", "poll"):
-            p.add_argument("--cycles", type=int, default=10 if name == "sample" else None)
+        if name == "poll":
+            p.add_argument("--cycles", type=int)
             p.add_argument("--interval", type=float, default=10.0)
+            p.add_argument("--pages", type=int, default=3)
         if name == "fetch-archive":
             p.add_argument("hour", type=int, choices=range(24))
+        if name == "marts-converge":
+            p.add_argument("--marts")
         if name == "archive-serve":
             p.add_argument("--lookback", type=int, default=3)
             p.add_argument("--seconds", type=float, default=900.0)

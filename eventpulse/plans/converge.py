@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import logging
-import os
-import shutil
 import threading
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -16,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from eventpulse.operators import ledger
 from eventpulse.operators.ledger import FAILED, INGESTED, MISSING, LedgerTable
-from eventpulse.sources import files, lake
+from eventpulse.sources import files, lake, web
 
 log = logging.getLogger(__name__)
 GRACE = timedelta(hours=24)
@@ -32,18 +31,34 @@ def hour_end(day: str, hour: int) -> datetime:
 
 
 def folder_publisher(folder: str) -> Callable[[str, int, str], str]:
-    """A publisher that is a local folder: copies an hour into ``dest``, beside first and then renamed; what is there already is kept."""
+    """A publisher that is a folder of any file system: an hour is copied into ``dest`` beside and then renamed; what is there already is kept."""
 
     def fetch(day: str, hour: int, dest: str) -> str:
-        name = lake.hour_filename(day, hour)
-        final = os.path.join(dest, name)
-        if os.path.exists(final):
-            return final
-        if not os.path.exists(source := os.path.join(folder, name)):
-            raise NotPublished(name)
-        os.makedirs(dest, exist_ok=True)
-        shutil.copyfile(source, final + ".part")
-        os.replace(final + ".part", final)
+        spark, name = SparkSession.builder.getOrCreate(), lake.hour_filename(day, hour)
+        final, source = f"{dest.rstrip('/')}/{name}", f"{folder.rstrip('/')}/{name}"
+        if not files.exists(spark, final):
+            if not files.exists(spark, source):
+                raise NotPublished(name)
+            files.copy(spark, source, f"{final}._part")
+            files.rename(spark, f"{final}._part", final)
+        return final
+
+    return fetch
+
+
+def web_publisher(url: str) -> Callable[[str, int, str], str]:
+    """A publisher over HTTP: an executor reads the hour and writes it, gzipped again, to ``dest`` on the shared file system."""
+
+    def fetch(day: str, hour: int, dest: str) -> str:
+        spark, name = SparkSession.builder.getOrCreate(), lake.hour_filename(day, hour)
+        final = f"{dest.rstrip('/')}/{name}"
+        if not files.exists(spark, final):
+            if not web.published(url, day, hour):
+                raise NotPublished(name)
+            rows = web.register(spark).read.format("event_archive").option("url", url).option("day", day).option("hours", f"[{hour}]").load()
+            beside = f"{dest.rstrip('/')}/_{uuid.uuid4().hex}"
+            rows.select("value").write.option("compression", "gzip").option("lineSep", "\n").text(beside)
+            files.rename(spark, beside, final)
         return final
 
     return fetch
@@ -89,7 +104,7 @@ def ingest_hour(spark: SparkSession, table: LedgerTable, fetch: Callable[[str, i
         return record(FAILED, None, None, str(e).splitlines()[0][:200])
     report = record(INGESTED, written.events, written.bytes, None)
     if not keep_source:
-        files.delete(spark, path, False)
+        files.delete(spark, path)
     return report
 
 

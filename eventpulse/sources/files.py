@@ -22,6 +22,15 @@ def glob(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     return sorted((s.getPath().toString(), s.getLen()) for s in (fs.globStatus(p) or []))
 
 
+def copy(spark: SparkSession, source: str, to: str) -> None:
+    """Copy a file, between file systems too."""
+    fs, p = _fs(spark, source)
+    target_fs, target = _fs(spark, to)
+    target_fs.mkdirs(target.getParent())
+    if not spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, p, target_fs, target, False, True, spark._jsc.hadoopConfiguration()):
+        raise OSError(f"could not copy {source} to {to}")
+
+
 def modified(spark: SparkSession, path: str) -> int:
     """When a file was written, in milliseconds."""
     fs, p = _fs(spark, path)

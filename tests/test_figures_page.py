@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from eventpulse.functions import show
@@ -11,14 +12,16 @@ from eventpulse.plans.catalog import Tables
 SF = "/root/testdata/sf0.01"
 
 
-def test_numbers_as_text():
-    assert show.count(15827495) == "15,827,495" and show.percent(1, 3) == "33.33%" and show.percent(1, 3000, 3) == "0.033%"
-    assert show.ratio(2, 3) == "0.6667" and show.times(0.96, 0.9) == "1.07×" and show.harmonic(0.5, 1.0) == "0.6667" and show.points(74.6, 68.96) == "5.64"
-    assert show.size(1448310660) == "1.35 GiB (1,448,310,660 bytes)"
+def test_numbers_as_text(spark):
+    row = spark.range(1).selectExpr("15827495 n", "1 one", "3 three", "3000 many", "0 nothing", "cast(2 as double) / 3 x", "1448310660L size", "cast(null as bigint) none", "74.6 - 68.96 spread")
+    of = lambda kind, *columns, places=2: row.select(show.cell(kind, *columns, places=places)).first()[0]
+    assert of("count", "n") == "15,827,495" and of("count", "none") == "0" and of("share", "one", "three") == "33.33%" and of("share", "one", "many", places=3) == "0.033%" and of("share", "none", "three") == "0.00%"
+    assert of("number", "x", places=4) == "0.6667" and of("times", "x") == "0.67×" and of("number", "spread") == "5.64" and of("percent", "x") == "0.67%"
+    assert of("bytes", "size") == "1.35 GiB (1,448,310,660 bytes)"
     assert show.shortened(range(12)) == "0, 1, 2, 3, 4, 5, 6, 7, 8, 9 (+2 more)" and show.shortened([1, 2]) == "1, 2" and show.shortened([]) == ""
-    for refuse in (lambda: show.percent(1, 0), lambda: show.ratio(0, 0), lambda: show.times(1, 0), lambda: show.harmonic(0, 0)):
-        with pytest.raises(ValueError, match="of nothing"):
-            refuse()
+    for whole in ("nothing", "none"):
+        with pytest.raises(PySparkException, match="a share of nothing"):
+            of("share", "one", whole)
 
 
 def test_page_is_the_same_twice_and_refuses_disagreement(spark, monkeypatch):
