@@ -6,8 +6,8 @@ capital, by the same surrogates; they aren't counted as mentions. Mentions are c
 normal form: lower case, and for numbers digits only. Each distinct entity gets one surrogate from SHA-256
 of the key, its type and normal form, and of an attempt number. The surrogate has the entity's form: letters stay letters of
 their script and digits digits, an octet keeps its number of digits, a card keeps its first digit
-and its Luhn remainder, a phone its country code, an address its last domain label, and given names
-follow the gender of the title. All mentions of an entity are rendered from its one surrogate, in the mention's own punctuation and
+and its Luhn remainder, an IBAN its country, with check digits that hold, a phone with a plus its country's calling code, a domain its last label, and given names
+follow the gender of the title. An address is two entities, its mailbox within its domain and the domain, so addresses of a domain keep one in common. All mentions of an entity are rendered from its one surrogate, in the mention's own punctuation and
 capitals, so coreference holds in and across documents.
 
 Collision checks: a surrogate that two entities drew, that is taken, or that is an entity of the corpus itself, goes to
@@ -65,6 +65,8 @@ _MARKED = _AROUND + _GROUP.join(f"${k + 1}" for k in range(len(TYPES))) + _AROUN
 #: Every mention has a character of the first, or begins as the second says: most texts have neither, and no pattern is run over them.
 _MARKS, _STARTS = r"[0-9@\"'_]", rf"[{_INITIALS}As](?:(?<=[As])(?:(?<=A)(?:KIA|SIA)|(?<=s)k-)|(?<=[{_INITIALS}])(?<=(?=(?:{_MALE}|{_FEMALE}|{_EITHER})\.? \p{{Lu}}).))"
 _NUMBERS = ("phone", "ssn", "card")
+#: Calling codes of one and of two digits; all others have three.
+_CALLING = r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 _TITLE = rf"^(?:{_MALE}|{_FEMALE}|{_EITHER})\.? "
 #: Syllables and endings of invented names by script; endings by gender (m, f, e for either, s for surnames).
 _SYLLABLES = {"latin": "ba be bi bo bu da de di do du ka ke ki ko ku la le li lo lu ma me mi mo mu na ne ni no nu ra re ri ro ru sa se si so su ta te ti to tu va ve vi vo", "cyrillic": "ба бе би бо бу да де ди до ду ка ке ки ко ку ла ле ли ло лу ма ме ми мо му на не ни но ну ра ре ри ро ру са се си со су та те ти то ту ва ве ви во"}
@@ -122,11 +124,17 @@ def entities_of(found: DataFrame) -> DataFrame:
         last = i == count - 1
         return F.struct(F.when(i == 0, F.col("title")).otherwise(" ").alias("before"), w.alias("form"), F.when(last, "surname").otherwise("given").alias("type"), F.lower(w).alias("norm"), F.when(last, "s").otherwise(F.col("gender")).alias("gender"))
 
-    plain = F.when(F.col("kind").isin(*_NUMBERS), F.regexp_replace(m, r"\D", "")).when(F.col("kind") == "secret", m).when(F.col("kind") == "iban", F.regexp_replace(m, " ", "")).otherwise(F.lower(m))
+    plain = F.when(F.col("kind") == "phone", F.regexp_replace(m, r"[^\d+]", "")).when(F.col("kind").isin(*_NUMBERS), F.regexp_replace(m, r"\D", "")).when(F.col("kind") == "secret", m).when(F.col("kind") == "iban", F.regexp_replace(m, " ", "")).otherwise(F.lower(m))
     whole = F.array(F.struct(F.lit("").alias("before"), m.alias("form"), F.col("kind").alias("type"), plain.alias("norm"), F.lit("").alias("gender")))
+    at = F.length(F.substring_index(m, "@", 1))
+    domain = F.substring(m, at + 2, F.length(m))
+    address = F.array(
+        F.struct(F.lit("").alias("before"), F.substring(m, F.lit(1), at).alias("form"), F.lit("email").alias("type"), F.lower(m).alias("norm"), F.lit("").alias("gender")),
+        F.struct(F.lit("@").alias("before"), domain.alias("form"), F.lit("domain").alias("type"), F.lower(domain).alias("norm"), F.lit("").alias("gender")),
+    )
     words = let(F.split(F.substring(m, F.length("title") + 1, F.length(m)), " "), lambda ws: let(F.size(ws), lambda n: F.transform(ws, lambda w, i: word(w, i, n))))
     found = found.withColumn("title", title).withColumn("gender", gender)
-    parts = found.select("mid", F.posexplode(F.when(F.col("kind") == "name", words).otherwise(whole)).alias("pos", "p"))
+    parts = found.select("mid", F.posexplode(F.when(F.col("kind") == "name", words).when(F.col("kind") == "email", address).otherwise(whole)).alias("pos", "p"))
     return parts.select("mid", "pos", "p.before", "p.form", "p.type", "p.norm", "p.gender")
 
 
@@ -190,10 +198,22 @@ def surrogate(kind: Column, norm: Column, gender: Column, attempt: int, key: str
         return body
 
     def address(s: Column) -> Column:
-        local, domain = F.split_part(norm, F.lit("@"), F.lit(1)), F.split_part(norm, F.lit("@"), F.lit(2))
-        inner = F.substring(domain, F.lit(1), F.length(domain) - F.length(F.substring_index(domain, ".", -1)))
-        by_domain = let(stream(F.concat_ws("|", F.lit(key), F.lit("domain"), domain), F.length(domain)), lambda t: _replaced(inner, t, F.lit(0)))
-        return F.concat(wider(s, _replaced(local, s, F.lit(0)), _ALNUM), F.lit("@"), by_domain, F.substring_index(domain, ".", -1))
+        """A mailbox, told apart from others of its real domain; the domain is an entity of its own."""
+        local = F.substring_index(norm, "@", 1)
+        return F.concat(wider(s, _replaced(local, s, F.lit(0)), _ALNUM), F.substring(norm, F.length(local) + 1, size))
+
+    def domain(s: Column) -> Column:
+        last = F.substring_index(norm, ".", -1)
+        inner = F.substring(norm, F.lit(1), size - F.length(last) - 1)
+        return F.concat(wider(s, _replaced(inner, s, F.lit(0)), _ALNUM), F.lit("."), last)
+
+    def account(s: Column) -> Column:
+        """An IBAN whose check digits hold: 98 less the remainder by 97 of what it is without them, letters counted from 10."""
+        body = wider(s, _replaced(norm, s, F.lit(4)), _DIGITS)
+        value = lambda c: F.ascii(c) - F.when(c.between("0", "9"), 48).otherwise(55)
+        step = lambda r, c: F.pmod(r * F.when(c.between("0", "9"), 10).otherwise(100) + value(c), F.lit(97))
+        left = lambda b: F.aggregate(F.split(F.concat(F.substring(b, F.lit(5), F.length(b)), F.substring(b, 1, 2), F.lit("00")), ""), F.lit(0), step)
+        return let(body, lambda b: F.concat(F.substring(b, 1, 2), F.lpad((98 - left(b)).cast("string"), 2, "0"), F.substring(b, F.lit(5), F.length(b))))
 
     def name(s: Column) -> Column:
         def of(script: str) -> Column:
@@ -206,8 +226,8 @@ def surrogate(kind: Column, norm: Column, gender: Column, attempt: int, key: str
 
     made = lambda s: (
         F.when(kind.isin("surname", "given"), name(s)).when(kind == "ip", F.array_join(F.transform(F.split(norm, r"\."), lambda p, i: octet(s, p, i)), "."))
-        .when(kind == "card", let(wider(s, _replaced(norm, s, F.lit(1)), _DIGITS), card)).when(kind == "email", address(s)).when(kind == "phone", wider(s, _replaced(norm, s, F.greatest(size - 10, F.lit(0))), _DIGITS))
-        .when(kind == "ssn", wider(s, _replaced(norm, s, F.lit(0)), _DIGITS)).when(kind == "iban", wider(s, _replaced(norm, s, F.lit(2)), _DIGITS))
+        .when(kind == "card", let(wider(s, _replaced(norm, s, F.lit(1)), _DIGITS), card)).when(kind == "email", address(s)).when(kind == "domain", domain(s)).when(kind == "phone", wider(s, _replaced(norm, s, F.length(F.regexp_extract(norm, _CALLING, 0))), _DIGITS))
+        .when(kind == "ssn", wider(s, _replaced(norm, s, F.lit(0)), _DIGITS)).when(kind == "iban", account(s))
         .otherwise(wider(s, _replaced(norm, s, F.when(norm.rlike("^(AKIA|ASIA|gh[pousr]_|sk-)"), F.lit(4)).otherwise(F.lit(0)), signs=True), _ALNUM))
     )
     return let(stream(seed, F.greatest(size + more, F.lit(64))), made)
@@ -232,16 +252,18 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 def _rendered(kind: Column, form: Column, made: Column) -> Column:
     """The surrogate in the mention's punctuation and capitals."""
+    digits = F.replace(made, F.lit("+"), F.lit(""))  # a phone's plus is in the form
+    local = F.substring_index(made, "@", 1)
     copied = lambda c: F.when(kind == "iban", c == " ").otherwise(~c.rlike(r"\d"))
 
     def step(acc: Column, c: Column) -> Column:  # numbers are short
-        out = F.when(copied(c), c).otherwise(F.substring(made, acc["k"] + 1, F.lit(1)))
+        out = F.when(copied(c), c).otherwise(F.substring(digits, acc["k"] + 1, F.lit(1)))
         return F.struct(F.concat(acc["t"], out).alias("t"), (acc["k"] + F.when(copied(c), 0).otherwise(1)).alias("k"))
 
-    rest = lambda acc: F.substring(made, acc["k"] + 1, F.length(made))  # noqa: E731  (what is longer than the form)
+    rest = lambda acc: F.substring(digits, acc["k"] + 1, F.length(digits))  # noqa: E731  (what is longer than the form)
     walked = F.aggregate(F.split(form, ""), F.struct(F.lit("").alias("t"), F.lit(0).alias("k")), step, lambda acc: F.concat(acc["t"], rest(acc)))
-    capitals = let(F.split(form, ""), lambda of: F.array_join(F.transform(F.split(made, ""), lambda c, i: F.when(F.get(of, i) != F.lower(F.get(of, i)), F.upper(c)).otherwise(c)), ""))
-    return F.when(kind.isin("surname", "given"), _styled(form, made)).when(kind.isin("ip", "secret"), made).when(kind == "email", capitals).otherwise(walked)
+    capitals = let(F.split(form, ""), lambda of: F.array_join(F.transform(F.split(local, ""), lambda c, i: F.when(F.get(of, i) != F.lower(F.get(of, i)), F.upper(c)).otherwise(c)), ""))
+    return F.when(kind.isin("surname", "given"), _styled(form, made)).when(kind.isin("ip", "secret"), made).when(kind.isin("email", "domain"), capitals).otherwise(walked)
 
 
 def _styled(form: Column, made: Column) -> Column:

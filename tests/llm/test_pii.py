@@ -145,6 +145,10 @@ def test_noncharacters_in_texts(spark):
     assert re.fullmatch("\ufdd0 a\ufdd1b \ufdd2\ufdd4 to [a-z]@[a-z].com \ufdd2\ufdd0\ufdd3", got[0][0])
 
 
+#: Calling codes that aren't of three digits.
+ONE_AND_TWO = set("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
 class Plain:
     """The whole replacement without Spark: one pattern, sets and loops, and digests drawn one by one."""
 
@@ -165,8 +169,11 @@ class Plain:
             for k, w in enumerate(words):
                 last = k == len(words) - 1
                 yield title if k == 0 else " ", w, "surname" if last else "given", w.lower(), "s" if last else gender
+        elif kind == "email":
+            local, domain = m.split("@", 1)
+            yield from (("", local, "email", m.lower(), ""), ("@", domain, "domain", domain.lower(), ""))
         else:
-            norm = re.sub("[^0-9]", "", m) if kind in ("phone", "ssn", "card") else m if kind == "secret" else m.replace(" ", "") if kind == "iban" else m.lower()
+            norm = re.sub("[^0-9+]", "", m) if kind == "phone" else re.sub("[^0-9]", "", m) if kind in ("phone", "ssn", "card") else m if kind == "secret" else m.replace(" ", "") if kind == "iban" else m.lower()
             yield "", m, kind, norm, ""
 
     @staticmethod
@@ -218,11 +225,19 @@ class Plain:
             return body + str((luhn(norm) - luhn(body + "0")) % 10)
         if kind == "email":
             local, domain = norm.split("@", 1)
-            top = domain.rsplit(".", 1)[-1]
-            return grow(self.replaced(local, draw, 0), alnum) + "@" + self.replaced(domain[: len(domain) - len(top)], self.stream(f"{self.key}|domain|{domain}"), 0) + top
+            return grow(self.replaced(local, draw, 0), alnum) + "@" + domain
+        if kind == "domain":
+            inner, top = norm.rsplit(".", 1)
+            return grow(self.replaced(inner, draw, 0), alnum) + "." + top
+        if kind == "iban":
+            body = grow(self.replaced(norm, draw, 4), digits)
+            return body[:2] + f"{98 - int(''.join(str(int(c, 36)) for c in body[4:] + body[:2] + '00')) % 97:02}" + body[4:]
+        if kind == "phone":
+            code = next((k for k in range(2, 4) if norm[1:k] in ONE_AND_TWO), 4) if norm[0] == "+" else 0
+            return grow(self.replaced(norm, draw, code), digits)
         if kind == "secret":
             return grow(self.replaced(norm, draw, 4 if re.match("AKIA|ASIA|gh[pousr]_|sk-", norm) else 0, True), alnum)
-        return grow(self.replaced(norm, draw, {"phone": max(len(norm) - 10, 0), "ssn": 0, "iban": 2}[kind]), digits)
+        return grow(self.replaced(norm, draw, 0), digits)
 
     def assign(self, entities):
         genders, given = {}, {}
@@ -248,9 +263,9 @@ class Plain:
             return self.styled(form, made)
         if kind in ("ip", "secret"):
             return made
-        if kind == "email":
-            return "".join(c.upper() if i < len(form) and form[i] != form[i].lower() else c for i, c in enumerate(made))
-        out, rest = "", list(made)
+        if kind in ("email", "domain"):
+            return "".join(c.upper() if i < len(form) and form[i] != form[i].lower() else c for i, c in enumerate(made.split("@")[0]))
+        out, rest = "", list(made.replace("+", ""))
         for c in form:
             out += c if (c == " " if kind == "iban" else c not in "0123456789") else rest.pop(0)
         return out + "".join(rest)
@@ -273,6 +288,26 @@ class Plain:
         return out
 
 
+def test_domains_are_entities(spark):
+    """Every domain has one surrogate, which no other and no real one has, even where one-letter forms are used up."""
+    texts = [f"to bob@{chr(97 + i)}.com, Ann@{chr(65 + i)}.com" for i in range(26)]
+    new = [re.fullmatch(r"to ([a-z]+)@([a-z0-9]+)\.com, ([A-Z][a-z]+)@([A-Za-z0-9]+)\.com", t) for t, _ in run(spark, texts).values()]
+    domains = {m[2] for m in new}
+    assert len(domains) == 26 and all(len(d) > 1 for d in domains) and all(m[4].lower() == m[2] for m in new)
+
+
+def test_calling_codes_and_check_digits_hold(spark):
+    texts = ["+49 30 123456 or +49301234567", "+420 601 555 713", "+7 495 123 45 67", "GB29 NWBK 6016 1331 9268 19 DE89370400440532013000"]
+    told = run(spark, texts)
+    got = [told[k][0] for k in range(len(texts))]
+    assert re.fullmatch(r"\+49 \d\d \d{6} or \+49\d{9}", got[0]) and re.fullmatch(r"\+420 \d{3} \d{3} \d{3}", got[1]) and re.fullmatch(r"\+7 \d{3} \d{3} \d\d \d\d", got[2])
+    for old, new in zip(texts, got):
+        assert not set(re.findall(r"\d{6,}", old)) & set(re.findall(r"\d{6,}", new))
+    for x in re.fullmatch(r"(GB\d\d [A-Z]{4} \d{4} \d{4} \d{4} \d\d) (DE\d{20})", got[3]).groups():
+        x = x.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+
+
 def test_as_the_plain_version(spark):
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     texts += [None, "", 'password = "p@ssword1"', "Dr Ana Maria Lopez Garcia spoke; Lopez's LOPEZ", "Frau Müller, Monsieur Émile Zola, госпожа Анна Иванова; Анна", "x@y.com X@Y.com", "+44 (20) 7946 0958 or 555-123-4567", "GB29 NWBK 6016 1331 9268 19", "ssn 123-45-6789 4417 1234 5678 9113", "see 10.1.2.3, 1.1.1.1", "secret='ひみつのことば'"]
