@@ -14,7 +14,7 @@ least hashes, so ids don't matter, copies of a text count once, and a hot text c
 Every whole text is scored, in blocks, against the broadcast model (a few MB, fixed by the
 number of rows and languages); a text longer than a block is cut at white space and its parts are summed. No text is shuffled but those of the sample.
 
-Defined results: null text, empty text and text without a letter are ``und`` with score 0 and are rejected.
+Defined results: null text, empty text and text without a letter (of Unicode's category L; ``²`` and ``Ⅷ`` are numbers) are ``und`` with score 0 and are rejected.
 Without labelled rows everything is ``und``. Null lang rows aren't learnt from. Repeated rows are
 predicted alike; ties between languages go to the first in order of name. Null and repeated ids change nothing. Extra columns are kept by ``keep_identified`` and otherwise ignored.
 """
@@ -36,11 +36,16 @@ UNKNOWN = "und"
 SAMPLE, SAMPLE_BYTES = 3000, 4 << 20
 ROWS, DIM, GRAMS, EPOCHS, BATCH, RATE = 1 << 16, 16, (2, 3, 4), 4, 64, 0.5
 MAX_FALSE_REJECTION, MOST_REJECTED_SCORE = 0.001, 0.5
-_LETTER = re.compile(r"[^\W\d_]")
+#: What may be a letter; ``str.isalpha`` tells letters (category L) from numbers like ² and Ⅷ.
+_MAYBE = re.compile(r"[^\W\d_]")
 _BLOCK = 1 << 18  # characters
 _FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
+def has_letter(text: str | None) -> bool:
+    return any(m[0].isalpha() for m in _MAYBE.finditer(text or ""))
+
+
 def _codes(text: str) -> np.ndarray:
     """Code points of the lower-cased text; ASCII and general punctuation become spaces."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
@@ -142,7 +147,7 @@ class LanguageModel:
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Languages and scores of whole texts."""
         langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        ready = [i for i, text in enumerate(texts) if text and _LETTER.search(text)] if self.langs else []
+        ready = [i for i, text in enumerate(texts) if has_letter(text)] if self.langs else []
         if ready:
             p = _softmax(self.logits([texts[k] for k in ready]) / self.temperature)
             best = p.argmax(axis=1)
@@ -190,7 +195,7 @@ def _minibatches(texts: list[str], order: np.ndarray) -> Iterator[np.ndarray]:
 
 def train(texts: list[str], labels: list[str], seed: int = 7, rows: int = ROWS) -> LanguageModel:
     """Train by stochastic gradient descent, then calibrate on the fifth of texts that was left out."""
-    usable = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+    usable = [i for i, t in enumerate(texts) if has_letter(t)]
     texts, labels = [texts[i] for i in usable], [labels[i] for i in usable]
     langs = sorted(set(labels))
     if not langs:
@@ -198,7 +203,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7, rows: int = ROWS)
     rng, code = np.random.default_rng(seed), {x: i for i, x in enumerate(langs)}
     held = [i for i in range(len(texts)) if i % 5 == 4]
     examples = [(texts[i], code[labels[i]]) for i in range(len(texts)) if i % 5 != 4]
-    examples += [(line, y) for text, y in examples for line in text.split("\n") if line != text and _LETTER.search(line)]
+    examples += [(line, y) for text, y in examples for line in text.split("\n") if line != text and has_letter(line)]
     shown, y = [t for t, _ in examples], np.array([k for _, k in examples])
     embeddings = rng.uniform(-1 / DIM, 1 / DIM, (rows, DIM)).astype(np.float32)
     weights, bias = np.zeros((DIM, len(langs))), np.zeros(len(langs))

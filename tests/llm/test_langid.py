@@ -159,3 +159,11 @@ def test_long_texts_are_summed_by_parts(monkeypatch):
     whole = model.predict([text])[1][0]
     monkeypatch.setattr(L, "_BLOCK", 64)
     assert abs(model.predict([text])[1][0] - whole) < 1e-6 and abs(model.predict(["x", text, "y"])[1][1] - whole) < 1e-6
+
+
+def test_numbers_are_no_letters(spark):
+    """Letters are of category L: superscripts, fractions, Roman and circled numbers aren't, and ª and ʰ are."""
+    texts = ["² ½", "Ⅷ", "①", "_ 12 ³", "²a", "ª", "ʰ"]
+    assert [L.has_letter(t) for t in [None, "", *texts]] == [False, False, False, False, False, False, True, True, True]
+    model = L.train(["the cat sat", "die katze sitzt", "² ½"] * 10, ["en", "de", "fr"] * 10)
+    assert model.langs == ["de", "en"] and model.predict(texts)[0][:4] == ["und"] * 4 and "und" not in model.predict(texts)[0][4:]
