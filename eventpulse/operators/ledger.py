@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -71,6 +72,22 @@ def forget(ledger: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame]
     return ledger.join(keys, on, "left_anti"), ledger.join(keys, on, "left_semi")
 
 
+def jdbc_ledger(spark: SparkSession, url: str, table: str, first: str, last: str, parts: int = 8, **options: str) -> DataFrame:
+    """A ledger held in a database, of the days from ``first`` to ``last``, read by ``parts`` tasks, each a range of days.
+
+    The range and what is filtered afterwards is left to the database, which sends only the rows and columns asked for.
+    """
+    days = (date.fromisoformat(last) - date.fromisoformat(first)).days + 1
+    reader = spark.read.format("jdbc").options(url=url, dbtable=table, pushDownPredicate="true", **options)
+    if days > 1:
+        reader = reader.options(partitionColumn="day", lowerBound=first, upperBound=str(date.fromisoformat(last) + timedelta(days=1)), numPartitions=str(min(parts, days)))
+    rows = reader.load()
+    named = {c.lower(): F.col(c) for c in rows.columns}
+    # Text stays uncast, so that filters on it can go to the database.
+    rows = rows.select(*((named[name] if kind == "string" else named[name].cast(kind)).alias(name) for name, kind in (x.split() for x in SCHEMA.split(", "))))
+    return rows.where(F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+
+
 class LedgerTable:
     """Versions of the ledger under one folder. A write makes a new version and then names it; readers see the last named one."""
 

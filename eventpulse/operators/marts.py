@@ -86,4 +86,5 @@ MART_COLUMNS = {
     "ecosystem_daily": ["day", "events", "repos", "actors", *BREAKOUTS, "hours_present", "events_without_repo", "first_event_at", "last_event_at"],
     "repo_daily": ["day", "repo_id", "repo_name", "events", "actors", *BREAKOUTS, "first_event_at", "last_event_at"],
     "actor_daily": ["day", "actor_id", "actor_login", "events", "repos", *BREAKOUTS, "first_event_at", "last_event_at"],
+    "repo_trending": ["day", "repo_id", "repo_name", "actors", "actors_prior", "actors_change", "actors_change_ratio", "events", "events_prior", "absent_prior_day", "rank_in_day"],
 }

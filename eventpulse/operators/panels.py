@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,13 +25,46 @@ def guard(sql: str) -> str:
     return sql
 
 
+#: Columns that tell accounts apart: no panel returns them.
+PRIVATE_COLUMNS = {"actor_id", "actor_login"}
+
+
+def relations(frame: DataFrame) -> list[str]:
+    """The catalogue's tables that the analyzed plan of a frame reads, as database.table."""
+    leaves, found = frame._jdf.queryExecution().analyzed().collectLeaves(), []
+    for k in range(leaves.size()):
+        text = leaves.apply(k).toString()
+        if m := re.match(r"(?:Relation|HiveTableRelation) \[?`?(?:\w+`?\.`?)?(\w+)`?\.`?(\w+)`?\W", text):
+            found.append(f"{m[1]}.{m[2]}")
+    return found
+
+
+def guarded(frame: DataFrame) -> DataFrame:
+    """The frame, if its plan reads no restricted table, under whatever name, and no column of it tells accounts apart."""
+    if bad := [r for r in relations(frame) if r.split(".")[0].lower() == "restricted"]:
+        raise NotPublishable(f"a published panel may not read {bad[0]}")
+    if bad := PRIVATE_COLUMNS & {c.lower() for c in frame.columns}:
+        raise NotPublishable(f"a published panel may not have {sorted(bad)[0]}")
+    return frame
+
+
+def panel(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A panel whose frame passes ``guarded`` before anything runs."""
+
+    @wraps(run)
+    def checked(*args, **more) -> DataFrame:
+        return guarded(run(*args, **more))
+
+    return checked
+
+
 def _round(c: Column) -> Column:
     return F.round(c, 2)
 
 
 def publish(sql: str, **frames: DataFrame) -> DataFrame:
     """Run a published query over the frames it names in braces; restricted names are refused before anything runs."""
-    return next(iter(frames.values())).sparkSession.sql(guard(sql), **frames)
+    return guarded(next(iter(frames.values())).sparkSession.sql(guard(sql), **frames))
 
 
 def _of_latest(per_day: DataFrame, *values: str) -> list[Column]:
@@ -50,6 +85,7 @@ def hours_outstanding(ledger: DataFrame) -> DataFrame:
     return publish("select count(*) as value from {ledger} where status in ('missing', 'failed')", ledger=ledger)
 
 
+@panel
 def freshness_hours(ledger: DataFrame, now: str) -> DataFrame:
     """Hours from the start of the newest ingested hour to ``now``."""
     start = F.unix_timestamp(F.col("day").cast("timestamp")) + F.col("hour") * 3600
@@ -60,6 +96,7 @@ def events_recorded(ledger: DataFrame) -> DataFrame:
     return publish("select cast(coalesce(sum(events), 0) as bigint) as value from {ledger} where status = 'ingested'", ledger=ledger)
 
 
+@panel
 def hours_not_built(ledger: DataFrame, ecosystem: DataFrame) -> DataFrame:
     held = ledger.where("status = 'ingested' and events > 0").groupBy("day").agg(F.count("*").alias("hours"))
     built = ecosystem.select(F.col("day").alias("_day"), F.coalesce("hours_present", F.lit(0)).alias("built"))
@@ -84,27 +121,32 @@ def days_comparable(trending: DataFrame) -> DataFrame:
     return publish("select count(distinct day) as days from {trending}", trending=trending)
 
 
+@panel
 def ranked_latest(trending: DataFrame) -> DataFrame:
     days = trending.groupBy("day").agg(F.count("*").alias("repositories"))
     return days.agg(*_of_latest(days, "repositories")).select(F.coalesce("repositories", F.lit(0).cast("bigint")).alias("repositories"))
 
 
+@panel
 def largest_gain(trending: DataFrame) -> DataFrame:
     days = trending.groupBy("day").agg(F.max("actors_change").alias("accounts"))
     return days.agg(*_of_latest(days, "accounts")).select(F.coalesce("accounts", F.lit(0)).cast("bigint").alias("accounts"))
 
 
+@panel
 def first_appearances(trending: DataFrame) -> DataFrame:
     days = trending.groupBy("day").agg(F.count_if("absent_prior_day").alias("repositories"))
     return days.agg(*_of_latest(days, "repositories")).select(F.coalesce("repositories", F.lit(0).cast("bigint")).alias("repositories"))
 
 
+@panel
 def gainers(trending: DataFrame, top: int = 25) -> DataFrame:
     """The rank within the day is by change, so the first ranks are the greatest gains."""
     rows = _latest(trending).where((F.col("rank_in_day") <= top) & (F.col("actors_change") > 0)).orderBy("rank_in_day")
     return rows.select("rank_in_day", "repo_name", "actors_prior", "actors", "actors_change", _round(F.col("actors_change_ratio")).alias("proportional"))
 
 
+@panel
 def losers(trending: DataFrame, top: int = 25) -> DataFrame:
     """Ties after change and prior accounts go by repository id."""
     order = ["actors_change", F.desc("actors_prior"), "repo_id"]

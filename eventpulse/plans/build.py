@@ -7,19 +7,29 @@ from pyspark.sql import DataFrame, SparkSession
 from eventpulse.functions.events import TRENDING_FLOOR
 from eventpulse.operators import marts, quality, staging
 from eventpulse.operators.quality import Check
+from eventpulse.sources import files
 
 PUBLISHED, RESTRICTED = "marts", "restricted"
+#: Marts by repository are written in so many buckets of repo_id, sorted within each: joins on it between days need no shuffle.
+BUCKETS = 32
+
+
+class ColumnsDiffer(ValueError):
+    """A mart has other columns than those that it may have."""
 
 
 def build(spark: SparkSession, lake: DataFrame, floor: int = TRENDING_FLOOR) -> list[tuple[str, str]]:
     """Stage, assert, then build, assert and publish each mart; what each check came to.
 
     A mart is written beside, checked, and only then takes the published table's place, so that readers never meet a mart that failed.
-    The staged events feed three marts and are cached for the time of the build.
+    The staged events feed three marts and are written to the shared folder for the time of the build.
     """
     for name in (PUBLISHED, RESTRICTED):
         spark.sql(f"create database if not exists {name}")
-    stg = staging.stg_events(lake, payload=False).persist()
+    path = files.shared_dir(spark)
+    own = staging.stg_events(lake, payload=False)
+    own.write.parquet(path)
+    stg = spark.read.schema(own.schema).parquet(path)
     told: list[tuple[str, str]] = []
     try:
         told += quality.enforce(
@@ -36,7 +46,12 @@ def build(spark: SparkSession, lake: DataFrame, floor: int = TRENDING_FLOOR) ->
             return Check(f"not null: {', '.join(columns)}", lambda: rows.where(" or ".join(f"{c} is null" for c in columns)).select(*columns))
 
         def publish(database: str, name: str, rows: DataFrame, checks) -> DataFrame:
-            rows.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}_next")
+            if rows.columns != marts.MART_COLUMNS[name]:
+                raise ColumnsDiffer(f"{name} has {rows.columns}")
+            if "repo_id" in rows.columns:
+                rows.repartition(BUCKETS, "repo_id").write.mode("overwrite").bucketBy(BUCKETS, "repo_id").sortBy("repo_id").saveAsTable(f"{database}.{name}_next")
+            else:
+                rows.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}_next")
             told.extend(quality.enforce(checks(spark.table(f"{database}.{name}_next"))))
             spark.sql(f"drop table if exists {database}.{name}")
             spark.sql(f"alter table {database}.{name}_next rename to {database}.{name}")
@@ -49,5 +64,5 @@ def build(spark: SparkSession, lake: DataFrame, floor: int = TRENDING_FLOOR) ->
             Check("repo_trending grain", lambda: quality.trending_grain(t)), Check("repo_trending consistent", lambda: quality.trending_consistent(t, floor)), Check("repo_trending adjacent", lambda: quality.trending_adjacent(t, eco)),
         ])
     finally:
-        stg.unpersist()
+        files.delete(spark, path)
     return told

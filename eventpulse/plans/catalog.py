@@ -373,8 +373,7 @@ def _history(t: Tables) -> DataFrame:
 
 
 _query("history_union", _history, 'select "day", events, hours_present, case when "day" = date \'2024-01-06\' then repos end repos from eco where "day" in (date \'2024-01-05\', date \'2024-01-06\')')
-_query("counts_by_hour", lambda t: lake_io.counts_by_hour(t.spark, _written(t, files.shared_dir(t.spark), "dt between date '2024-01-08' and date '2024-01-10'")),
-       "select dt \"day\", hr \"hour\", count(*) n from lake where dt between date '2024-01-08' and date '2024-01-10' group by dt, hr")
+_query("counts_by_hour", lambda t: lake_io.counts_by_hour(t.spark, _laid_out(t, files.shared_dir(t.spark))), 'select dt "day", hr "hour", count(*) n from lake group by dt, hr')
 
 
 def _watermarked(t: Tables) -> DataFrame:
