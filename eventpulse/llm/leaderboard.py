@@ -30,7 +30,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from eventpulse.sources import files
 
-from .common import CRC_TABLE, crc32_sql, table
+from .common import CRC_TABLE, crc32_sql, materialize, table
 
 TOP, BATCHES, FIRST_DAY, DAYS, LATEST = 10, 8, 19723, 180, 15
 #: Items of a nation that one state holds, on average.
@@ -61,6 +61,8 @@ def priced(lines: DataFrame, items: DataFrame, vendors: DataFrame) -> DataFrame:
     rows = rows.select("item_id", "vendor_id", "quantity", F.when(F.col("amount").isNotNull(), _cents(F.col("amount"))).alias("cents"), "swapped", "sold_day", "day")
     nations = vendors.where("vendor_id is not null").groupBy("vendor_id").agg(F.min("nation_id").cast("int").alias("nation_id"))
     prices = items.where("item_id is not null").groupBy("item_id").agg(F.max("price").alias("price")).withColumn("known", F.lit(True))
+    # Written first: a join whose sides come straight from a shuffle is split where a vendor or an item is hot.
+    nations, prices = materialize(nations, "feed-nations"), materialize(prices, "feed-prices")
     rows = rows.hint("merge").join(nations.hint("merge"), "vendor_id", "left").drop("vendor_id")
     rows = rows.hint("merge").join(prices.hint("merge"), "item_id", "left")
     cents = F.coalesce("cents", (F.col("quantity").cast("double") * _cents(F.col("price"))).cast("long"), F.lit(0))
