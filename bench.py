@@ -1,4 +1,7 @@
-"""Headline queries at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]: one JSON line with seconds each (median of runs after a warm-up)."""
+"""Headline queries at $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]: one JSON line with seconds each (median of runs after a warm-up).
+
+Beside the seconds stand the rows that each query returns and the bytes that one run of it writes to shuffles.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +14,9 @@ import tempfile
 import time
 from statistics import median
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from eventpulse.plans import catalog
 from eventpulse.session import session
 from eventpulse.sources import adapter, lake
@@ -29,13 +35,28 @@ def timed(run) -> float:
     return round(median(seconds), 3)
 
 
+def shuffled(spark) -> int:
+    """Bytes written to shuffles by all stages so far."""
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(spark._jvm.java.util.ArrayList())
+    return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+
+def measured(spark, run) -> tuple[float, int, int]:
+    """Seconds, rows and shuffled bytes of a query."""
+    before, rows = shuffled(spark), Observation()
+    run().observe(rows, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    moved = shuffled(spark) - before
+    return timed(lambda: run().write.format("noop").mode("overwrite").save()), rows.get["n"], moved
+
+
 def main() -> None:
     sf_dir, cpus = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), os.environ.get("BENCH_CPUS", "8")
     spark = session(f"local[{cpus}]", "bench", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
-    queries, seconds = catalog.queries(), {}
+    queries, seconds, rows_out, moved = catalog.queries(), {}, {}, {}
     for name in HEADLINE:
-        seconds[name] = timed(lambda: queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
+        seconds[name], rows_out[name], moved[name] = measured(spark, lambda: queries[name](spark, sf_dir))
     folder = tempfile.mkdtemp(prefix="eventpulse-bench-")
     try:  # the published pair: distinct event types over gzip NDJSON and over the lake
         rows = adapter.lake(spark, sf_dir).where("dt = date '2024-01-08'").toPandas()
@@ -52,7 +73,7 @@ def main() -> None:
     finally:
         shutil.rmtree(folder)
     spark.stop()
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
+    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "rows": rows_out, "shuffle_bytes": moved, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
 
 
 if __name__ == "__main__":

@@ -6,9 +6,10 @@ import hashlib
 import logging
 from collections import Counter, deque
 from collections.abc import Callable, Iterable, Iterator
+from datetime import date
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventpulse.sources import files
@@ -97,45 +98,46 @@ class Store:
             return self.spark.createDataFrame([], self.COLUMNS)
         return self.spark.read.schema(f"{self.COLUMNS}, day date").parquet(self.path)
 
-    def insert(self, rows: DataFrame) -> int:
-        """Append rows that aren't stored, so that a redelivered batch changes nothing; the number appended.
+    def insert(self, rows: DataFrame, first: date | None = None, last: date | None = None) -> int:
+        """Append rows that aren't stored, so that a redelivered batch changes nothing; the number appended, which the write itself observes.
 
-        Only the days of the batch are read: what is stored is pruned to them by partition.
+        ``first`` and ``last`` bound the rows' days: what is stored is pruned to them by partition.
         """
-        batch = rows.dropDuplicates(["event_id", "created_at"]).withColumn("day", F.to_date("created_at")).persist()
-        try:
-            days = [r.day for r in batch.select("day").distinct().collect()]  # of one batch
-            held = self.read()
-            new = batch
-            if "day" in held.columns:
-                new = batch.join(held.where(F.col("day").isin(days)).select("event_id", "created_at"), ["event_id", "created_at"], "left_anti").select(*batch.columns)
-            fresh = new.persist()
-            try:
-                if count := fresh.count():
-                    fresh.repartition("day").write.mode("append").partitionBy("day").parquet(self.path)
-                return count
-            finally:
-                fresh.unpersist()
-        finally:
-            batch.unpersist()
+        new = rows.dropDuplicates(["event_id", "created_at"]).withColumn("day", F.to_date("created_at"))
+        held = self.read()
+        if "day" in held.columns:
+            within = F.lit(True) if first is None else F.col("day").between(F.lit(first), F.lit(last))
+            new = new.join(held.where(within).select("event_id", "created_at"), ["event_id", "created_at"], "left_anti").select(*new.columns)
+        stored = Observation()
+        new.observe(stored, F.count(F.lit(1)).alias("n")).repartition("day").write.mode("append").partitionBy("day").parquet(self.path)
+        return stored.get.get("n", 0)
 
 
 def consume_batch(messages: DataFrame, store: Store, dead_letters: str) -> Counter:
     """Route one micro-batch and count its outcomes. Returning lets the stream commit it; raising has it delivered again.
 
-    ``dead_letters`` is this batch's own folder and is replaced, so a batch that is delivered again leaves its dead letters once.
+    The batch is triaged once, as it is written to a folder by route; that write observes the counts and the days, so nothing is kept in memory or
+    gathered to count. ``dead_letters`` is this batch's own folder and is replaced, so a batch that is delivered again leaves its dead letters once.
     """
-    told = wire.triage(messages).persist()
+    spark, beside = messages.sparkSession, files.shared_dir(messages.sparkSession)
+    told = wire.triage(messages).withColumn("stored", F.col("reason").isNull())
+    valid = wire.store_rows(told.where("stored"))
+    routes = Observation()
+    day = F.to_date(F.try_to_timestamp(F.col("envelope.event.created_at")))
+    counts = [F.count_if(F.col("reason") == r).cast("bigint").alias(r) for r in wire.REASONS]
+    seen = told.observe(routes, F.count(F.lit(1)).alias("consumed"), *counts, F.min(F.when(F.col("stored"), day)).alias("first"), F.max(F.when(F.col("stored"), day)).alias("last"))
     try:
-        reasons = Counter({r.reason: r.n for r in told.groupBy("reason").agg(F.count("*").alias("n")).collect()})
-        outcome = Counter(consumed=reasons.total()) + Counter({f"dead {k}": n for k, n in reasons.items() if k})
-        if reasons[None]:
-            outcome["stored"] = store.insert(wire.store_rows(told.where("reason is null")))
-        if reasons.total() > reasons[None]:
-            wire.dead_letters(told.where("reason is not null")).write.mode("overwrite").parquet(dead_letters)
+        seen.write.partitionBy("stored").parquet(beside)
+        found = routes.get
+        outcome = Counter(consumed=found.get("consumed", 0)) + Counter({f"dead {r}": found.get(r, 0) for r in wire.REASONS})
+        again = spark.read.schema(seen.schema).parquet(beside)
+        if outcome["consumed"] > (dead := sum(found.get(r, 0) for r in wire.REASONS)):
+            outcome["stored"] = store.insert(wire.store_rows(again.where("stored")).select(*valid.columns), found["first"], found["last"])
+        if dead:
+            wire.dead_letters(again.where("not stored").drop("stored")).write.mode("overwrite").parquet(dead_letters)
         return outcome
     finally:
-        told.unpersist()
+        files.delete(spark, beside)
 
 
 def consume(messages: DataFrame, store: Store, dead_letter_path: str, checkpoint: str, totals: Counter, available_now: bool = True):

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VERSION = 1
-CORRUPT, UNSUPPORTED, INVALID = "corrupt", "unsupported_version", "invalid_shape"
+REASONS = CORRUPT, UNSUPPORTED, INVALID = "corrupt", "unsupported_version", "invalid_shape"
 _ACTOR, _REPO = "struct<id:bigint,login:string>", "struct<id:bigint,name:string>"
 ENVELOPE = f"v bigint, captured_at string, event struct<id:string,type:string,actor:{_ACTOR},repo:{_REPO},payload:string,public:boolean,created_at:string>"
 STORE_COLUMNS = ["event_id", "type", "actor_id", "actor_login", "repo_id", "repo_name", "created_at", "captured_at", "payload"]

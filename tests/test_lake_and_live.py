@@ -156,6 +156,20 @@ def test_consuming_twice_stores_once(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "d")).count() == 4
 
 
+def test_counters_are_observed_by_the_writes(spark, tmp_path):
+    """A batch is triaged once; no job gathers or counts, and a batch that is delivered again tells the same but for what is stored."""
+    rows = [(None, bytearray(message(id=str(i % 4)))) for i in range(6)] + [(bytearray(b"k"), bytearray(b"oops")), (None, bytearray(b'{"v":9}')), (None, bytearray(message(repo=None)))]
+    spark.createDataFrame(rows, "key binary, value binary").write.parquet(str(tmp_path / "m"))
+    batch, store = spark.read.parquet(str(tmp_path / "m")), live.Store(spark, str(tmp_path / "s"))
+    dead = {"dead corrupt": 1, "dead unsupported_version": 1, "dead invalid_shape": 1}
+    first = live.consume_batch(batch, store, str(tmp_path / "d"))
+    assert first == Counter(consumed=9, stored=4) + Counter(dead)
+    again = live.consume_batch(batch, store, str(tmp_path / "d"))
+    assert again == Counter(consumed=9) + Counter(dead) and live.summary(first + again)["duplicates"] == 8
+    assert live.consume_batch(batch.where("false"), store, str(tmp_path / "none")).total() == 0 and not (tmp_path / "none").exists()
+    assert store.read().count() == 4 and spark.read.parquet(str(tmp_path / "d")).count() == 3
+
+
 def test_pages_split_and_sinks(spark, tmp_path):
     items = [message(id="9").decode()[len('{"v": 1, "captured_at": "2026-07-22T05:00:01Z", "event": ') : -1], '{"id": "1"}', '"text"']
     good, bad = live.split_page(spark.createDataFrame([(x,) for x in items], "value string"))
