@@ -3,7 +3,7 @@
 A list's pairs are looked at in stars: a few members are centres, and each is compared with the members of the list that aren't in its component yet. After a round the components
 are put together, and lists whose members are all in one component are done. Before their sets are fetched, pairs are
 sifted by odd sketches, which bound from below in how many elements two sets differ. A centre whose star has been looked at leaves the list, since all its pairs there are known. In the first
-round a list has one centre, its least member by hash, so lists that hold the same texts share their centre and a pair is checked once. In later rounds only members outside the list's largest component become centres, twice as
+round a list has one centre, its least member by hash, so lists that hold the same texts share their centre and a pair is checked once. In later rounds only members outside the list's largest component become centres, ``_MORE`` times as
 many as in the round before: once all of them have been, every pair of the list is either checked or inside a component. No link between different texts is lost, whatever the lists, and a list whose members
 link costs about as many checks as it has members.
 
@@ -25,7 +25,7 @@ from .common import materialize
 from .components import connected_components
 from .shingles import CELLS
 
-_STAR = 512
+_STAR, _MORE = 512, 8
 
 
 def _order(node: str = "node") -> Column:
@@ -74,12 +74,12 @@ def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame],
     """(u, v) for every node that isn't the smallest of its component: v is that smallest node.
 
     ``tiers``: rows (key, node, *more), node a long. ``check`` keeps those of pairs (u, v) that are links. ``can(a, b)`` tells from the columns of ``more``, with the prefixes
-    a and b, whether a pair may be a link, and ``sift`` keeps of pairs those that may be; neither must refuse one. ``told`` is given the numbers of pairs looked at, of those checked, and of rounds.
+    a and b, whether a pair may be a link, and ``sift`` keeps of pairs those that may be; neither must refuse one. ``told`` is given the numbers of checked pairs and of rounds.
     """
     spark = tiers[0].sparkSession
     roots = spark.createDataFrame([], "u long, v long")
     tested: DataFrame | None = None
-    n_met = n_checked = n_rounds = 0
+    n_checked = n_rounds = 0
     for nth, lists in enumerate(tiers):
         last, centres_a_list, state = nth == len(tiers) - 1, 1, lists
         while True:
@@ -101,13 +101,10 @@ def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame],
                 met = met.where(can("c_", ""))
             turned = _order("node") < _order("c_node")  # the centre of a pair is the lesser of the two, so that lists agree on it
             pairs = met.select(F.when(turned, F.col("node")).otherwise(F.col("c_node")).alias("u"), F.when(turned, F.col("c_node")).otherwise(F.col("node")).alias("v")).distinct()
-            if tested is not None:
-                pairs = pairs.join(tested, ["u", "v"], "left_anti")
-            pairs = materialize(pairs, "link-pairs")
+            # A pair that the sift refuses may be met again, and is refused again; what is checked is checked once.
+            pairs = sift(pairs) if sift else pairs
+            pairs = materialize(pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti"), "link-pairs")
             tested = pairs if tested is None else tested.union(pairs)
-            if sift and not pairs.isEmpty():
-                n_met += pairs.count() if told is not None else 0
-                pairs = materialize(sift(pairs), "link-sifted")
             n_checked += pairs.count() if told is not None else 0
             if not pairs.isEmpty():
                 found = materialize(check(pairs), "link-found")
@@ -116,9 +113,9 @@ def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame],
             if not last:
                 break
             used = centres.select("key", F.col("c_node").alias("node"))
-            state, centres_a_list = members.select("key", "node", *more).join(used, ["key", "node"], "left_anti"), 2 * centres_a_list
+            state, centres_a_list = members.select("key", "node", *more).join(used, ["key", "node"], "left_anti"), _MORE * centres_a_list
     if told is not None:
-        told |= {"met": n_met, "checked": n_checked, "rounds": n_rounds}
+        told |= {"checked": n_checked, "rounds": n_rounds}
     return roots
 
 

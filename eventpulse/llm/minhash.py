@@ -1,12 +1,12 @@
 """MinHash near-duplicates: one-permutation hashing with optimal densification, banded buckets, star-shaped candidate edges, checks on full sets.
 
 One hash of each shingle does for the whole sketch: its first bits say the bin, and a bin keeps its least hash. An empty bin takes over the value of the first bin with one in an order of bins of its own (the same for all documents), so that
-any two sketches agree in a bin with the probability of their sets' Jaccard similarity, however small the sets. ``BINS`` bins make ``BINS / ROWS`` bands; documents that agree in all rows of a band
-meet in a bucket. At a similarity of 0.8 a pair fails to meet with probability (1 - 0.8^4)^32 = 5e-8, less above.
+any two sketches agree in a bin with the probability of their sets' Jaccard similarity, however small the sets. ``BINS`` bins make ``BANDS`` bands of ``ROWS`` rows; documents that agree in all rows of a band
+meet in a bucket. At a similarity of 0.8 a pair fails to meet with probability (1 - 0.8^7)^73 = 3e-8, less above; at 0.5 it meets in half a bucket on average.
 
-Buckets of eight and sixteen rows, made of neighbouring bands, come first: what meets there is most likely alike. Within a bucket candidate edges are stars (``linking``); each edge is checked on the full sets, and edges that fail are followed by
+Buckets of 14 rows, made of neighbouring bands, come first: what meets there is most likely alike. Within a bucket candidate edges are stars (``linking``); each edge is checked on the full sets, and edges that fail are followed by
 further stars until every pair of the bucket is checked or connected otherwise, so no link that meets in a bucket is lost. Equal sets are one node, so copies never meet in pairs. One bit of each bin, drawn by the bin, and
-the sizes of the sets rule out pairs before their sets are fetched: at 0.8 a pair differs in 12.8 of 128 bits on average, and is refused from 34 on (six standard deviations).
+the sizes of the sets rule out pairs before their sets are fetched: at 0.8 a pair differs in 51.2 of 512 bits on average, and is refused above 91 (six standard deviations).
 
 Defined results: fewer words than a shingle has make one shingle. Null text and text without words have an empty set, which links with nothing: the document is its own component. A row without id takes the component of
 rows with its set, or null, isn't kept, and links no others. Repeated rows share a set. Extra columns are ignored. An empty table gives no rows. Sets are of 64-bit hashes of shingles.
@@ -27,8 +27,9 @@ from .common import materialize, table
 from .shingles import sets_of, shingles_of, slices, text_key, words_of
 
 SHINGLE, PERCENT = 2, 80
-BINS, ROWS = 128, 4
-MOST_BITS = 33
+BINS, ROWS = 512, 7
+BANDS = BINS // ROWS
+_NEAR = 32
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -41,7 +42,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 #: For each bin the order in which an empty one asks the others, and an odd number that draws its bit.
 _ASKED = np.argsort(_mixed(np.arange(1, BINS * BINS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(BINS, BINS), axis=1)
 _ODD = _mixed(np.arange(1, BINS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
-_BAND = _mixed(np.arange(1, BINS // ROWS + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7))
+_BAND = _mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7))
 
 
 def sketch_of(hashes: np.ndarray) -> np.ndarray:
@@ -52,27 +53,40 @@ def sketch_of(hashes: np.ndarray) -> np.ndarray:
     sketch, full = np.zeros(BINS, np.uint64), np.zeros(BINS, bool)
     sketch[bins[firsts]], full[bins[firsts]] = hashes[firsts], True
     empty = np.flatnonzero(~full)
-    if len(empty):
-        asked = _ASKED[empty]
-        sketch[empty] = sketch[asked[np.arange(len(empty)), full[asked].argmax(axis=1)]]
+    for width in (_NEAR, BINS):  # most find one among the first that they ask
+        asked = _ASKED[empty, :width]
+        found = full[asked]
+        some = found.any(axis=1)
+        at = found[some].argmax(axis=1)
+        sketch[empty[some]] = sketch[asked[some][np.arange(len(at)), at]]
+        empty = empty[~some]
+        if not len(empty):
+            break
     return sketch
 
 
 def bands_of(sketch: np.ndarray) -> np.ndarray:
     """One key for each band of ``ROWS`` values."""
     keys = _BAND.copy()
-    for column in sketch.reshape(-1, ROWS).T:
+    for column in sketch[: BANDS * ROWS].reshape(-1, ROWS).T:
         keys = _mixed(keys ^ column) * np.uint64(0x9E3779B97F4A7C15)
     return keys
 
 
 def bits_of(sketch: np.ndarray) -> np.ndarray:
-    """One bit for each bin, as two numbers."""
+    """One bit for each bin, 64 to a number."""
     return np.packbits((sketch * _ODD) >> np.uint64(63) == 1).view(np.uint64)
 
 
+def bits_allow(a: str, b: str, similarity: float) -> Column:
+    """Whether two columns of bits differ in no more than a pair of the similarity does, six standard deviations allowed for."""
+    p = (1 - similarity) / 2
+    differ = sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BINS // 64)), F.lit(0))
+    return differ <= int(BINS * p + 6 * (BINS * p * (1 - p)) ** 0.5)
+
+
 def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, text_key, n, a, b, b0, b1, bands) for every row: n counts the set, a and b are its digest, bands are the keys of its buckets."""
+    """(doc_id, text_key, n, a, b, bits, bands) for every row: n counts the set, a and b are its digest, bands are the keys of its buckets."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(parts):
@@ -82,40 +96,39 @@ def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
                 n.append(len(hashes))
                 digests.append(np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64))
                 sketch = sketch_of(hashes) if len(hashes) else None
-                bits.append(bits_of(sketch).view(np.int64) if len(hashes) else np.zeros(2, np.int64))
+                bits.append(bits_of(sketch).view(np.int64) if len(hashes) else np.zeros(BINS // 64, np.int64))
                 bands.append(bands_of(sketch).view(np.int64) if len(hashes) else np.empty(0, np.int64))
-            digests, bits = np.array(digests).reshape(-1, 2), np.array(bits).reshape(-1, 2)
-            columns = {"n": pa.array(n, pa.int64()), "a": pa.array(digests[:, 0]), "b": pa.array(digests[:, 1]), "b0": pa.array(bits[:, 0]), "b1": pa.array(bits[:, 1]), "bands": pa.array(bands, pa.list_(pa.int64()))}
+            digests = np.array(digests).reshape(-1, 2)
+            columns = {"n": pa.array(n, pa.int64()), "a": pa.array(digests[:, 0]), "b": pa.array(digests[:, 1]), "bits": pa.array(bits, pa.list_(pa.int64())), "bands": pa.array(bands, pa.list_(pa.int64()))}
             yield pa.record_batch({"doc_id": part.column(0), "text_key": part.column(2), **columns})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"), text_key(text_col).alias("text_key"))
-    return rows.mapInArrow(batches, "doc_id long, text_key long, n long, a long, b long, b0 long, b1 long, bands array<long>")
+    return rows.mapInArrow(batches, "doc_id long, text_key long, n long, a long, b long, bits array<long>, bands array<long>")
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, told: dict | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row; documents are linked where 100 * intersection >= percent * union of their sets."""
-    if not 70 <= percent <= 100:
-        raise ValueError(f"bands of {ROWS} rows are made for similarities of 70 to 100 percent, not {percent}")
+    if not 80 <= percent <= 100:
+        raise ValueError(f"bands of {ROWS} rows are made for similarities of 80 to 100 percent, not {percent}")
     own = materialize(profiles(docs, id_col, text_col, shingle), "minhash-profiles")
-    first = own.where("n > 0 and doc_id is not null").groupBy("a", "b").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), *(F.first(c).alias(c) for c in ("n", "b0", "b1", "bands")))
-    nodes = materialize(first.select("a", "b", F.col("least.doc_id").alias("node"), F.col("least.text_key").alias("text_key"), "n", "b0", "b1", "bands"), "minhash-nodes")
+    first = own.where("n > 0 and doc_id is not null").groupBy("a", "b").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), *(F.first(c).alias(c) for c in ("n", "bits", "bands")))
+    nodes = materialize(first.select("a", "b", F.col("least.doc_id").alias("node"), F.col("least.text_key").alias("text_key"), "n", "bits", "bands"), "minhash-nodes")
     lists = materialize(linking.several(nodes.select(F.explode("bands").alias("key"), "node")), "minhash-lists")
     met = materialize(lists.select("node").distinct(), "minhash-met")
     info = nodes.join(met, "node", "left_semi")
-    more = ("n", "b0", "b1")
+    more = ("n", "bits")
 
     def wider(times: int) -> DataFrame:
         """Buckets of so many neighbouring bands."""
-        keys = F.array(*(F.xxhash64(F.lit(times), F.lit(k), *(F.col("bands")[k * times + j] for j in range(times))) for k in range(BINS // ROWS // times)))
+        keys = F.array(*(F.xxhash64(F.lit(times), F.lit(k), *(F.col("bands")[k * times + j] for j in range(times))) for k in range(BANDS // times)))
         return materialize(linking.several(info.select(F.explode(keys).alias("key"), "node", *more)), "minhash-wide")
 
     sets = materialize(sets_of(docs, info.select("node", F.col("node").alias("doc_id"), "text_key"), id_col, text_col, shingle), "minhash-sets")
-    tiers = [wider(4), wider(2), lists.join(info.select("node", *more), "node")]
+    tiers = [wider(2), lists.join(info.select("node", *more), "node")]
 
     def can(a: str, b: str) -> Column:
         n, m = F.col(f"{a}n"), F.col(f"{b}n")
-        differ = sum((F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in ("b0", "b1")), F.lit(0))
-        return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (differ <= MOST_BITS * (1 if percent >= 80 else 2))
+        return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & bits_allow(f"{a}bits", f"{b}bits", percent / 100)
 
     def alike(common: int, n: int, m: int) -> bool:
         return 100 * common >= percent * (n + m - common)

@@ -114,5 +114,5 @@ def test_stars_lose_no_link_of_a_list(spark):
 
 
 def test_other_similarities_are_refused(spark):
-    with pytest.raises(ValueError, match="70 to 100"):
+    with pytest.raises(ValueError, match="80 to 100"):
         found(spark, {1: "a b"}, percent=50)
