@@ -37,7 +37,8 @@ def timed(run) -> float:
 
 def shuffled(spark) -> int:
     """Bytes written to shuffles by all stages so far."""
-    stages = spark.sparkContext._jsc.sc().statusStore().stageList(spark._jvm.java.util.ArrayList())
+    none, gateway = spark._jvm.java.util.ArrayList(), spark.sparkContext._gateway
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(none, False, False, gateway.new_array(gateway.jvm.double, 0), none)
     return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
 
 
@@ -52,7 +53,7 @@ def measured(spark, run) -> tuple[float, int, int]:
 
 def main() -> None:
     sf_dir, cpus = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), os.environ.get("BENCH_CPUS", "8")
-    spark = session(f"local[{cpus}]", "bench", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"})
+    spark = session(f"local[{cpus}]", "bench", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g", "spark.ui.retainedStages": "100000"})
     spark.sparkContext.setLogLevel("ERROR")
     queries, seconds, rows_out, moved = catalog.queries(), {}, {}, {}
     for name in HEADLINE:
