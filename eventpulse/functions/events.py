@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,14 @@ def json_text(column: Column | str, key: str) -> Column:
     return F.get_json_object(column, f"$.{key}")
 
 
+def bound(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with these columns, each computed once a row.
+
+    A generator of one row stands between them and what uses them: plain projections are merged, and then an expression is copied to each place that names it, stage over stage.
+    """
+    return rows.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
+
+
 def breakouts(event_type: Column | str) -> list[Column]:
     kind = F.col(event_type) if isinstance(event_type, str) else event_type
     return [F.count_if(kind == value).alias(name) for name, value in BREAKOUTS.items()]

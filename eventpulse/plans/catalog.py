@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventpulse.functions.events import BREAKOUTS, KNOWN_TYPES
+from eventpulse.functions.events import BREAKOUTS, KNOWN_TYPES, bound
 from eventpulse.operators import distinct, figures, ledger, marts, panels, quality, recon, staging
 from eventpulse.plans import incremental
 from eventpulse.sources import adapter, files
@@ -99,9 +99,10 @@ class Tables:
             F.col("event_id").alias("id"), F.col("event_type").alias("type"), F.struct(F.col("actor_id").alias("id"), F.col("actor_login").alias("login")).alias("actor"), F.struct(F.col("repo_id").alias("id"), F.col("repo_name").alias("name")).alias("repo"),
             "payload", F.col("is_public").alias("public"), text("created_at").alias("created_at"), F.lit("2024-02-01T00:00:00Z").alias("captured_at"),
         )
-        sent = wire.encode(rows)
-        number = F.get_json_object(F.col("value").cast("string"), "$.event.id").cast("bigint") % 50
-        value = F.col("value").cast("string")
+        value = F.col("text")
+        sent = bound(wire.encode(rows), text=F.col("value").cast("string"))
+        sent = bound(sent, number=F.get_json_object(value, "$.event.id").cast("bigint") % 50)
+        number = F.col("number")
         broken = (F.when(number == 1, F.substring(value, 1, 20)).when(number == 2, F.replace(value, F.lit('{"v":1,'), F.lit('{"v":99,'))).when(number == 3, F.replace(value, F.lit("Z\""), F.lit("\"")))
                   .when(number == 4, F.lit("")).otherwise(value)).cast("binary")
         return sent.select("key", broken.alias("value"))

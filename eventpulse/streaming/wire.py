@@ -1,6 +1,6 @@
 """The stream's messages: version 1 envelopes, dead letters with a triage reason, and how messages are told apart.
 
-All of it is column expressions, so one plan serves batches and streams.
+All of it is column expressions, so one plan serves batches and streams. What several of them use is bound to a row (``bound``): a message is parsed once.
 """
 
 from __future__ import annotations
@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventpulse.functions.events import bound
+
 VERSION = 1
 REASONS = CORRUPT, UNSUPPORTED, INVALID = "corrupt", "unsupported_version", "invalid_shape"
 _ACTOR, _REPO = "struct<id:bigint,login:string>", "struct<id:bigint,name:string>"
@@ -21,7 +23,8 @@ def encode(rows: DataFrame) -> DataFrame:
     """(key, value) messages of events (id, type, actor, repo, payload, public, created_at, captured_at), nested columns being structs and times text."""
     # The payload goes in as the text that it is: parsing it would reorder keys and rewrite numbers.
     whole = F.to_json(F.struct("id", "type", "actor", "repo", "public", "created_at"))
-    event = F.concat(F.substring(whole, F.lit(1), F.length(whole) - 1), F.lit(',"payload":'), F.coalesce("payload", F.lit("null")), F.lit("}"))
+    rows = bound(rows, _whole=whole)
+    event = F.concat(F.substring("_whole", F.lit(1), F.length("_whole") - 1), F.lit(',"payload":'), F.coalesce("payload", F.lit("null")), F.lit("}"))
     value = F.concat(F.lit(f'{{"v":{VERSION},"captured_at":"'), F.col("captured_at"), F.lit('","event":'), event, F.lit("}"))
     return rows.select(F.col("repo.id").cast("string").cast("binary").alias("key"), value.cast("binary").alias("value"))
 
@@ -32,14 +35,13 @@ def triage(messages: DataFrame) -> DataFrame:
     In this order: not UTF-8 or not JSON is corrupt, as is an empty value; no object, or another version, is unsupported; the rest of what is wrong is a shape.
     """
     raw = F.coalesce(F.col("value"), F.lit(b""))
-    text = F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string"))
-    parsed = F.try_parse_json(text)
+    m = bound(messages, _text=F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string")))
+    m = bound(m, _parsed=F.try_parse_json("_text"), envelope=F.from_json("_text", ENVELOPE, {"mode": "PERMISSIVE"}))
+    parsed = F.col("_parsed")
     version = F.try_variant_get(parsed, "$.v", "bigint")
     kind = F.schema_of_variant(parsed)
     whole = F.schema_of_variant(F.try_variant_get(parsed, "$.v", "variant")) == "BIGINT"  # text that looks like a number is none
     exact = F.when(kind.startswith("OBJECT") & whole & F.try_variant_get(parsed, "$.v", "string").rlike(r"^\d+$"), version)
-    m = messages.select("*", text.alias("_text"), parsed.isNull().alias("_broken"), exact.alias("_v"))
-    m = m.withColumn("envelope", F.from_json("_text", ENVELOPE, {"mode": "PERMISSIVE"}))
     e = F.col("envelope.event")
     times = F.col("envelope.captured_at").rlike(_AWARE) & e["created_at"].rlike(_AWARE)
     needed = [e["id"], e["type"], e["actor"]["id"], e["actor"]["login"], e["repo"]["id"], e["repo"]["name"], e["payload"]]
@@ -47,8 +49,8 @@ def triage(messages: DataFrame) -> DataFrame:
     for c in needed:
         whole = whole & c.isNotNull()
     whole = whole & F.try_to_timestamp(F.col("envelope.captured_at")).isNotNull() & F.try_to_timestamp(e["created_at"]).isNotNull()
-    reason = F.when(F.col("_broken") | F.col("_text").isNull(), CORRUPT).when(F.coalesce(F.col("_v") != VERSION, F.lit(True)), UNSUPPORTED).when(~F.coalesce(whole, F.lit(False)), INVALID)
-    return m.withColumn("reason", reason).drop("_text", "_broken", "_v")
+    reason = F.when(parsed.isNull() | F.col("_text").isNull(), CORRUPT).when(F.coalesce(exact != VERSION, F.lit(True)), UNSUPPORTED).when(~F.coalesce(whole, F.lit(False)), INVALID)
+    return bound(m, reason=reason).drop("_text", "_parsed")
 
 
 def store_rows(valid: DataFrame) -> DataFrame:
@@ -69,7 +71,7 @@ def dead_letters(refused: DataFrame) -> DataFrame:
 
 def decode_dead_letters(messages: DataFrame) -> DataFrame:
     """(reason, detail, key, value) of dead letters; another version raises."""
-    r = messages.select(F.from_json(F.col("value").cast("string"), "v bigint, reason string, detail string, key string, value string").alias("r"))
+    r = bound(messages.select("value"), r=F.from_json(F.col("value").cast("string"), "v bigint, reason string, detail string, key string, value string"))
     known = F.when(F.col("r.v") == VERSION, F.col("r.reason")).otherwise(F.raise_error(F.lit("unsupported dead letter")).cast("string"))
     return r.select(known.alias("reason"), F.col("r.detail").alias("detail"), F.unbase64("r.key").alias("key"), F.unbase64("r.value").alias("value"))
 

@@ -140,6 +140,18 @@ def test_triage_in_order(spark):
     assert (back.reason, bytes(back.key), bytes(back.value)) == ("corrupt", b"k", b"\xff\xfe")
 
 
+def test_a_message_is_parsed_once(spark):
+    """Whatever is asked of a triaged message, its plan parses it in one place, and a sent one is written in one."""
+    rows = spark.createDataFrame([(None, bytearray(message()))], "key binary, value binary")
+    for asked in (wire.store_rows(wire.triage(rows).where("reason is null")).select("created_at"), wire.dead_letters(wire.triage(rows).where("reason is not null"))):
+        plan = asked._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == 1 and plan.count("parseJson(") == 1
+    columns = ["cast(id as string) id", "'PushEvent' type", "struct(id, 'u' as login) actor", "struct(id, 'o/r' as name) repo", "'{}' payload", "true public", "'2026-07-22T05:00:00Z' created_at", "'2026-07-22T05:00:01Z' captured_at"]
+    sent = wire.encode(spark.range(1).selectExpr(*columns))
+    plan = wire.triage(sent).where("reason is null").select("envelope.event.id", "envelope.event.type")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("to_json(") <= 1 and plan.count("from_json(") == 1
+
+
 def test_consuming_twice_stores_once(spark, tmp_path):
     rows = [(None, bytearray(message(id=str(i % 4)))) for i in range(6)] + [(bytearray(b"k"), bytearray(b"oops")), (None, None)]
     spark.createDataFrame(rows, "key binary, value binary").write.parquet(str(tmp_path / "m"))
