@@ -152,6 +152,11 @@ def _probes(pending: DataFrame, cuts: list[tuple[int, int]], radius: int) -> Dat
     return pending.select("query", "kth").mapInArrow(batches, "query long, kth long, segment int, value long")
 
 
+def _meeting(probes: DataFrame, posted: DataFrame) -> DataFrame:
+    """A merge join, always: probes are many times the queries that they are made from, by whose size the planner would broadcast them."""
+    return probes.hint("merge").join(posted, ["segment", "value"])
+
+
 def _grown(entries: DataFrame, asked: DataFrame, n_codes: int, k: int) -> tuple[DataFrame, DataFrame]:
     """Rounds of growing radii over the distributed postings: (query, distance, vec_id) of the best so far, and the queries that are not done."""
     cuts = segments_of(n_codes)
@@ -165,7 +170,7 @@ def _grown(entries: DataFrame, asked: DataFrame, n_codes: int, k: int) -> tuple[
         apart = F.col("code").bitwiseXOR(F.col("query"))
         each = [F.bit_count(_value(apart, a, w)) for a, w in cuts]
         first = F.array_position(F.array(*each), F.lit(radius)) - 1
-        met = _probes(pending, cuts, radius).join(posted, ["segment", "value"])
+        met = _meeting(_probes(pending, cuts, radius), posted)
         met = met.where((F.least(*each, F.lit(BITS)) == radius) & (first == F.col("segment"))).select("query", "kth", F.bit_count(apart).cast("long").alias("distance"), "ids").where("distance <= kth")
         met = met.select("query", "distance", F.explode("ids").alias("vec_id"))
         best = materialize(_least(best.union(met), ["query"], ["distance", "vec_id"], k + 1).select("query", "distance", "vec_id"), "code-best")

@@ -57,3 +57,15 @@ def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     assert {tuple(r) for r in T.op5_multi_index_hashing_topk(spark, sf).collect()} == brute(rows, 10)
+
+
+def test_probes_are_never_broadcast(spark):
+    """A query makes thousands of probes, and their estimated size is that of the queries."""
+    from eventpulse.llm.topk import _meeting, _probes
+
+    pending = spark.range(20).selectExpr("id as query", "64L as kth")
+    posted = spark.range(20).selectExpr("0 as segment", "id as value", "id as code")
+    joined = _meeting(_probes(pending, [(0, 16)], 2), posted)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert joined.count() > 0
