@@ -2,7 +2,7 @@
 
 Old shards are cut into blocks: a shard's rows of one size class, the classes being ranges of sizes common to all shards. A flow network takes
 each block's rows either to the shard they are in, at no cost, or through a pool to any other
-shard, at the block's mean bytes a row; each new shard takes at least and at most what its capacity
+shard, at the block's mean bytes a row (a shard's blocks are parallel edges, one arc of convex cost, so that a path is looked for among shards and not among blocks); each new shard takes at least and at most what its capacity
 says. The cheapest flow says how many rows each old shard gives away; its smallest rows go. Where one shard gives away rows of a class
 while another keeps some of it, the choice between them hangs on the sizes within the class: such classes are counted again in finer ranges, and the flow
 is solved again, until each of them is of a single size. Then no exchange of rows can save a byte, so the bytes moved are the fewest there are.
@@ -22,10 +22,11 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,24 +40,42 @@ _FINER = 4
 
 
 class MinCostFlow:
-    """Successive shortest paths with potentials; capacities and costs are non-negative integers."""
+    """Successive shortest paths with potentials; capacities and costs are non-negative integers.
+
+    Edges between the same two nodes are one arc of convex cost: a path sees the cheapest that has room and, backwards, the dearest in use, so
+    its search is over nodes, however many edges they have.
+    """
 
     def __init__(self) -> None:
-        self.edges: list[list] = []  # [to, capacity left, cost]; the reverse edge is at index ^ 1
-        self.out: dict[object, list[int]] = defaultdict(list)
+        self.edges: list[tuple[int, int]] = []  # (capacity, cost)
+        self.used: list[int] = []
+        self.between: dict[tuple[object, object], list[int]] = defaultdict(list)
 
     def edge(self, a: object, b: object, capacity: int, cost: int) -> int:
-        self.out[a].append(len(self.edges))
-        self.edges.append([b, capacity, cost])
-        self.out[b].append(len(self.edges))
-        self.edges.append([a, 0, -cost])
-        return len(self.edges) - 2
+        self.between[a, b].append(len(self.edges))
+        self.edges.append((capacity, cost))
+        self.used.append(0)
+        return len(self.edges) - 1
 
     def flow_on(self, edge: int) -> int:
-        return self.edges[edge ^ 1][1]
+        return self.used[edge]
+
+    def _residual(self, arc: list, ahead: bool) -> tuple[int, int, int] | None:
+        """(edge, room, price) of an arc: [edges in order of cost, how many of them are full]."""
+        ids, full = arc
+        if ahead:
+            return (ids[full], self.edges[ids[full]][0] - self.used[ids[full]], self.edges[ids[full]][1]) if full < len(ids) else None
+        at = full if full < len(ids) and self.used[ids[full]] else full - 1
+        return (ids[at], self.used[ids[at]], -self.edges[ids[at]][1]) if at >= 0 else None
 
     def solve(self, source: object, sink: object) -> tuple[int, int]:
         """Send all that fits; returns (amount, cost)."""
+        out: dict[object, list[tuple[object, list, bool]]] = defaultdict(list)
+        for (a, b), ids in self.between.items():
+            if some := sorted((e for e in ids if self.edges[e][0]), key=lambda e: self.edges[e][1]):
+                arc = [some, 0]
+                out[a].append((b, arc, True))
+                out[b].append((a, arc, False))
         potential: dict[object, int] = defaultdict(int)
         amount = cost = 0
         while True:
@@ -67,25 +86,29 @@ class MinCostFlow:
                     break
                 if d > dist[node]:
                     continue
-                for e in self.out[node]:
-                    to, left, price = self.edges[e]
-                    if left and (nd := d + price + potential[node] - potential[to]) < dist.get(to, float("inf")):
-                        dist[to], via[to], tick = nd, e, tick + 1
+                for to, arc, ahead in out[node]:
+                    left = self._residual(arc, ahead)
+                    if left and (nd := d + left[2] + potential[node] - potential[to]) < dist.get(to, float("inf")):
+                        dist[to], via[to], tick = nd, (node, arc, ahead, left), tick + 1
                         heapq.heappush(queue, (nd, tick, to))
             if sink not in dist:
                 return amount, cost
             far = dist[sink]
-            for node in list(self.out):
+            for node in list(out):
                 potential[node] += min(dist.get(node, far), far)
             path, node = [], sink
             while node != source:
                 path.append(via[node])
-                node = self.edges[via[node] ^ 1][0]
-            step = min(self.edges[e][1] for e in path)
-            for e in path:
-                self.edges[e][1] -= step
-                self.edges[e ^ 1][1] += step
-                cost += step * self.edges[e][2]
+                node = via[node][0]
+            step = min(left[1] for *_, left in path)
+            for _, arc, ahead, (edge, _, price) in path:
+                self.used[edge] += step if ahead else -step
+                cost += step * price
+                ids, full = arc
+                if not ahead:
+                    arc[1] = full if full < len(ids) and ids[full] == edge else full - 1
+                elif self.used[edge] == self.edges[edge][0]:
+                    arc[1] = full + 1
             amount += step
 
 
@@ -110,15 +133,18 @@ def solve_flow(blocks: list[tuple[int, int, int]], capacities: list[tuple[int, i
 
     ``capacities`` are (least, most) rows of each new shard; ValueError where they can't hold the rows, or ask for more.
     """
-    net, stays = MinCostFlow(), {}
+    net, held = MinCostFlow(), defaultdict(int)
     total, least = sum(b[1] for b in blocks), sum(c[0] for c in capacities)
     if not least <= total <= sum(c[1] for c in capacities):
         raise ValueError(f"{total} rows do not fit capacities of {least} to {sum(c[1] for c in capacities)}")
-    for k, (old, rows, weight) in enumerate(blocks):
-        net.edge("source", ("block", k), rows, 0)
+    gone = []  # a shard's blocks are parallel edges to the pool, so of a shard the cheapest rows go first
+    for old, rows, weight in blocks:
+        held[old] += rows
+        gone.append(net.edge(("old", old), "pool", rows, max(1, round(weight / max(rows, 1)))))
+    for old, rows in held.items():
+        net.edge("source", ("old", old), rows, 0)
         if 0 <= old < len(capacities):
-            stays[k] = net.edge(("block", k), ("shard", old), rows, 0)
-        net.edge(("block", k), "pool", rows, max(1, round(weight / max(rows, 1))))
+            net.edge(("old", old), ("shard", old), rows, 0)
     gets = {}
     for new, (low, high) in enumerate(capacities):
         gets[new] = net.edge("pool", ("shard", new), high, 0)
@@ -126,7 +152,7 @@ def solve_flow(blocks: list[tuple[int, int, int]], capacities: list[tuple[int, i
         net.edge(("shard", new), "spare", high - low, 0)
     net.edge("spare", "sink", total - least, 0)
     net.solve("source", "sink")
-    return [net.flow_on(stays[k]) if k in stays else 0 for k in range(len(blocks))], {new: net.flow_on(e) for new, e in gets.items()}
+    return [rows - net.flow_on(e) for (_, rows, _), e in zip(blocks, gone)], {new: net.flow_on(e) for new, e in gets.items()}
 
 
 def plan_transfers(blocks: list[tuple[int, int, int]], capacities: list[tuple[int, int]]) -> list[Transfer]:
@@ -210,6 +236,24 @@ def _merged(these: list[SizeClass], states: list[str]) -> list[SizeClass]:
     return out
 
 
+def stepped(sizes: DataFrame, ranges: list[tuple[int, int, int]]) -> DataFrame:
+    """(nth, start, old_shard, size, n) of the (old_shard, size, n) that one of the disjoint ranges (low, high, step) holds: which range, and which of its steps.
+
+    The ranges are looked up by bisection, since there can be thousands: an expression of a branch for each doesn't fit the driver.
+    """
+    lows, highs, steps = (np.array(x, np.int64) for x in zip(*sorted(ranges)))
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            size = part.column(1).to_numpy()
+            at = np.maximum(np.searchsorted(lows, size, "right") - 1, 0)
+            inside = (size >= lows[at]) & (size <= highs[at])
+            of = part.filter(pa.array(inside))
+            yield pa.RecordBatch.from_arrays([pa.array(at[inside]), pa.array(((size - lows[at]) // steps[at])[inside]), *of.columns], ["nth", "start", "old_shard", "size", "n"])
+
+    return sizes.select("old_shard", "size", "n").mapInArrow(batches, "nth long, start long, old_shard int, size long, n long")
+
+
 def layout(docs: DataFrame, old_shard: Column, shards: int, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """(doc_id, size, text_crc32, old_shard, shard, slot) of every row; row counts of shards are at most one apart.
 
@@ -231,15 +275,11 @@ def layout(docs: DataFrame, old_shard: Column, shards: int, id_col: str = "doc_i
     placed = materialize(placed.select("*", F.shiftright("_at", 33).cast("int").alias("_part"), F.col("_at").bitwiseAND((1 << 33) - 1).alias("_row")).drop("_at", "_tie"), "ranked")
     spans = {(r["old_shard"], r["_part"]): (r["n"], r["first"]) for r in placed.groupBy("old_shard", "_part").agg(F.count("*").alias("n"), F.min("_row").alias("first")).collect()}
 
+    sizes = materialize(placed.groupBy("old_shard", "size").agg(F.count("*").alias("n")), "sizes")
+
     def count(ranges: list[tuple[int, int, int]]) -> list[tuple]:
-        size, held = F.col("size"), placed
-        nth, start = F.lit(0), F.floor(F.log2("size")).cast("long")
-        if ranges:
-            within = [(size >= low) & (size <= high) for low, high, _ in ranges]
-            nth = F.coalesce(*(F.when(w, k) for k, w in enumerate(within)))
-            start = F.coalesce(*(F.when(w, F.floor((size - low) / step)) for w, (low, _, step) in zip(within, ranges)))
-            held = placed.where(reduce(lambda a, b: a | b, within))
-        return [tuple(r) for r in held.groupBy(nth.alias("nth"), start.alias("start"), "old_shard").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.min("size").alias("least"), F.max("size").alias("greatest")).collect()]
+        each = stepped(sizes, ranges) if ranges else sizes.select(F.lit(0).alias("nth"), F.floor(F.log2("size")).cast("long").alias("start"), "old_shard", "size", "n")
+        return [tuple(r) for r in each.groupBy("nth", "start", "old_shard").agg(F.sum("n").alias("n"), F.sum(F.col("size") * F.col("n")).alias("bytes"), F.min("size").alias("least"), F.max("size").alias("greatest")).collect()]
 
     total = sum(n for n, _ in spans.values())
     plan = plan_transfers(exact_classes(count, total, shards), even_capacities(total, shards)) if total else []

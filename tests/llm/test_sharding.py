@@ -139,3 +139,39 @@ def test_rewrite_keeps_every_row_once(spark, tmp_path):
     assert sorted(map(tuple, back.select(*docs.columns).collect()), key=str) == sorted(rows, key=str)
     assert {r.shard: r.n for r in back.groupBy("shard").agg(F.count("*").alias("n")).collect()} == {0: 16, 1: 16}
     assert not (tmp_path / "shards" / "shard=3").exists()
+
+
+def test_paths_are_searched_among_shards_not_blocks():
+    """17,600 blocks: the search was over blocks, at a cost that grew with the square of their number."""
+    import random
+    import time
+
+    from eventpulse.llm.sharding import even_capacities, solve_flow
+
+    draw = random.Random(5)
+    blocks = [(old, n := draw.randrange(1, 50), n * draw.randrange(20, 20000)) for old in range(44) for _ in range(400)]
+    total = sum(b[1] for b in blocks)
+    begun = time.process_time()
+    stay, gets = solve_flow(blocks, even_capacities(total, 40))
+    assert time.process_time() - begun < 20
+    assert sum(stay) + sum(gets.values()) == total and all(0 <= s <= b[1] for s, b in zip(stay, blocks))
+    # the greatest weight that can stay, by exchange: dearest rows first, each shard to its even count, and the spare rows to the dearest left
+    low, high, spare, kept, best = total // 40, -(-total // 40), total % 40, [0] * 44, 0
+    for old, n, weight in sorted(blocks, key=lambda b: -round(b[2] / b[1])):
+        for _ in range(n if old < 40 else 0):
+            if kept[old] < low or (kept[old] < high and spare):
+                spare -= kept[old] >= low
+                kept[old] += 1
+                best += round(weight / n)
+    assert sum(s * round(b[2] / b[1]) for s, b in zip(stay, blocks)) == best
+
+
+def test_thousands_of_ranges_are_no_expression(spark):
+    from eventpulse.llm.sharding import stepped
+
+    sizes = spark.range(6000).selectExpr("cast(id % 3 as int) as old_shard", "id as size", "1L as n")
+    ranges = [(low, low + 1, 1) for low in range(10, 5000, 3)]
+    rows = stepped(sizes, ranges)
+    assert len(rows._jdf.queryExecution().executedPlan().toString()) < 20_000
+    got = {(r.size, r.start) for r in rows.collect()}
+    assert got == {(low + k, k) for low, _, _ in ranges for k in (0, 1)}
