@@ -21,6 +21,7 @@ from eventpulse.sources import lake as lake_io
 from eventpulse.streaming import live, wire
 
 FIRST, LAST, HELD_OUT, NOW = "2024-01-01", "2024-01-30", "2024-01-29", "2024-02-01 00:00:00"
+FIFO_ROWS = 500_000  # of the sequence that a trigger of exact deduplication takes, on average
 BUSY, FLOOR = 3, 5  # the driver's tables are small: floors that leave something to rank
 
 
@@ -316,11 +317,15 @@ def _fifo(t: Tables) -> DataFrame:
     """Exact first-in-first-out deduplication of the lake's ids in order of time, over a file stream."""
     base = files.shared_dir(t.spark)
     seq = F.unix_micros(F.col("created_at").cast("timestamp"))
-    # files in order of time, so that the order of triggers is the order of the sequence
-    ordered = t.lake.select("id", seq.alias("seq")).repartitionByRange(8, "seq").sortWithinPartitions("seq").withColumn("part", F.spark_partition_id())
-    for k in range(8):
-        ordered.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(f"{base}/ids")
-    live.fifo_dedup(live.file_ids(t.spark, f"{base}/ids"), 1000).writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/fresh").awaitTermination()
+    rows = t.lake.select("id", seq.alias("seq"))
+    parts = max(8, -(-rows.count() // FIFO_ROWS))
+    ordered = rows.repartitionByRange(parts, "seq").withColumn("part", F.spark_partition_id())
+    ordered.write.partitionBy("part").parquet(f"{base}/dealt")
+    # files in order of time, so that the order of triggers is the order of the sequence; one a trigger, so that none holds more than a file
+    for k in range(parts):
+        if files.exists(t.spark, f"{base}/dealt/part={k}"):
+            t.spark.read.schema("id string, seq bigint").parquet(f"{base}/dealt/part={k}").coalesce(1).sortWithinPartitions("seq").write.mode("append").parquet(f"{base}/ids")
+    live.fifo_dedup(live.file_ids(t.spark, f"{base}/ids", 1), 1000).writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start(f"{base}/fresh").awaitTermination()
     return t.spark.read.schema("id string, seq bigint").parquet(f"{base}/fresh")
 
 

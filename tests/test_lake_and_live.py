@@ -207,3 +207,15 @@ def test_window_is_first_in_first_out():
 def test_first_of_a_batch(spark):
     rows = spark.createDataFrame([("a", 3, "z"), ("a", 1, "y"), ("b", 2, "x")], "id string, seq int, v string")
     assert sorted(map(tuple, live.dedupe_batch(rows).collect())) == [("a", 1, "y"), ("b", 2, "x")]
+
+
+def test_exact_deduplication_takes_a_file_a_trigger(spark, tmp_path, monkeypatch):
+    """All files in one trigger would put the whole sequence into the task's memory."""
+    from eventpulse.plans import catalog
+
+    monkeypatch.setattr(catalog.files, "shared_dir", lambda _: str(tmp_path))
+    sf = "/root/testdata/sf0.001"
+    ids = {r.id for r in catalog.queries()["stream_fifo_dedup"](spark, sf).collect()}
+    assert ids == {r.id for r in catalog.Tables(spark, sf).lake.select("id").distinct().collect()}
+    written = len(list((tmp_path / "ids").glob("part-*.parquet")))
+    assert written >= 8 and len([p for p in (tmp_path / "checkpoint" / "offsets").iterdir() if p.name.isdigit()]) >= written
