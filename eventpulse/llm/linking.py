@@ -1,10 +1,10 @@
 """Linking what meets in lists: which members of inverted lists are as similar as asked, as connected components, without all pairs of a list.
 
 A list's pairs are looked at in stars: a few members are centres, and each is compared with the members of the list that aren't in its component yet. After a round the components
-are put together, and lists whose members are all in one component are done. Before their sets are fetched, pairs are
-sifted by odd sketches, which bound from below in how many elements two sets differ. A centre whose star has been looked at leaves the list, since all its pairs there are known. In the first
-round a list has one centre, its least member by hash, so lists that hold the same texts share their centre and a pair is checked once. In later rounds only members outside the list's largest component become centres, ``_MORE`` times as
-many as in the round before: once all of them have been, every pair of the list is either checked or inside a component. No link between different texts is lost, whatever the lists, and a list whose members
+are put together, and lists whose members are all in one component are done. What a pair's sketches rule out is refused in the join that would make the pair; only the rest become rows, and their
+sets are fetched, once for a pair. In the first
+round a list has one centre, its least member by hash, so lists that hold the same texts share their centre and a pair is checked once. In later rounds only members outside the list's largest component become centres: ``_FEW``
+of them, then all that are left. Then every pair of the list is either refused, checked or inside a component. No link between different texts is lost, whatever the lists, and a list whose members
 link costs about as many checks as it has members.
 
 Lists may come in tiers, the most promising first: of those but the last only the first stars are looked at, which puts most of a group together before the longer lists are opened.
@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 from .components import connected_components
-from .shingles import CELLS
 
-_STAR, _MORE = 512, 8
+_STAR, _FEW = 512, 16
 
 
 def _order(node: str = "node") -> Column:
@@ -59,50 +58,43 @@ def checked_on_sets(pairs: DataFrame, sets: DataFrame, alike: Callable[[int, int
     return both.select("u", "v", "hashes").mapInArrow(check, "u long, v long")
 
 
-def sifted(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose odd sketches leave room for the similarity: sets as alike differ in at most (100 - percent) / (100 + percent) of their sizes. Refuses no link.
-
-    ``sets``: (node, n, odd); what is fetched for a pair is 128 bytes a set.
-    """
-    of = lambda k: sets.select(F.col("node").alias(k), F.col("n").alias(f"{k}_n"), F.col("odd").alias(f"{k}_odd"))
-    differ = sum((F.bit_count(F.col("u_odd")[i].bitwiseXOR(F.col("v_odd")[i])) for i in range(CELLS // 64)), F.lit(0))
-    met = pairs.join(of("u"), "u").join(of("v"), "v")
-    return met.where((100 + percent) * differ <= (100 - percent) * (F.col("u_n") + F.col("v_n"))).select("u", "v")
-
-
-def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame], more: Sequence[str] = (), can: Callable[[str, str], Column] | None = None, sift: Callable[[DataFrame], DataFrame] | None = None, told: dict | None = None) -> DataFrame:
+def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame], more: Sequence[str] = (), can: Callable[[str, str], Column] | None = None, told: dict | None = None) -> DataFrame:
     """(u, v) for every node that isn't the smallest of its component: v is that smallest node.
 
     ``tiers``: rows (key, node, *more), node a long. ``check`` keeps those of pairs (u, v) that are links. ``can(a, b)`` tells from the columns of ``more``, with the prefixes
-    a and b, whether a pair may be a link, and ``sift`` keeps of pairs those that may be; neither must refuse one. ``told`` is given the numbers of checked pairs and of rounds.
+    a and b, whether a pair may be a link; it must refuse none. ``told`` is given the numbers of checked pairs and of rounds.
     """
     spark = tiers[0].sparkSession
     roots = spark.createDataFrame([], "u long, v long")
     tested: DataFrame | None = None
     n_checked = n_rounds = 0
     for nth, lists in enumerate(tiers):
-        last, centres_a_list, state = nth == len(tiers) - 1, 1, lists
+        last, stars, state = nth == len(tiers) - 1, 1, lists
         while True:
             members = state.join(roots.select(F.col("u").alias("node"), F.col("v").alias("_root")), "node", "left").select("key", "node", *more, F.coalesce("_root", "node").alias("root"))
-            tally = members.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("big"), F.count("*").alias("roots"))
-            members = materialize(members.join(tally.where("roots > 1").select("key", "big"), "key"), "link-members")
+            if stars == 1:
+                open_lists = members.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a <> _b").select("key", F.col("_a").alias("big"))
+            else:
+                tally = members.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("big"), F.count("*").alias("roots"))
+                open_lists = tally.where("roots > 1").select("key", "big")
+            members = materialize(members.join(open_lists, "key"), "link-members")
             if members.isEmpty():
                 break
             n_rounds += 1
             mine = ["node", "root", *more]
-            if centres_a_list == 1:
+            if stars == 1:
                 centres = members.groupBy("key").agg(F.min_by(F.struct(*mine), _order()).alias("c")).select("key", *(F.col(f"c.{c}").alias(f"c_{c}") for c in mine))
             else:
-                order = F.row_number().over(Window.partitionBy("key").orderBy(_order()))
-                centres = members.where("root <> big").withColumn("_nth", order).where(F.col("_nth") <= centres_a_list).select("key", *(F.col(c).alias(f"c_{c}") for c in mine))
+                centres = members.where("root <> big")
+                if stars:
+                    centres = centres.withColumn("_nth", F.row_number().over(Window.partitionBy("key").orderBy(_order()))).where(F.col("_nth") <= stars)
+                centres = centres.select("key", *(F.col(c).alias(f"c_{c}") for c in mine))
             centres = materialize(centres, "link-centres")
             met = members.join(centres, "key").where(F.col("root") != F.col("c_root"))
             if can:
                 met = met.where(can("c_", ""))
             turned = _order("node") < _order("c_node")  # the centre of a pair is the lesser of the two, so that lists agree on it
             pairs = met.select(F.when(turned, F.col("node")).otherwise(F.col("c_node")).alias("u"), F.when(turned, F.col("c_node")).otherwise(F.col("node")).alias("v")).distinct()
-            # A pair that the sift refuses may be met again, and is refused again; what is checked is checked once.
-            pairs = sift(pairs) if sift else pairs
             pairs = materialize(pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti"), "link-pairs")
             tested = pairs if tested is None else tested.union(pairs)
             n_checked += pairs.count() if told is not None else 0
@@ -110,10 +102,9 @@ def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame],
                 found = materialize(check(pairs), "link-found")
                 if not found.isEmpty():
                     roots = connected_components(roots.union(found), "link-roots")
-            if not last:
+            if not last or not stars:
                 break
-            used = centres.select("key", F.col("c_node").alias("node"))
-            state, centres_a_list = members.select("key", "node", *more).join(used, ["key", "node"], "left_anti"), _MORE * centres_a_list
+            state, stars = members.select("key", "node", *more), _FEW if stars == 1 else 0
     if told is not None:
         told |= {"checked": n_checked, "rounds": n_rounds}
     return roots

@@ -5,8 +5,9 @@ any two sketches agree in a bin with the probability of their sets' Jaccard simi
 meet in a bucket. At a similarity of 0.8 a pair fails to meet with probability (1 - 0.8^7)^73 = 3e-8, less above; at 0.5 it meets in half a bucket on average.
 
 Buckets of 14 rows, made of neighbouring bands, come first: what meets there is most likely alike. Within a bucket candidate edges are stars (``linking``); each edge is checked on the full sets, and edges that fail are followed by
-further stars until every pair of the bucket is checked or connected otherwise, so no link that meets in a bucket is lost. Equal sets are one node, so copies never meet in pairs. One bit of each bin, drawn by the bin, and
-the sizes of the sets rule out pairs before their sets are fetched: at 0.8 a pair differs in 51.2 of 512 bits on average, and is refused above 91 (six standard deviations).
+further stars until every pair of the bucket is checked or connected otherwise, so no link that meets in a bucket is lost. Equal sets are one node, so copies never meet in pairs. One bit of each bin, drawn by the bin, the
+sizes of the sets and their odd sketches rule out pairs as lists are joined: at 0.8 a pair differs in 51.2 of 512 bits on average, and is refused above 91 (six standard deviations); an odd sketch
+bounds from below in how many elements two sets differ, which is sharp for sets of a few hundred.
 
 Defined results: fewer words than a shingle has make one shingle. Null text and text without words have an empty set, which links with nothing: the document is its own component. A row without id takes the component of
 rows with its set, or null, isn't kept, and links no others. Repeated rows share a set. Extra columns are ignored. An empty table gives no rows. Sets are of 64-bit hashes of shingles.
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import linking
 from .common import materialize, table
-from .shingles import sets_of, shingles_of, slices, text_key, words_of
+from .shingles import odd_allows, odd_sketch, sets_of, shingles_of, slices, text_key, words_of
 
 SHINGLE, PERCENT = 2, 80
 BINS, ROWS = 512, 7
@@ -86,24 +87,25 @@ def bits_allow(a: str, b: str, similarity: float) -> Column:
 
 
 def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, text_key, n, a, b, bits, bands) for every row: n counts the set, a and b are its digest, bands are the keys of its buckets."""
+    """(doc_id, text_key, n, a, b, bits, odd, bands) for every row: n counts the set, a and b are its digest, odd is its odd sketch, bands are the keys of its buckets."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(parts):
-            n, digests, bits, bands = [], [], [], []
+            n, digests, bits, odd, bands = [], [], [], [], []
             for text in part.column(1):
                 hashes = shingles_of(words_of(text.as_py()), shingle)
                 n.append(len(hashes))
                 digests.append(np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64))
                 sketch = sketch_of(hashes) if len(hashes) else None
                 bits.append(bits_of(sketch).view(np.int64) if len(hashes) else np.zeros(BINS // 64, np.int64))
+                odd.append(odd_sketch(hashes))
                 bands.append(bands_of(sketch).view(np.int64) if len(hashes) else np.empty(0, np.int64))
             digests = np.array(digests).reshape(-1, 2)
-            columns = {"n": pa.array(n, pa.int64()), "a": pa.array(digests[:, 0]), "b": pa.array(digests[:, 1]), "bits": pa.array(bits, pa.list_(pa.int64())), "bands": pa.array(bands, pa.list_(pa.int64()))}
+            columns = {"n": pa.array(n, pa.int64()), "a": pa.array(digests[:, 0]), "b": pa.array(digests[:, 1]), "bits": pa.array(bits, pa.list_(pa.int64())), "odd": pa.array(odd, pa.list_(pa.int64())), "bands": pa.array(bands, pa.list_(pa.int64()))}
             yield pa.record_batch({"doc_id": part.column(0), "text_key": part.column(2), **columns})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"), text_key(text_col).alias("text_key"))
-    return rows.mapInArrow(batches, "doc_id long, text_key long, n long, a long, b long, bits array<long>, bands array<long>")
+    return rows.mapInArrow(batches, "doc_id long, text_key long, n long, a long, b long, bits array<long>, odd array<long>, bands array<long>")
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT, told: dict | None = None) -> DataFrame:
@@ -111,12 +113,12 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not 80 <= percent <= 100:
         raise ValueError(f"bands of {ROWS} rows are made for similarities of 80 to 100 percent, not {percent}")
     own = materialize(profiles(docs, id_col, text_col, shingle), "minhash-profiles")
-    first = own.where("n > 0 and doc_id is not null").groupBy("a", "b").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), *(F.first(c).alias(c) for c in ("n", "bits", "bands")))
-    nodes = materialize(first.select("a", "b", F.col("least.doc_id").alias("node"), F.col("least.text_key").alias("text_key"), "n", "bits", "bands"), "minhash-nodes")
+    first = own.where("n > 0 and doc_id is not null").groupBy("a", "b").agg(F.min(F.struct("doc_id", "text_key")).alias("least"), *(F.first(c).alias(c) for c in ("n", "bits", "odd", "bands")))
+    nodes = materialize(first.select("a", "b", F.col("least.doc_id").alias("node"), F.col("least.text_key").alias("text_key"), "n", "bits", "odd", "bands"), "minhash-nodes")
     lists = materialize(linking.several(nodes.select(F.explode("bands").alias("key"), "node")), "minhash-lists")
     met = materialize(lists.select("node").distinct(), "minhash-met")
     info = nodes.join(met, "node", "left_semi")
-    more = ("n", "bits")
+    more = ("n", "bits", "odd")
 
     def wider(times: int) -> DataFrame:
         """Buckets of so many neighbouring bands."""
@@ -128,12 +130,12 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def can(a: str, b: str) -> Column:
         n, m = F.col(f"{a}n"), F.col(f"{b}n")
-        return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & bits_allow(f"{a}bits", f"{b}bits", percent / 100)
+        return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & bits_allow(f"{a}bits", f"{b}bits", percent / 100) & odd_allows(a, b, percent)
 
     def alike(common: int, n: int, m: int) -> bool:
         return 100 * common >= percent * (n + m - common)
 
-    roots = linking.linked(tiers, lambda pairs: linking.checked_on_sets(pairs, sets, alike), more, can, lambda pairs: linking.sifted(pairs, sets, percent), told)
+    roots = linking.linked(tiers, lambda pairs: linking.checked_on_sets(pairs, sets, alike), more, can, told)
     of = nodes.join(roots, nodes["node"] == roots["u"], "left").select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.coalesce("v", "node").alias("root"))
     out = own.join(of, (own["a"] == of["_a"]) & (own["b"] == of["_b"]) & (own["n"] > 0), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("root")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -51,15 +51,32 @@ def slices(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield whole.slice(k, _ROWS)
 
 
+def odd_allows(a: str, b: str, percent: int) -> Column:
+    """Whether two odd sketches leave room for the similarity: sets as alike differ in at most (100 - percent) / (100 + percent) of their sizes. Refuses no link.
+
+    ``a`` and ``b`` are the prefixes of columns ``n`` and ``odd``.
+    """
+    differ = sum((F.bit_count(F.col(f"{a}odd")[i].bitwiseXOR(F.col(f"{b}odd")[i])) for i in range(CELLS // 64)), F.lit(0))
+    return (100 + percent) * differ <= (100 - percent) * (F.col(f"{a}n") + F.col(f"{b}n"))
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(node, n, odd, hashes) of the wanted (node, doc_id, text_key): size, odd sketch, and the hashes as bytes. Rows may be repeated, and an id may be null."""
+    """(node, hashes) of the wanted (node, doc_id, text_key): the hashes as bytes. Rows may be repeated, and an id may be null.
+
+    Repeated rows come one after the other from the join, and one of them is given; where adaptive execution splits them over tasks, a node may be given again.
+    """
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for part in slices(parts):
-            sets = [shingles_of(words_of(t.as_py()), shingle) for t in part.column(1)]
-            odd = pa.array([odd_sketch(x) for x in sets], pa.list_(pa.int64()))
-            yield pa.record_batch({"node": part.column(0), "n": pa.array([len(x) for x in sets], pa.int64()), "odd": odd, "hashes": pa.array([x.tobytes() for x in sets], pa.binary())})
+            nodes, sets = [], []
+            for node, text in zip(part.column(0).to_pylist(), part.column(1)):
+                if node != last:
+                    nodes.append(node)
+                    sets.append(shingles_of(words_of(text.as_py()), shingle).tobytes())
+                last = node
+            yield pa.record_batch({"node": pa.array(nodes, pa.int64()), "hashes": pa.array(sets, pa.binary())})
 
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), text_key(text_col).alias("_key"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    met = texts.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key"))).select("node", "text").mapInArrow(batches, "node long, n long, odd array<long>, hashes binary")
-    return met.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "odd", "hashes")))
+    met = texts.join(wanted, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("text_key"))).select("node", "text")
+    return met.mapInArrow(batches, "node long, hashes binary")

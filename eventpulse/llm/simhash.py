@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ASCII_LOWER, materialize, table
-from .components import connected_components
+from .components import connected_components, forest
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 3
 MIN_SHARED = 8 - MAX_BITS
@@ -92,24 +92,11 @@ def _links(x: np.ndarray, max_bits: int) -> np.ndarray:
     return keep
 
 
-def forest(a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (positions a, b) reduced to one link of each node to the smallest id of its group here."""
-    order = np.argsort(ids, kind="stable")
-    rank = np.empty(len(ids), np.int64)
-    rank[order] = np.arange(len(ids))
-    x, y, label = rank[a], rank[b], np.arange(len(ids))
-    while len(x):
-        low = np.minimum(label[x], label[y])
-        before = label.copy()
-        np.minimum.at(label, label[x], low)
-        np.minimum.at(label, label[y], low)
-        np.minimum.at(label, x, low)
-        np.minimum.at(label, y, low)
-        label = label[label]
-        if np.array_equal(before, label) and np.array_equal(label[x], label[y]):
-            break
-    moved = np.flatnonzero(label != np.arange(len(ids)))
-    return ids[order[moved]], ids[order[label[moved]]]
+def links(a: Column, b: Column, max_bits: int = MAX_BITS) -> Column:
+    """The same for two columns of fingerprints: the tally of shared positional bytes, then the bits."""
+    x = a.bitwiseXOR(b)
+    shared = sum((F.when(x.bitwiseAND(F.lit(_mask((k,)))) == 0, 1).otherwise(0) for k in range(8)), F.lit(0))
+    return (shared >= MIN_SHARED) & (F.bit_count(x) <= max_bits)
 
 
 def _pairs_of(starts: np.ndarray, sizes: np.ndarray, fps: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

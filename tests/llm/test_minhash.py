@@ -116,3 +116,13 @@ def test_stars_lose_no_link_of_a_list(spark):
 def test_other_similarities_are_refused(spark):
     with pytest.raises(ValueError, match="80 to 100"):
         found(spark, {1: "a b"}, percent=50)
+
+
+def test_pairs_that_cannot_link_are_refused_in_the_join(spark):
+    """Of a group in which no two texts link, hardly a pair becomes a row to check, and all that link are found in few rounds."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    texts = {k: edited(rng, base, 9) for k in range(150)} | {200 + k: edited(rng, base, 1) for k in range(50)}
+    told = {}
+    assert found(spark, texts, told=told) == brute(texts)
+    assert told["checked"] < 200 * 199 / 8 and told["rounds"] <= 4

@@ -87,3 +87,11 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (None, 3)]
     got = {r.u: r.v for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 60)}
+
+
+def test_components_put_together_from_chunks(spark, monkeypatch):
+    from eventpulse.llm import components as K
+
+    monkeypatch.setattr(K, "CHUNK", 7)
+    links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)]
+    assert {r.u: r.v for r in connected_components(spark.createDataFrame(links, "u long, v long")).collect()} == {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 60)}
