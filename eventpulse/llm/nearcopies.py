@@ -26,13 +26,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import linking
+from . import linking, simhash
 from .common import materialize
 from .minhash import BANDS, bands_of, bits_allow, bits_of, sketch_of
-from .shingles import SEED, sets_of, shingles_of, slices, text_key, words_of
+from .shingles import SEED, odd_allows, odd_sketch, sets_of, shingles_of, slices, text_key, words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
 BUCKETS, STEPS = 1 << 22, 8
+_BLOCK = 1 << 16
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -58,17 +59,26 @@ def frequencies(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE)
     """A level for each hash bucket of shingles: 0, or the binary logarithm, in steps of 1 / ``STEPS``, of how many times the mean its count is."""
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.uint32)
+        counts = np.zeros(BUCKETS, np.int64)
         for part in parts:
             for text in part.column(0):
                 np.add.at(counts, shingles_of(words_of(text.as_py()), shingle) % np.uint64(BUCKETS), 1)
-        some = np.flatnonzero(counts)
-        for k in range(0, len(some), 1 << 16):
-            own = some[k : k + (1 << 16)]
-            yield pa.record_batch({"bucket": pa.array(own.astype(np.int32)), "n": pa.array(counts[own].astype(np.int64))})
+        for k, own in enumerate(counts.reshape(-1, _BLOCK)):
+            if own.any():  # a task's counts are mostly small: as bytes they take a byte a bucket
+                yield pa.record_batch({"block": pa.array([k], pa.int32()), "counts": pa.array([own.astype(np.min_scalar_type(int(own.max()))).tobytes()], pa.binary())})
 
-    sums = docs.select(F.col(text_col).cast("string").cast("binary").alias("text")).mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    sums = materialize(sums, "near-counts")
+    def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for part in parts:
+            for k, data in zip(part.column(0).to_pylist(), part.column(1)):
+                own = np.frombuffer(data.as_buffer(), f"u{len(data.as_buffer()) // _BLOCK}")
+                sums[k] = sums.get(k, 0) + own.astype(np.int64)
+        for k, own in sums.items():
+            some = np.flatnonzero(own)
+            yield pa.record_batch({"bucket": pa.array((k * _BLOCK + some).astype(np.int32)), "n": pa.array(own[some])})
+
+    rows = docs.select(F.col(text_col).cast("string").cast("binary").alias("text")).mapInArrow(count, "block int, counts binary")
+    sums = materialize(rows.repartition("block").mapInArrow(add, "bucket int, n long"), "near-counts")
     mean = max(1.0, (sums.agg(F.sum("n")).first()[0] or 0) / BUCKETS)
     level = F.least(F.floor(STEPS * F.log2(F.col("n") / mean)), F.lit(255)).cast("short")
     often = sums.select("bucket", level.alias("level")).where("level > 0").toArrow()
@@ -77,26 +87,47 @@ def frequencies(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE)
     return levels
 
 
+def _word_hash(words: list[bytes]) -> int:
+    return xxhash.xxh64_intdigest(b" ".join(words), SEED) - (1 << 63)
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"), text_key(text_col).alias("text_key"))
+
+
+def word_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_key, node) for every row: node is a hash of the text's words."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            yield pa.record_batch({"doc_id": part.column(0), "text_key": part.column(2), "node": pa.array((_word_hash(words_of(t.as_py())) for t in part.column(1)), pa.int64())})
+
+    return _texts(docs, id_col, text_col).mapInArrow(batches, "doc_id long, text_key long, node long")
+
+
 def profiles(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, text_key, node, n, keys, wide, bits) for every row: node is a hash of the text's words, n counts its distinct shingles, keys are those to post, wide the buckets of its sketch, bits one bit for each of its bins."""
+    """(doc_id, text_key, node, n, fp, keys, wide, bits, odd) for every row: node is a hash of the text's words, n counts its distinct shingles, fp is operator 9's fingerprint, keys are those to post, wide the buckets of its sketch, bits one bit for each of its bins, odd its odd sketch."""
     levels = docs.sparkSession.sparkContext.broadcast(frequencies(docs, text_col, shingle))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = pa.list_(pa.int64())
         for part in slices(parts):
-            node, n, keys, wide, bits = [], [], [], [], []
+            node, n, fp, keys, wide, bits, odd = [], [], [], [], [], [], []
             for text in part.column(1):
-                words = words_of(text.as_py())
+                text = text.as_py()
+                words = words_of(text)
                 hashes = shingles_of(words, shingle)
-                node.append(xxhash.xxh64_intdigest(b" ".join(words), SEED) - (1 << 63))
+                node.append(_word_hash(words))
                 n.append(len(hashes))
+                fp.append(simhash.fingerprint_of(text))
                 keys.append(prefix_of(hashes, levels.value, similarity).view(np.int64))
                 sketch = sketch_of(hashes) if len(hashes) else None
                 wide.append(np.empty(0, np.int64) if sketch is None else wide_of(sketch).view(np.int64))
                 bits.append(np.empty(0, np.int64) if sketch is None else bits_of(sketch).view(np.int64))
-            yield pa.record_batch({"doc_id": part.column(0), "text_key": part.column(2), "node": pa.array(node, pa.int64()), "n": pa.array(n, pa.int64()), "keys": pa.array(keys, pa.list_(pa.int64())), "wide": pa.array(wide, pa.list_(pa.int64())), "bits": pa.array(bits, pa.list_(pa.int64()))})
+                odd.append(odd_sketch(hashes))
+            yield pa.record_batch({"doc_id": part.column(0), "text_key": part.column(2), "node": pa.array(node, pa.int64()), "n": pa.array(n, pa.int64()), "fp": pa.array(fp, pa.int64()), "keys": pa.array(keys, longs), "wide": pa.array(wide, longs), "bits": pa.array(bits, longs), "odd": pa.array(odd, longs)})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text"), text_key(text_col).alias("text_key"))
-    return rows.mapInArrow(batches, "doc_id long, text_key long, node long, n long, keys array<long>, wide array<long>, bits array<long>")
+    return _texts(docs, id_col, text_col).mapInArrow(batches, "doc_id long, text_key long, node long, n long, fp long, keys array<long>, wide array<long>, bits array<long>, odd array<long>")
 
 
 def _can(similarity: float, n: str = "n", at: str = "at", m: str = "m", to: str = "to") -> Column:
@@ -109,18 +140,27 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row (doc_id, text_key, root) per document; documents of one root are linked by pairs at or over the similarity. ``told`` is given what it took."""
     if not 0.5 < similarity <= 1:
         raise ValueError(f"lists grow long at similarities as low as {similarity}")
-    own = materialize(profiles(docs, id_col, text_col, shingle, similarity), "near-profiles")
-    distinct = own.groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), *(F.first(c).alias(c) for c in ("n", "keys", "wide", "bits")))
+    own = materialize(word_keys(docs, id_col, text_col), "near-words")
+    few = ("n", "fp", "keys", "wide", "bits", "odd")
+    distinct = profiles(docs, id_col, text_col, shingle, similarity).groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), *(F.first(c).alias(c) for c in few))
     distinct = materialize(distinct, "near-distinct")
     lists = materialize(linking.several(distinct.select(F.posexplode("keys").alias("at", "key"), "node", "n")), "near-lists")
-    # Texts without a word have no list; the wide buckets are of texts that a list has.
+    # Texts without a word have no list; the fingerprints and wide buckets are of texts that a list has.
     info = distinct.join(materialize(lists.select("node").distinct(), "near-met"), "node", "left_semi")
-    wide = materialize(linking.several(info.select(F.explode("wide").alias("key"), "node", "n", "bits").withColumn("at", F.lit(0))), "near-wide")
+    more = ("n", "at", "fp", "bits", "odd")
+    prints = simhash.index(info.groupBy("fp").agg(F.min("node").alias("first"))).select(F.xxhash64("combo", "key").alias("key"), "fp")
+    prints = prints.join(info.select("fp", "node", "n", "bits", "odd", F.lit(0).alias("at")), "fp")
+    first = materialize(linking.several(prints.select("key", "node", *more)), "near-prints")
+    wide = materialize(linking.several(info.select(F.explode("wide").alias("key"), "node", "n", "bits", "odd", F.lit(0).alias("at"), F.lit(None).cast("long").alias("fp"))), "near-wide")
     sets = materialize(sets_of(docs, info.select("node", "rep.doc_id", "rep.text_key"), id_col, text_col, shingle), "near-sets")
+    tiers = [first, wide, lists.join(info.select("node", "bits", "odd", F.lit(None).cast("long").alias("fp")), "node")]
+
+    def can(a: str, b: str) -> Column:
+        near = F.col(f"{a}fp").isNull() | simhash.links(F.col(f"{a}fp"), F.col(f"{b}fp"))  # only the fingerprints' lists have them
+        return _can(similarity, f"{a}n", f"{a}at", f"{b}n", f"{b}at") & near & bits_allow(f"{a}bits", f"{b}bits", similarity) & odd_allows(a, b, int(100 * similarity + 1e-9))
 
-    can = lambda a, b: _can(similarity, f"{a}n", f"{a}at", f"{b}n", f"{b}at") & bits_allow(f"{a}bits", f"{b}bits", similarity)
     alike = lambda common, n, m: common >= (similarity - 1e-12) * (n + m - common)
-    roots = linking.linked([wide, lists.join(info.select("node", "bits"), "node")], lambda pairs: linking.checked_on_sets(pairs, sets, alike), ("n", "at", "bits"), can, lambda pairs: linking.sifted(pairs, sets, int(100 * similarity + 1e-9)), told)
+    roots = linking.linked(tiers, lambda pairs: linking.checked_on_sets(pairs, sets, alike), more, can, told)
     return own.join(roots.withColumnRenamed("u", "node"), "node", "left").select("doc_id", "text_key", F.coalesce("v", "node").alias("root"))
 
 

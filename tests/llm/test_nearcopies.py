@@ -121,3 +121,14 @@ def test_a_group_some_edits_from_one_base_costs_about_its_size(spark, n):
     roots = {r.root for r in W.components(docs, told=told).collect()}
     assert len(roots) == len(components(dict(enumerate(texts))))
     assert told["checked"] < 4 * n * math.log2(n)
+
+
+def test_the_fingerprints_lists_come_first(spark):
+    """Texts within 3 bits are linked by operator 9's index, and the stage's other lists find what is left."""
+    base = [f"w{i}" for i in range(400)]
+    texts = [(k, " ".join(base[:k] + [f"e{k}"] + base[k + 1 :])) for k in range(12)]
+    prints = [W.simhash.fingerprint_of(t.encode()) for _, t in texts]
+    rows = spark.createDataFrame([(a, b) for a in prints for b in prints], "a long, b long")
+    assert [r.ok for r in rows.select(W.simhash.links(F.col("a"), F.col("b")).alias("ok")).collect()] == [((a ^ b) % 2**64).bit_count() <= 3 for a in prints for b in prints]
+    own = {r.doc_id: r.fp for r in W.profiles(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert own == dict(enumerate(prints))
