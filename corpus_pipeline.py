@@ -17,7 +17,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by Jaccard similarity of 0.8 on shingles of five words: that of the smallest id."""
+    """One document of each group linked by Jaccard similarity of 0.8 on shingles of five words: that of the smallest id. Fingerprints within 3 bits come first, shingle lists find the rest."""
     return nearcopies.keep_one(docs)
 
 

@@ -1,7 +1,8 @@
 """Near copies by similarity of texts: an inverted index over shingles of five words with position filtering, exact Jaccard checks, components.
 
 This is the wide mode of the near-duplicate operator: texts at Jaccard similarity 0.8 differ in about 10 bits of a 64-bit fingerprint, and no index of byte
-positions stays short at that radius, so what is posted is the shingles themselves, and what is counted is how many a pair can still share.
+positions stays short at that radius. So the operator's own lists come first, fingerprints by byte positions with the tally of shared bytes and the bit count, and for the
+pairs beyond 3 bits what is posted is the shingles themselves, and what is counted is how many a pair can still share.
 
 The distinct shingles of a text (its words, ASCII lower case) are put in one order for the whole corpus: the less frequent first. Two texts of n and m shingles at
 similarity t share at least a = t / (1 + t) * (n + m) of them, so the first shingle that they share stands among the first n - t * n + 1 of either: only these are
