@@ -109,7 +109,8 @@ class Store:
             within = F.lit(True) if first is None else F.col("day").between(F.lit(first), F.lit(last))
             new = new.join(held.where(within).select("event_id", "created_at"), ["event_id", "created_at"], "left_anti").select(*new.columns)
         stored = Observation()
-        new.observe(stored, F.count(F.lit(1)).alias("n")).repartition("day").write.mode("append").partitionBy("day").parquet(self.path)
+        # Counted after the exchange: adaptive execution drops what lies before one that turns out to be empty, and the observation with it.
+        new.repartition("day").observe(stored, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy("day").parquet(self.path)
         return stored.get.get("n", 0)
 
 

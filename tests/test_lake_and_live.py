@@ -182,6 +182,18 @@ def test_counters_are_observed_by_the_writes(spark, tmp_path):
     assert store.read().count() == 4 and spark.read.parquet(str(tmp_path / "d")).count() == 3
 
 
+def test_a_batch_delivered_again_counts_nothing_stored_without_broadcasts(spark, tmp_path):
+    """Where the store is too large for a broadcast, no row is left before the write's exchange; the counter is 0, not an error."""
+    batch = spark.createDataFrame([(None, bytearray(message(id=str(i)))) for i in range(6)], "key binary, value binary")
+    store, before = live.Store(spark, str(tmp_path / "s")), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        told = [live.consume_batch(batch, store, str(tmp_path / "d")) for _ in range(2)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert told == [Counter(consumed=6, stored=6), Counter(consumed=6)] and store.read().count() == 6
+
+
 def test_pages_split_and_sinks(spark, tmp_path):
     items = [message(id="9").decode()[len('{"v": 1, "captured_at": "2026-07-22T05:00:01Z", "event": ') : -1], '{"id": "1"}', '"text"']
     good, bad = live.split_page(spark.createDataFrame([(x,) for x in items], "value string"))
