@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import drop, materialize
 from .components import connected_components
 
 _STAR, _FEW = 512, 16
@@ -68,6 +68,7 @@ def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame],
     roots = spark.createDataFrame([], "u long, v long")
     tested: DataFrame | None = None
     n_checked = n_rounds = 0
+    spent: list[DataFrame] = []  # members and centres of the round before, which go once this round's members are written
     for nth, lists in enumerate(tiers):
         last, stars, state = nth == len(tiers) - 1, 1, lists
         while True:
@@ -78,6 +79,8 @@ def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame],
                 tally = members.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("big"), F.count("*").alias("roots"))
                 open_lists = tally.where("roots > 1").select("key", "big")
             members = materialize(members.join(open_lists, "key"), "link-members")
+            drop(*spent)
+            spent = [members]
             if members.isEmpty():
                 break
             n_rounds += 1
@@ -90,6 +93,7 @@ def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame],
                     centres = centres.withColumn("_nth", F.row_number().over(Window.partitionBy("key").orderBy(_order()))).where(F.col("_nth") <= stars)
                 centres = centres.select("key", *(F.col(c).alias(f"c_{c}") for c in mine))
             centres = materialize(centres, "link-centres")
+            spent.append(centres)
             met = members.join(centres, "key").where(F.col("root") != F.col("c_root"))
             if can:
                 met = met.where(can("c_", ""))
@@ -105,6 +109,7 @@ def linked(tiers: Sequence[DataFrame], check: Callable[[DataFrame], DataFrame],
             if not last or not stars:
                 break
             state, stars = members.select("key", "node", *more), _FEW if stars == 1 else 0
+    drop(*spent)
     if told is not None:
         told |= {"checked": n_checked, "rounds": n_rounds}
     return roots
@@ -114,3 +119,14 @@ def several(postings: DataFrame) -> DataFrame:
     """The postings of lists that more than one node is in."""
     counts = postings.groupBy("key").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).where("_a <> _b").select("key")
     return postings.join(counts, "key")
+
+
+def one_of_each(lists: DataFrame, at: str = "at") -> DataFrame:
+    """Of lists with the same members only the one in which they stand first: near copies share many shingles, and so many lists.
+
+    Places follow one order for all texts, so of two such lists one has the smaller place for every member, and what a place leaves room for in the other it leaves room for in this one: no pair is lost.
+    """
+    same = [F.count("*").alias("_size"), *(F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"_digest{k}") for k in range(2))]
+    each = lists.groupBy("key").agg(*same, F.sum(at).alias("_places"))
+    first = each.groupBy("_size", "_digest0", "_digest1").agg(F.min_by("key", F.struct("_places", "key")).alias("key"))
+    return lists.join(first.select("key"), "key", "left_semi")

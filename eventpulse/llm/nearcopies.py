@@ -11,7 +11,7 @@ by frequency keeps lists short: passages that many documents share stand at the
 buckets over all documents; one byte a bucket reaches the driver and the executors, whatever the corpus.
 
 Whatever meets is checked on the whole sets, in stars (``linking``): before the lists come buckets of a MinHash sketch, in which the most alike texts of a group meet, so that most of a group is together
-before its lists are opened. A group of copies is never compared pair by pair, no list is gathered into one task, and yet every pair that meets is either checked or already linked.
+before its lists are opened. Lists with the same members are one, sets are made for the texts of a round's pairs alone, and what a round wrote goes after the next. A group of copies is never compared pair by pair, no list is gathered into one task, and yet every pair that meets is either checked or already linked.
 
 Defined results: fewer than five words make one shingle. Texts without words are copies of each other and of nothing else. Rows without id take part
 and stay only where no row of the group has an id. Of rows equal in id and text, one stays, by a digest of all columns. Extra columns are kept by ``keep_one``. An empty table gives no rows.
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import linking, simhash
-from .common import materialize
+from .common import drop, materialize
 from .minhash import BANDS, bands_of, bits_allow, bits_of, sketch_of
 from .shingles import SEED, odd_allows, odd_sketch, sets_of, shingles_of, slices, text_key, words_of
 
@@ -145,7 +145,9 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     few = ("n", "fp", "keys", "wide", "bits", "odd")
     distinct = profiles(docs, id_col, text_col, shingle, similarity).groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), *(F.first(c).alias(c) for c in few))
     distinct = materialize(distinct, "near-distinct")
-    lists = materialize(linking.several(distinct.select(F.posexplode("keys").alias("at", "key"), "node", "n")), "near-lists")
+    met = materialize(linking.several(distinct.select(F.posexplode("keys").alias("at", "key"), "node", "n")), "near-lists")
+    lists = materialize(linking.one_of_each(met), "near-lists")
+    drop(met)
     # Texts without a word have no list; the fingerprints and wide buckets are of texts that a list has.
     info = distinct.join(materialize(lists.select("node").distinct(), "near-met"), "node", "left_semi")
     more = ("n", "at", "fp", "bits", "odd")
@@ -153,7 +155,6 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     prints = prints.join(info.select("fp", "node", "n", "bits", "odd", F.lit(0).alias("at")), "fp")
     first = materialize(linking.several(prints.select("key", "node", *more)), "near-prints")
     wide = materialize(linking.several(info.select(F.explode("wide").alias("key"), "node", "n", "bits", "odd", F.lit(0).alias("at"), F.lit(None).cast("long").alias("fp"))), "near-wide")
-    sets = materialize(sets_of(docs, info.select("node", "rep.doc_id", "rep.text_key"), id_col, text_col, shingle), "near-sets")
     tiers = [first, wide, lists.join(info.select("node", "bits", "odd", F.lit(None).cast("long").alias("fp")), "node")]
 
     def can(a: str, b: str) -> Column:
@@ -161,7 +162,17 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return _can(similarity, f"{a}n", f"{a}at", f"{b}n", f"{b}at") & near & bits_allow(f"{a}bits", f"{b}bits", similarity) & odd_allows(a, b, int(100 * similarity + 1e-9))
 
     alike = lambda common, n, m: common >= (similarity - 1e-12) * (n + m - common)
-    roots = linking.linked(tiers, lambda pairs: linking.checked_on_sets(pairs, sets, alike), more, can, told)
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        """The pairs that are links. Sets are made for the texts of these pairs alone, since most texts that meet others are in none."""
+        some = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
+        wanted = materialize(info.join(some, "node", "left_semi").select("node", "rep.doc_id", "rep.text_key"), "near-wanted")  # of known size: while they are few, no text is shuffled
+        sets = materialize(sets_of(docs, wanted, id_col, text_col, shingle).dropDuplicates(["node"]), "near-sets")
+        found = materialize(linking.checked_on_sets(pairs, sets, alike), "near-found")
+        drop(wanted, sets)
+        return found
+
+    roots = linking.linked(tiers, checked, more, can, told)
     return own.join(roots.withColumnRenamed("u", "node"), "node", "left").select("doc_id", "text_key", F.coalesce("v", "node").alias("root"))
 
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
+from eventpulse.llm import linking as L
 from eventpulse.llm import nearcopies as W
 from eventpulse.llm import shingles as S
 
@@ -132,3 +133,17 @@ def test_the_fingerprints_lists_come_first(spark):
     assert [r.ok for r in rows.select(W.simhash.links(F.col("a"), F.col("b")).alias("ok")).collect()] == [((a ^ b) % 2**64).bit_count() <= 3 for a in prints for b in prints]
     own = {r.doc_id: r.fp for r in W.profiles(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
     assert own == dict(enumerate(prints))
+
+
+def test_lists_of_the_same_members_are_one_and_sets_are_of_pairs_alone(spark, monkeypatch):
+    rows = [(1, n, at) for n, at in ((7, 3), (8, 4))] + [(2, n, at) for n, at in ((7, 1), (8, 2))] + [(3, n, at) for n, at in ((7, 5), (8, 6), (9, 0))]
+    lists = spark.createDataFrame(rows, "key long, node long, at int")
+    assert {r.key for r in L.one_of_each(lists).collect()} == {2, 3}
+    texts = [" ".join([f"s{k // 2}p{i}" for i in range(6)] + [f"d{k}w{i}" for i in range(9)]) for k in range(60)]  # every two share a passage and are far from alike
+    base = [f"w{i}" for i in range(60)]
+    texts += [" ".join(base), " ".join(base[:-1] + ["end"])]
+    docs, told, wanted, made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), {}, [], W.sets_of
+    monkeypatch.setattr(W, "sets_of", lambda docs, some, *more: (wanted.append(some.count()), made(docs, some, *more))[1])
+    roots = {r.root for r in W.components(docs, told=told).collect()}
+    assert len(roots) == len(components(dict(enumerate(texts)))) == 61
+    assert sum(wanted) <= 2 * told["checked"] < 60
