@@ -11,12 +11,12 @@ forbids counts for no other category. A category that no target names, ``other``
 are in ``Mix.expected``; ``Mix.fits`` tells whether all marginals came within ``FIT`` of what could be asked (marginals can contradict each other; then the last ones raked, topics, fit best), and
 ``mixed`` logs a warning where they did not; ``Mix.short`` lists the categories that are off what was asked, which ``mixed`` logs too.
 
-Topics are clusters of texts within a language: spherical k-means over hashed words, weighted by their rarity, fitted on a bounded sample of
-distinct texts (``SAMPLE`` texts and ``SAMPLE_BYTES`` bytes, those of the least hashes) and named topic1 and on by size. Every whole text goes to the
+Topics are clusters of texts within a language: spherical k-means over hashed words, weighted by their rarity, and named topic1 and on by size. Rarity and centroids come from all texts, copies
+included, in at most ``PASSES`` passes over their hashed words; the passes start from centroids of a bounded sample of distinct texts (``SAMPLE`` texts and ``SAMPLE_BYTES`` bytes, those of the least hashes). Every whole text goes to the
 nearest centroid of its language. Any other topic expression can be given instead.
 
 A document is taken if a number in [0, 1) made from a digest of seed, id and text is below its cell's probability: the same
-documents at any partitioning, and nested samples for nested probabilities. Texts are read once more than the sample's pass; nothing but cell sums is shuffled.
+documents at any partitioning, and nested samples for nested probabilities. Texts are read twice more than the sample's pass; nothing but cell sums and clusters' sums is shuffled.
 
 Defined results: null source or language is ``other``; null text and text without words have no tokens, and topic ``other``, as have texts of a language without any in the sample. Null ids
 take part; equal rows are taken or left together. An empty table gives no rows. Cells without tokens have probability 1, but 0 where a weight is 0. ``sample`` returns all columns of the input
@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_LOWER, labelled_sample, local_rows, materialize, table
+from .common import ASCII_LOWER, drop, labelled_sample, local_rows, materialize, table
 
 log = logging.getLogger(__name__)
 OTHER, TOPIC_COUNT = "other", 4
@@ -48,6 +48,7 @@ TARGETS = (SOURCES, LANGS, TOPICS)
 SHARE, SEED = 0.5, "mix-1"
 TOLERANCE, MAX_ROUNDS, FIT, MOST = 1e-10, 2000, 1e-3, 1e12
 SAMPLE, SAMPLE_BYTES, WORD_ROWS, STEPS = 2000, 4 << 20, 1 << 12, 12
+PASSES, UNIT = 4, 1 << 20
 
 
 def word_rows(text: bytes | None, rows: int = WORD_ROWS) -> np.ndarray:
@@ -68,7 +69,7 @@ class TopicModel:
 
 
 def cluster(bags: list[np.ndarray], count: int, seed: int = 11, rows: int = WORD_ROWS) -> np.ndarray:
-    """Spherical k-means of bags of hashed words: rarity times centroid, by row and cluster, the greatest cluster first."""
+    """Spherical k-means of a few bags of hashed words: unit centers, that of the greatest cluster first."""
     counts = np.stack([np.bincount(b, minlength=rows) for b in bags]).astype(np.float32)
     rarity = np.log((1 + len(bags)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
     points = np.sqrt(counts) * rarity
@@ -84,18 +85,90 @@ def cluster(bags: list[np.ndarray], count: int, seed: int = 11, rows: int = WORD
         sums = np.stack([points[own == k].sum(axis=0) if (own == k).any() else centers[k] for k in range(len(centers))])
         centers = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
     sizes = np.bincount((points @ centers.T).argmax(axis=1), minlength=len(centers))
-    return (rarity[:, None] * centers[np.argsort(-sizes, kind="stable")].T).astype(np.float32)
+    return centers[np.argsort(-sizes, kind="stable")].astype(np.float32)
+
+
+def bags_of(named: DataFrame) -> DataFrame:
+    """(lang, bag) of (text, lang) for every text with words: its hashed words in order, two bytes each."""
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            found = [np.sort(word_rows(t.as_py())).astype(np.uint16).tobytes() for t in part.column(0)]
+            some = [i for i, f in enumerate(found) if f]
+            yield pa.record_batch({"lang": part.column(1).take(pa.array(some, pa.int64())), "bag": pa.array([found[i] for i in some], pa.binary())})
+
+    return named.select(F.col("text").cast("string").cast("binary").alias("text"), "lang").mapInArrow(batches, "lang string, bag binary")
+
+
+def tallies(bags: DataFrame, rarity: Mapping[str, np.ndarray] | None = None, centers: Mapping[str, np.ndarray] | None = None, rows: int = WORD_ROWS) -> dict[tuple[str, int], tuple[int, np.ndarray]]:
+    """Over all texts, for each language and nearest center: the number of texts and the sum of their unit vectors, in steps of 1 / ``UNIT``.
+
+    Without ``centers``: in how many texts of a language each row occurs. Sums are of whole numbers, so the order of tasks changes nothing.
+    """
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, int], np.ndarray] = {}
+        for part in parts:
+            langs = np.array(part.column(0).to_pylist(), object)
+            held = [np.frombuffer(b.as_buffer(), np.uint16) for b in part.column(1)]
+            for lang in sorted(set(langs) if centers is None else set(langs) & set(centers)):
+                own = [held[i] for i in np.flatnonzero(langs == lang)]
+                row, of = np.concatenate(own).astype(np.int64), np.repeat(np.arange(len(own)), [len(b) for b in own])
+                begins = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (of[1:] != of[:-1])])
+                times, row, of = np.diff(np.append(begins, len(row))), row[begins], of[begins]
+                units, nearest, k = np.ones(len(row)), np.zeros(len(own), np.int64), 1
+                if centers is not None:
+                    firsts, k = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]), len(centers[lang])
+                    value = np.sqrt(times) * rarity[lang][row]
+                    value /= np.sqrt(np.add.reduceat(value**2, firsts))[of]
+                    units = np.rint(value * UNIT)
+                    nearest = np.stack([np.add.reduceat(value * c[row], firsts) for c in centers[lang]], axis=1).argmax(axis=1)
+                sizes = np.bincount(nearest, minlength=k)
+                added = np.bincount(nearest[of] * rows + row, weights=units, minlength=k * rows).astype(np.int64).reshape(k, rows)
+                for j in np.flatnonzero(sizes).tolist():
+                    sums[lang, j] = sums.get((lang, j), 0) + np.append(sizes[j], added[j])
+        yield from told(sums)
+
+    def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, int], np.ndarray] = {}
+        for part in parts:
+            for lang, j, data in zip(*(c.to_pylist() for c in part.columns)):
+                sums[lang, j] = sums.get((lang, j), 0) + np.frombuffer(data, np.int64)
+        yield from told(sums)
+
+    def told(sums: dict[tuple[str, int], np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for (lang, j), own in sums.items():
+            yield pa.record_batch({"lang": pa.array([lang]), "center": pa.array([j], pa.int32()), "sums": pa.array([own.tobytes()], pa.binary())})
+
+    schema = "lang string, center int, sums binary"
+    got = bags.mapInArrow(count, schema).repartition("lang", "center").mapInArrow(add, schema).toArrow().to_pylist()  # a row for each center
+    return {(r["lang"], r["center"]): (int(own[0]), own[1:]) for r in got for own in [np.frombuffer(r["sums"], np.int64)]}
 
 
 def fit_topics(docs: DataFrame, langs: Mapping[str, float] = LANGS, count: int = TOPIC_COUNT, text_col: str = "text", lang_col: str = "lang") -> TopicModel:
-    """Cluster the words of a bounded sample, language by language; languages that no target names are one."""
-    bags: dict[str, list[np.ndarray]] = {}
+    """Cluster the words of all texts, language by language; languages that no target names are one. A bounded sample gives the first centers, and nothing else."""
+    seeds: dict[str, list[np.ndarray]] = {}
     named = docs.select(F.col(text_col).alias("text"), _named(F.col(lang_col).cast("string"), langs).alias("lang"))
     for text, lang in labelled_sample(named, F.lit(True), SAMPLE, SAMPLE_BYTES, salt="topic sample"):
         found = word_rows(text.encode("utf-8", "replace"))
         if len(found):
-            bags.setdefault(lang, []).append(found)
-    return TopicModel({lang: cluster(b, count) for lang, b in sorted(bags.items())})
+            seeds.setdefault(lang, []).append(found)
+    if not seeds:
+        return TopicModel({})
+    centers = {lang: cluster(b, count) for lang, b in sorted(seeds.items())}
+    bags = materialize(bags_of(named), "mix-bags")
+    rarity = {lang: np.log((1 + n) / (1 + often)) + 1 for (lang, _), (n, often) in tallies(bags).items()}
+    sizes: dict[str, list[int]] = {}
+    for _ in range(PASSES):
+        found = tallies(bags, rarity, centers)
+        sizes = {lang: [found[lang, k][0] if (lang, k) in found else 0 for k in range(len(c))] for lang, c in centers.items()}
+        moved = {lang: np.stack([found[lang, k][1] / np.linalg.norm(found[lang, k][1]) if (lang, k) in found else own for k, own in enumerate(c)]).astype(np.float32) for lang, c in centers.items()}
+        still = all(np.array_equal(moved[lang], c) for lang, c in centers.items())
+        centers = moved
+        if still:
+            break
+    drop(bags)
+    return TopicModel({lang: (rarity[lang][:, None] * c[np.argsort(-np.array(sizes[lang]), kind="stable")].T).astype(np.float32) for lang, c in centers.items()})
 
 
 @dataclass(frozen=True)

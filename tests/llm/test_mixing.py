@@ -110,6 +110,18 @@ def test_clusters_find_planted_topics(spark):
     assert model.predict(M.word_rows(b"sea1"), "xx") == "other" and model.predict(M.word_rows(None), "en") == "other"
 
 
+def test_clusters_are_of_all_texts_not_of_the_sample(spark, monkeypatch):
+    """A sample gives the first centers alone: rarity and centroids know words that it lacks, at any partitioning."""
+    monkeypatch.setattr(M, "SAMPLE", 4)
+    texts = [(i, f"own{i} and shared words of{i % 2}", "en") for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    model, again = M.fit_topics(docs), M.fit_topics(docs.repartition(7))
+    often = np.bincount(np.concatenate([np.unique(M.word_rows(t.encode())) for _, t, _ in texts]), minlength=M.WORD_ROWS)
+    assert ((model.weights["en"].sum(axis=1) > 0) == (often > 0)).all() and np.array_equal(model.weights["en"], again.weights["en"])
+    (n, counted), = M.tallies(M.bags_of(docs)).values()
+    assert n == 60 and np.array_equal(counted, often)
+
+
 @pytest.mark.parametrize("without_lang", [0, 3])
 def test_query(spark, without_lang, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
