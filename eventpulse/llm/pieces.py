@@ -20,8 +20,10 @@ or a normalization table are refused with ValueError.
 
 from __future__ import annotations
 
+import math
 import re
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
@@ -86,7 +88,8 @@ class PieceModel:
         lone = "".join(c for c in "\n\t\r\x0b\x0c" if c not in alphabet)
         inner = any(SPACE in p.lstrip(SPACE) for p in self.id)  # pieces that reach across words: units are whole texts
         self.units = re.compile("(?s).+" if inner else f"{SPACE}*[^{SPACE}{lone}]+|{SPACE}+" + (f"|[{lone}]" if lone else "")).findall
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.apart: dict[int, bool] = {}
+        self.states: dict[int, tuple[list[str], list[str], list[float]]] = {}
         self.seen: dict[str, bytes] = {}
 
     @classmethod
@@ -109,62 +112,114 @@ class PieceModel:
 
     def merged(self, text: str) -> list[str]:
         """What merging the best-scored pair again and again, leftmost first, leaves of a short text."""
-        parts, score = list(text), self.score.get
+        return self.merges(text)[-1][2]
+
+    def merges(self, text: str) -> list[tuple[str, str, list[str], float | None]]:
+        """The states of a short text as it is merged: first part, last part, all parts, and the score of the merge that comes next (None: none)."""
+        parts, score, states = list(text), self.score.get, []
         while True:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 s = score(parts[i] + parts[i + 1])
                 if s is not None and (best is None or s > best):
                     best, at = s, i
+            states.append((parts[0], parts[-1], parts[:], best))
             if at < 0:
-                return parts
+                return states
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def ends(self, piece: int) -> tuple[list[str], list[str], list[float]]:
+        """First parts, last parts and scores of the merges to come (the last: below any) of a piece's states; no states if merging makes something else of it."""
+        known = self.states.get(piece)
+        if known is None:
+            made = self.merges(self.pieces[piece][0])
+            whole = len(made[-1][2]) == 1
+            known = self.states[piece] = ([m[0] for m in made], [m[1] for m in made], [-math.inf if m[3] is None else m[3] for m in made]) if whole else ([], [], [])
+        return known
+
     def stay_apart(self, left: int, right: int) -> bool:
-        known = self.apart.get((left, right))
+        """Whether merging the two pieces' texts as one text leaves the two.
+
+        Until parts of both are merged, either side goes through the states that it has by itself, the better-scored merge first; so only the parts that touch are looked at in each.
+        """
+        known = self.apart.get(left * len(self.pieces) + right)
         if known is None:
-            a, b = self.pieces[left][0], self.pieces[right][0]
             if len(self.apart) >= REMEMBERED:
                 self.apart.clear()
-            known = self.apart[left, right] = self.merged(a + b) == [a, b]
+            known = self.apart[left * len(self.pieces) + right] = self._stay_apart(self.ends(left), self.ends(right))
         return known
 
+    def _stay_apart(self, a: tuple[list[str], list[str], list[float]], b: tuple[list[str], list[str], list[float]]) -> bool:
+        (_, last, next_a), (first, _, next_b), score = a, b, self.score.get
+        if not last or not first:
+            return False
+        i = j = 0
+        while True:
+            across, p, q = score(last[i] + first[j]), next_a[i], next_b[j]
+            if across is not None and across > p and across >= q:  # of equal scores the leftmost goes first
+                return False
+            if p >= q:
+                if p == -math.inf:
+                    return True
+                i += 1
+            else:
+                j += 1
+
     def segment(self, unit: str) -> list[int]:
         """Ids of one unit; -1 - code point stands for a character that is no piece."""
-        n, bpe = len(unit), self.kind == BPE
+        last, size = self._merged_prefixes(unit) if self.kind == BPE else self._best_prefixes(unit)
+        out, at = [], len(unit)
+        while at:
+            out.append(last[at] if last[at] >= 0 else -1 - ord(unit[at - 1]))
+            at -= size[at]
+        return out[::-1]
+
+    def _merged_prefixes(self, unit: str) -> tuple[list[int], list[int]]:
+        """The last piece of each prefix as merging leaves it, and its length; -1 and 1 where a character that is no piece ends it."""
+        last, size, known, many, done = [-1] * (len(unit) + 1), [1] * (len(unit) + 1), self.apart.get, len(self.pieces), -1
+        for end, (piece, length) in self.automaton.iter(unit):  # of the pieces that end at a place, the longest comes first
+            if end == done:
+                continue
+            start = end + 1 - length
+            if start and (before := last[start]) >= 0:
+                apart = known(before * many + piece)
+                if not (self.stay_apart(before, piece) if apart is None else apart):
+                    continue
+            last[end + 1], size[end + 1], done = piece, length, end
+        return last, size
+
+    def _best_prefixes(self, unit: str) -> tuple[list[int], list[int]]:
+        """The last piece of each prefix's best sum of scores, and its length; -1 and 1 for a character that is no piece."""
+        n = len(unit)
         last: list[int | None] = [None] * (n + 1)
         size, total = [1] * (n + 1), [0.0] * (n + 1)
-        place, found = 0, iter(self.automaton.iter(unit))
+        found = iter(self.automaton.iter(unit))
         here = next(found, None)
         for place in range(n):
             while here is not None and here[0] == place:
                 piece, length = here[1]
                 start, here = place + 1 - length, next(found, None)
-                if bpe:
-                    if last[place + 1] is None and (not start or last[start] < 0 or self.stay_apart(last[start], piece)):
-                        last[place + 1], size[place + 1] = piece, length
-                elif last[place + 1] is None or total[start] + self.pieces[piece][1] > total[place + 1]:
+                if last[place + 1] is None or total[start] + self.pieces[piece][1] > total[place + 1]:
                     last[place + 1], size[place + 1], total[place + 1] = piece, length, total[start] + self.pieces[piece][1]
             alone = total[place] + self.unknown_score
-            if last[place + 1] is None or not bpe and unit[place] not in self.id and alone > total[place + 1]:
-                last[place + 1], size[place + 1], total[place + 1] = -1 - ord(unit[place]), 1, alone
-        out, at = [], n
-        while at:
-            out.append(last[at])
-            at -= size[at]
-        return out[::-1]
+            if last[place + 1] is None or unit[place] not in self.id and alone > total[place + 1]:
+                last[place + 1], size[place + 1], total[place + 1] = -1, 1, alone
+        return last, size
 
     def ids_of(self, unit: str) -> bytes:
         """Ids of one unit as 32-bit numbers, characters that are no pieces resolved."""
+        parts = self.segment(unit)
+        if min(parts) >= 0:
+            return array("i", parts).tobytes()
         out: list[int] = []
-        for i in self.segment(unit):
+        for i in parts:
             if i >= 0:
                 out.append(i)
             elif self.byte:
                 out += [self.byte[b] for b in chr(-1 - i).encode("utf-8", "replace")]
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
-        return np.array(out, np.int32).tobytes()
+        return array("i", out).tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         if self.trim:

@@ -44,6 +44,33 @@ def test_documents_as_the_library(spark, model, library):
         assert got[d.doc_id].ids == library.encode(d.text) and got[d.doc_id].n_pieces == len(got[d.doc_id].ids) and got[d.doc_id].round_trip
 
 
+def test_pieces_stay_apart_as_merging_says(model):
+    """Real pairs, and pairs of small models full of equal scores."""
+    rng = random.Random(5)
+    pairs = {(a, b) for text in ("the inanthe onening. reatherent", "ing that ofontion ▁and") for _, (a, _) in model.automaton.iter(text) for _, (b, _) in model.automaton.iter(text)}
+    tried = [(model, a, b) for a, b in pairs]
+    for _ in range(300):
+        own = {"".join(rng.choice("ab") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(2, 12))}
+        small = P.PieceModel([(w, -float(rng.randint(1, 4)), P.NORMAL) for w in sorted(own)], P.BPE, dummy_prefix=False)
+        tried += [(small, a, b) for a in range(len(own)) for b in range(len(own))]
+    seen = set()
+    for m, a, b in tried:
+        left, right = m.pieces[a][0], m.pieces[b][0]
+        seen.add(m.stay_apart(a, b))
+        assert m.stay_apart(a, b) == (m.merged(left + right) == [left, right]), (left, right, m.pieces)
+    assert seen == {True, False}
+
+
+def test_a_piece_is_merged_once_whatever_it_stands_beside(model, monkeypatch):
+    fresh, calls, merges = P.PieceModel(model.pieces, model.kind), [], P.PieceModel.merges
+    monkeypatch.setattr(P.PieceModel, "merges", lambda self, text: calls.append(text) or merges(self, text))
+    monkeypatch.setattr(P.PieceModel, "merged", lambda self, text: calls.append(text) or merges(self, text)[-1][2])
+    rng = random.Random(6)
+    for _ in range(300):
+        fresh.encode("".join(rng.choice(["the", "in", "an", "on", "re", "er", "ing"]) for _ in range(4)))
+    assert len(fresh.apart) > 2 * len(calls) and len(calls) == len(set(calls))
+
+
 def test_unigram_is_the_best_sum():
     rng = random.Random(4)
     letters = "abc"
