@@ -9,6 +9,8 @@ Layout under the store's path: ``dictionary/`` (kind, value, number), ``bitmaps/
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,11 +49,14 @@ class DistinctStore:
 
         Numbers, once given, stay: a run that ends between the two steps is made good by the next one.
         """
-        each = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value")) for k, c in KINDS.items())))
-        values = stg.select(F.col("archive_day").alias("day"), each.alias("x")).select("day", "x.*").where("value is not null").distinct()
         staging = files.shared_dir(self.spark)
-        values.write.parquet(staging)
-        values = self.spark.read.schema("day date, kind string, value string").parquet(staging)
+        # Written once: what the events come from is worked out a single time, and each kind then reads its own column.
+        own = stg.select("archive_day", "archive_hour", "event_type", "created_at", "repo_id", *(c for c in KINDS.values() if c != "repo_id"))
+        own.write.parquet(f"{staging}/events")
+        stg = self.spark.read.schema(own.schema).parquet(f"{staging}/events")
+        each = [stg.select(F.col("archive_day").alias("day"), c).where(F.col(c).isNotNull()).distinct().select("day", F.lit(k).alias("kind"), F.col(c).cast("string").alias("value")) for k, c in KINDS.items()]
+        reduce(DataFrame.union, each).write.parquet(f"{staging}/values")
+        values = self.spark.read.schema("day date, kind string, value string").parquet(f"{staging}/values")
         known = self.dictionary()
         new = ranking.ranked(values.select("kind", "value").distinct().join(known, ["kind", "value"], "left_anti"), ["kind"], ["value"], "nth")
         last = {r.kind: r.n for r in known.groupBy("kind").agg(F.max("number").alias("n")).collect()}  # one row a kind

@@ -415,10 +415,12 @@ def _laid_out(t: Tables, root: str, where: str = "true") -> str:
 
 
 def _partials(t: Tables, stg: DataFrame) -> distinct.DistinctStore:
-    """Partials of all days but one, to which that one is then added."""
-    store, late = distinct.DistinctStore(t.spark, files.shared_dir(t.spark)), F.col("archive_day") == F.lit(HELD_OUT).cast("date")
-    store.add(stg.where(~late))
-    store.add(stg.where(late))
+    """Partials of all days but one, to which that one is then added. The staged events are written once, by day, so that neither addition stages them again."""
+    base, late = files.shared_dir(t.spark), F.col("archive_day") == F.lit(HELD_OUT).cast("date")
+    stg.write.partitionBy("archive_day").parquet(f"{base}/staged")
+    rows, store = t.spark.read.schema(stg.schema).parquet(f"{base}/staged"), distinct.DistinctStore(t.spark, f"{base}/store")
+    store.add(rows.where(~late))
+    store.add(rows.where(late))
     return store
 
 

@@ -130,6 +130,22 @@ def test_bitmaps_count_as_distinct_does_and_a_day_reads_itself_only(spark, tmp_p
     assert {r.day: r.events for r in store.ecosystem_daily().collect()} == {days[0]: 60, days[1]: 7, days[2]: 60}
 
 
+def test_adding_works_out_each_event_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def once(name):
+        seen.add(1)
+        return name
+
+    rng = random.Random(8)
+    rows = [event(rng, i, DAY, i % 4) for i in range(40)]
+    frame = spark.createDataFrame([(r[1], r[7], r[8], r[9]) for r in rows], "event_type string, created_at timestamp_ntz, archive_day date, archive_hour long")
+    stg = frame.select("*", F.lit(1).cast("long").alias("repo_id"), F.lit(2).cast("long").alias("actor_id"), F.udf(once)(F.lit("o/r")).alias("repo_name"), F.lit("u").alias("actor_login"))
+    store = distinct.DistinctStore(spark, str(tmp_path / "store"))
+    store.add(stg)
+    assert seen.value == 40 and tuple(store.overview().first()) == (40, 1, 4, 1, 1, 2)
+
+
 def test_an_empty_store(spark, tmp_path):
     store = distinct.DistinctStore(spark, str(tmp_path / "none"))
     assert tuple(store.overview().first()) == (0, 0, 0, 0, 0, 0) and store.ecosystem_daily().count() == 0
