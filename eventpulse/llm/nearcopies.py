@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import linking, simhash
-from .common import drop, materialize
+from .common import drop, materialize, small_batches
 from .minhash import BANDS, bands_of, bits_allow, bits_of, sketch_of
 from .shingles import SEED, odd_allows, odd_sketch, sets_of, shingles_of, slices, text_key, words_of
 
@@ -60,10 +60,10 @@ def frequencies(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE)
     """A level for each hash bucket of shingles: 0, or the binary logarithm, in steps of 1 / ``STEPS``, of how many times the mean its count is."""
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
+        counts = np.zeros(BUCKETS, np.uint32)  # a task has fewer shingles than that
         for part in parts:
             for text in part.column(0):
-                np.add.at(counts, shingles_of(words_of(text.as_py()), shingle) % np.uint64(BUCKETS), 1)
+                np.add.at(counts, shingles_of(words_of(text.as_py()), shingle) % np.uint64(BUCKETS), np.uint32(1))
         for k, own in enumerate(counts.reshape(-1, _BLOCK)):
             if own.any():  # a task's counts are mostly small: as bytes they take a byte a bucket
                 yield pa.record_batch({"block": pa.array([k], pa.int32()), "counts": pa.array([own.astype(np.min_scalar_type(int(own.max()))).tobytes()], pa.binary())})
@@ -141,6 +141,11 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row (doc_id, text_key, root) per document; documents of one root are linked by pairs at or over the similarity. ``told`` is given what it took."""
     if not 0.5 < similarity <= 1:
         raise ValueError(f"lists grow long at similarities as low as {similarity}")
+    with small_batches(docs.sparkSession):
+        return _components(docs, id_col, text_col, shingle, similarity, told)
+
+
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float, told: dict | None) -> DataFrame:
     own = materialize(word_keys(docs, id_col, text_col), "near-words")
     few = ("n", "fp", "keys", "wide", "bits", "odd")
     distinct = profiles(docs, id_col, text_col, shingle, similarity).groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("rep"), *(F.first(c).alias(c) for c in few))

@@ -10,6 +10,7 @@ import corpus_pipeline as C
 from eventpulse.llm import linking as L
 from eventpulse.llm import nearcopies as W
 from eventpulse.llm import shingles as S
+from eventpulse.llm.common import small_batches
 
 SF = "/root/testdata/sf0.001"
 
@@ -147,3 +148,16 @@ def test_lists_of_the_same_members_are_one_and_sets_are_of_pairs_alone(spark, mo
     roots = {r.root for r in W.components(docs, told=told).collect()}
     assert len(roots) == len(components(dict(enumerate(texts)))) == 61
     assert sum(wanted) <= 2 * told["checked"] < 60
+
+
+def test_few_rows_of_texts_go_to_a_worker_at_once(spark, monkeypatch):
+    key, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", [], W.materialize
+    monkeypatch.setattr(W, "materialize", lambda df, label: seen.append(int(spark.conf.get(key))) or write(df, label))
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(i, "one two three four five six seven") for i in range(3)], "doc_id long, text string")
+    W.components(docs)
+    assert seen and max(seen) <= 1000 and spark.conf.get(key) == before
+    with pytest.raises(RuntimeError), small_batches(spark, 7):
+        assert spark.conf.get(key) == "7"
+        raise RuntimeError
+    assert spark.conf.get(key) == before
